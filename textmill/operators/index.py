@@ -14,7 +14,8 @@ loss.
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,23 +51,33 @@ def dense_index(df: DataFrame, order_cols: list[str], out: str = "rn",
 
 def _local_group_rank(key_cols: list[str]):
     """Per partition (already sorted by keys): rank of each row inside its key
-    run, carried across Arrow batches of the same partition."""
+    run, carried across Arrow batches of the same partition. Works on Arrow
+    batches directly so payload columns pass through with their exact types."""
 
     def fn(batches):
         prev_key, prev_cnt = None, 0
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(_lrank=pd.Series([], dtype="int64"))
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                yield batch.append_column("_lrank", pa.array([], pa.int64()))
                 continue
-            codes = pdf.groupby(key_cols, sort=False, dropna=False).ngroup()
-            lrank = pdf.groupby(codes.values).cumcount().astype("int64")
-            first_key = tuple(pdf[c].iloc[0] for c in key_cols)
-            if prev_key is not None and first_key == prev_key:
-                lrank = lrank + (codes.values == codes.values[0]) * prev_cnt
-            last_key = tuple(pdf[c].iloc[-1] for c in key_cols)
-            prev_cnt = int(lrank.iloc[-1]) + 1
-            prev_key = last_key
-            yield pdf.assign(_lrank=lrank.values)
+            keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in key_cols]
+            change = np.zeros(n, dtype=bool)
+            change[0] = True
+            for k in keys:
+                change[1:] |= k[1:] != k[:-1]
+            first_key = tuple(k[0] for k in keys)
+            carry = prev_key is not None and first_key == prev_key
+            if carry:
+                change[0] = False
+            idx = np.arange(n)
+            start = np.maximum.accumulate(np.where(change, idx, 0))
+            lrank = idx - start
+            if carry:
+                lrank = lrank + np.where(start == 0, prev_cnt, 0)
+            prev_key = tuple(k[-1] for k in keys)
+            prev_cnt = int(lrank[-1]) + 1
+            yield batch.append_column("_lrank", pa.array(lrank.astype(np.int64), pa.int64()))
 
     return fn
 
@@ -78,7 +89,7 @@ def dense_index_within(df: DataFrame, key_cols: list[str], order_cols: list[str]
     key_cols, order_cols = list(key_cols), list(order_cols)
     ranged = _ranged(df, key_cols + order_cols, num_partitions)
     schema = T.StructType(ranged.schema.fields + [T.StructField("_lrank", T.LongType(), False)])
-    ranked = ranged.mapInPandas(_local_group_rank(key_cols), schema)
+    ranked = ranged.mapInArrow(_local_group_rank(key_cols), schema)
     keys = F.struct(*key_cols)
     summary = ranked.groupBy("_pid").agg(
         F.min_by(keys, "_local").alias("_fk"),

@@ -46,10 +46,10 @@ def pair_counts(state: DataFrame) -> DataFrame:
         F.posexplode(F.arrays_zip(F.slice("symbols", 1, F.size("symbols") - 1).alias("l"),
                                   F.slice("symbols", 2, F.size("symbols")).alias("r")))
          .alias("sym_pos", "p"))
-    return (pairs.groupBy(F.col("p.l").alias("left"), F.col("p.r").alias("right"))
+    return (pairs.groupBy(F.col("p.l").alias("left_sym"), F.col("p.r").alias("right_sym"))
                  .agg(F.sum("n").alias("n"),
                       F.min(F.struct("first_doc", "first_pos", "sym_pos")).alias("_f"))
-                 .select("left", "right", "n", F.col("_f.first_doc").alias("first_doc"),
+                 .select("left_sym", "right_sym", "n", F.col("_f.first_doc").alias("first_doc"),
                          F.col("_f.first_pos").alias("first_pos"),
                          F.col("_f.sym_pos").cast("long").alias("first_sym")))
 
@@ -86,7 +86,7 @@ def _admit(cands: list, vocab: set, budget: int, complete: bool) -> list:
     accepted, used, made = [], set(), set()
     bound = None  # largest count among pairs left out
     for row in cands:
-        a, b, n = row["left"], row["right"], row["n"]
+        a, b, n = row["left_sym"], row["right_sym"], row["n"]
         merged = a + b
         if (accepted and accepted[-1][0] == accepted[-1][1]) or a in used or b in used \
                 or merged in vocab or merged in made:
@@ -101,7 +101,7 @@ def _admit(cands: list, vocab: set, budget: int, complete: bool) -> list:
         while accepted and accepted[-1][2] <= bound:
             accepted.pop()
     if not accepted:
-        accepted = [(cands[0]["left"], cands[0]["right"], cands[0]["n"])]
+        accepted = [(cands[0]["left_sym"], cands[0]["right_sym"], cands[0]["n"])]
     return accepted[:max(budget, 1)]
 
 
@@ -126,7 +126,7 @@ def bpe_train(spark: SparkSession, words: DataFrame, max_vocab_size: int,
             break
         budget = max_vocab_size - N_SPECIAL - len(vocab)
         batch = (_admit(cands, vocab, budget, complete=len(cands) < k) if batched
-                 else [(cands[0]["left"], cands[0]["right"], 0)])
+                 else [(cands[0]["left_sym"], cands[0]["right_sym"], 0)])
         sym = F.col("symbols")
         for a, b, _ in batch:
             sym = merge_pair_expr(sym, a, b)
@@ -152,6 +152,19 @@ def vocab_table(spark: SparkSession, tokens: list[str]) -> DataFrame:
     return spark.createDataFrame([(i, t) for i, t in enumerate(tokens)], "id int, token string")
 
 
+MAX_VOCAB_ROWS = 1_000_000
+
+
+def materialize_vocab(vocab: DataFrame) -> DataFrame:
+    """Pull a vocabulary (bounded by its maximum size, checked here) to the
+    driver once and hand back a local table, so every later broadcast and
+    lookup reuses it instead of recomputing its derivation."""
+    rows = vocab.select("id", "token").limit(MAX_VOCAB_ROWS + 1).collect()
+    if len(rows) > MAX_VOCAB_ROWS:
+        raise ValueError(f"vocabulary exceeds {MAX_VOCAB_ROWS} rows")
+    return vocab.sparkSession.createDataFrame([(r[0], r[1]) for r in rows], "id int, token string")
+
+
 def vocab_order(learned: DataFrame, token_col: str = "token") -> DataFrame:
     """T1 + U1: specials first, then distinct learned tokens by length desc,
     token asc; id = 5 + rank. The window has no partition key on purpose: the

@@ -20,8 +20,21 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations"]
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+_SPREAD_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
+
+
+def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Read one driver table. Text tables whose scan yields fewer splits than the
+    cluster has cores (one big row group) are hash-spread on their id so the
+    CPU-heavy text work uses every core; with many input files — the large
+    case — the scan is already wide and nothing is added."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = _SPREAD_KEYS.get(name)
+    if spread and key is not None:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores, key)
+    return df
 
 
 def documents_as_paragraphs(documents: DataFrame) -> DataFrame:
