@@ -244,7 +244,7 @@ def mask_tokens(pairs: DataFrame, token_num: int, seed: int = 0, method: str = "
         return (F.when(r < F.col("_m"), F.lit(4))
                  .when(r < F.col("_m") + F.col("_s"), x)
                  .when(r < F.col("_k"), replacement(x, r))
-                 .otherwise(x))
+                 .otherwise(x)).cast("int")
 
     return df.select("example_id",
                      "src",

@@ -489,9 +489,15 @@ def q_example_audit(spark, sf):
     return X.example_audit(example_state(spark, sf)["examples"])
 
 
+def _load_all() -> None:
+    import textmill.plans.registry_more  # noqa: F401  (registers part 2)
+
+
 def queries() -> dict[str, QueryFn]:
+    _load_all()
     return {k: v[0] for k, v in REGISTRY.items()}
 
 
 def oracles() -> dict[str, str]:
+    _load_all()
     return {k: v[1] for k, v in REGISTRY.items() if v[1] is not None}
