@@ -101,11 +101,16 @@ def q_batch_max_len(spark, sf):
     return B.batch_max_len(b, "tokens").select("doc_id", "batch_id", "batch_max_len")
 
 
-@register("time_major", with_examples(_CLS, _SEQ, """
-padded AS (SELECT batch_id, slot, list_concat(tokens, list_transform(range(0, max(len(tokens)) OVER (PARTITION BY batch_id) - len(tokens)), lambda x: 0)) AS tokens FROM seqb)""") + """
+_LB = """
+lb AS (SELECT doc_id, tokens, CAST(floor(rn / 16) AS BIGINT) AS batch_id, CAST(rn % 16 AS INTEGER) AS slot
+       FROM (SELECT doc_id, tokens, row_number() OVER (ORDER BY len(tokens), doc_id) - 1 AS rn FROM cls))"""
+
+
+@register("time_major", with_examples(_CLS, _LB, """
+padded AS (SELECT batch_id, slot, list_concat(tokens, list_transform(range(0, max(len(tokens)) OVER (PARTITION BY batch_id) - len(tokens)), lambda x: 0)) AS tokens FROM lb)""") + """
 SELECT batch_id, CAST(generate_subscripts(tokens, 1) - 1 AS INTEGER) AS t, slot AS b, unnest(tokens) AS token FROM padded""")
 def q_time_major(spark, sf):
-    b = B.sequential_batches(classification(spark, sf), BATCH_SIZE)
+    b = B.length_buckets(classification(spark, sf), BATCH_SIZE, ids_col="tokens")
     padded = B.pad_collate(b, cols=("tokens",))
     return B.time_major(padded, "tokens").select("batch_id", F.col("t").cast("int"), "b", "token")
 
@@ -159,7 +164,7 @@ SELECT example_id, array_to_string(list_transform(src, lambda x, i: len(list_fil
 FROM sg""")
 def q_segment_ids(spark, sf):
     ex = example_state(spark, sf)["examples"]
-    return ex.select("example_id", ids_str(FT.segment_ids("src")).alias("segments"))
+    return FT.with_segment_ids(ex).select("example_id", ids_str("segments").alias("segments"))
 
 
 _EMB_DIM = 64
@@ -180,8 +185,8 @@ def q_positional_table(spark, sf):
 def q_embedding_lookup(spark, sf):
     """Example tokens → token + position + segment vectors (per-example sums)."""
     ex = example_state(spark, sf)["examples"]
-    toks = ex.select(F.col("example_id").alias("seq_id"),
-                     F.posexplode(F.arrays_zip(F.col("src").alias("token"), FT.segment_ids("src").alias("seg")))
+    toks = FT.with_segment_ids(ex).select(F.col("example_id").alias("seq_id"),
+                     F.posexplode(F.arrays_zip(F.col("src").alias("token"), F.col("segments").alias("seg")))
                      .alias("pos", "z")).select("seq_id", F.col("pos").cast("int").alias("pos"),
                                                 F.col("z.token").alias("token"), F.col("z.seg").alias("seg"))
     emb = TB.load(spark, sf, "embeddings")
