@@ -52,11 +52,18 @@ def metrics_batches(rows: DataFrame, batch_size: int, group=("epoch", "split"),
                   .drop("_rn", "_n"))
 
 
-def epoch_metrics(batched: DataFrame, value: str = "value") -> DataFrame:
-    """Per (epoch, split): mean over batches of the batch means."""
-    per_batch = batched.groupBy("epoch", "split", "batch").agg(F.avg(value).alias("_b"))
-    return per_batch.groupBy("epoch", "split").agg(F.round(F.avg("_b"), 6).alias("value"),
-                                                    F.count(F.lit(1)).alias("n_batches"))
+def epoch_metrics(batched: DataFrame, value: str = "value", batch_size: int = 16) -> DataFrame:
+    """Per (epoch, split): mean over batches of the batch means.
+
+    Batches are full (``drop_last``), so the mean of means is
+    ``sum(batch sums) / (batch_size * n_batches)``. Sums are taken in integer
+    micro-units and the 6-decimal half-up rounding is done in integer
+    arithmetic, so the result does not depend on summation order."""
+    micro = F.round(F.col(value) * 1_000_000).cast("long")
+    per_batch = batched.groupBy("epoch", "split", "batch").agg(F.sum(micro).alias("_s"))
+    agg = per_batch.groupBy("epoch", "split").agg(F.sum("_s").alias("_n"), F.count(F.lit(1)).alias("n_batches"))
+    rounded = F.expr(f"(2 * _n + {batch_size} * n_batches) div (2 * {batch_size} * n_batches)")
+    return agg.select("epoch", "split", (rounded.cast("double") / 1_000_000).alias("value"), "n_batches")
 
 
 def final_metrics(metrics: DataFrame) -> DataFrame:

@@ -235,8 +235,10 @@ mrows AS (SELECT event_id, event_type AS split, value,
 mb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY epoch, split ORDER BY event_id) - 1 AS rn,
                              count(*) OVER (PARTITION BY epoch, split) AS n FROM mrows)
        WHERE rn < floor(n / 16) * 16)""", """
-em AS (SELECT epoch, split, round(avg(b), 6) AS value, count(*) AS n_batches
-       FROM (SELECT epoch, split, floor(rn / 16) AS batch, avg(value) AS b FROM mb GROUP BY epoch, split, floor(rn / 16))
+em AS (SELECT epoch, split, CAST((2 * sum(s) + 16 * count(*)) // (2 * 16 * count(*)) AS DOUBLE) / 1000000 AS value,
+              count(*) AS n_batches
+       FROM (SELECT epoch, split, floor(rn / 16) AS batch, CAST(sum(CAST(round(value * 1000000) AS BIGINT)) AS BIGINT) AS s
+             FROM mb GROUP BY epoch, split, floor(rn / 16))
        GROUP BY epoch, split)"""
 
 
@@ -249,7 +251,7 @@ def metric_rows(spark, sf):
 
 
 def epoch_metrics_df(spark, sf):
-    return EV.epoch_metrics(EV.metrics_batches(metric_rows(spark, sf), BATCH_SIZE))
+    return EV.epoch_metrics(EV.metrics_batches(metric_rows(spark, sf), BATCH_SIZE), batch_size=BATCH_SIZE)
 
 
 @register("epoch_metrics", O.with_(*_METRIC_ROWS) + "SELECT epoch, split, value, n_batches FROM em")
