@@ -118,10 +118,13 @@ def bpe_train(spark: SparkSession, words: DataFrame, max_vocab_size: int,
     vocab = {r["symbol"] for r in alphabet(words).collect()}  # bounded by the character set
     merges: list[tuple[str, str]] = []
     rounds = 0
-    cached = None  # state cached last round; released once the next one is built
+    release = None  # cached parent of ``state``; dropped once ``state`` itself is cached
     while len(vocab) + N_SPECIAL < max_vocab_size:
         k = _TOPK if batched else 1
-        cands = [r.asDict() for r in best_pair(pair_counts(state), k).collect()]
+        cands = [r.asDict() for r in best_pair(pair_counts(state), k).collect()]  # fills state's cache
+        if release is not None:
+            release.unpersist()
+            release = None
         if not cands:
             break
         budget = max_vocab_size - N_SPECIAL - len(vocab)
@@ -135,13 +138,13 @@ def bpe_train(spark: SparkSession, words: DataFrame, max_vocab_size: int,
         rounds += 1
         nxt = state.withColumn("symbols", sym)
         if rounds % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)
+            nxt = cut_lineage(nxt)   # reliable: survives executor loss, bounds the plan
         else:
             nxt = nxt.persist()
-        if cached is not None:
-            cached.unpersist()
-        cached = nxt if nxt.is_cached else None
+        release = state if state.is_cached else None
         state = nxt
+    if release is not None:
+        release.unpersist()
     learned = sorted(vocab, key=lambda t: (-len(t), t))
     return list(SPECIAL_TOKENS) + learned, merges
 
