@@ -208,3 +208,69 @@ def roundtrip_check(sentences: DataFrame, vocab: DataFrame) -> DataFrame:
     return (orig.join(dec, ["paragraph_id", "idx"])
                 .where(F.col("orig") != F.col("words"))
                 .select("paragraph_id", "idx", "orig", "words"))
+
+
+# ------------------------------------------------------- unigram (max-likelihood) --
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _viterbi_batch(word_len: pd.Series, ids: pd.Series, pos: pd.Series, lens: pd.Series,
+                   scores: pd.Series, unk_score: pd.Series) -> pd.Series:
+    """Best-scoring segmentation per word (sum of piece log-probabilities); a
+    character no piece covers costs ``unk_score`` and consecutive ones fuse
+    into one ``<unk>``. Ties keep the earlier-found (longer-first) piece."""
+    out = []
+    for L, ci, cp, cl, cs, us in zip(word_len.to_numpy(), ids, pos, lens, scores, unk_score.to_numpy()):
+        L = int(L)
+        ends: dict[int, list] = {}
+        if ci is not None:
+            for i, p, ln, sc in zip(ci, cp, cl, cs):
+                ends.setdefault(int(p) + int(ln) - 1, []).append((int(p) - 1, int(i), float(sc)))
+        best = [0.0] + [-np.inf] * L
+        back: list = [None] * (L + 1)
+        for e in range(1, L + 1):
+            for start, tid, sc in ends.get(e, []):
+                v = best[start] + sc
+                if v > best[e]:
+                    best[e], back[e] = v, (start, tid)
+            v = best[e - 1] + float(us)
+            if v > best[e]:
+                best[e], back[e] = v, (e - 1, UNK_ID)
+        seq, e = [], L
+        while e > 0:
+            start, tid = back[e]
+            seq.append(tid)
+            e = start
+        seq.reverse()
+        fused = [t for k, t in enumerate(seq) if not (t == UNK_ID and k > 0 and seq[k - 1] == UNK_ID)]
+        out.append(fused)
+    return pd.Series(out)
+
+
+def unigram_encode_words(words: DataFrame, vocab: DataFrame) -> DataFrame:
+    """``vocab(id, token, score)`` log-probability pieces → max-likelihood
+    ids per distinct word (same candidate join as B3; the word end mark plays
+    the role of the word-boundary symbol). Unknown characters score
+    ``min(score) - 10``."""
+    words = words.select("word").distinct()
+    pieces = vocab.where(F.col("id") >= 5)
+    cands = substring_vocab_match(words, pieces).join(F.broadcast(pieces.select("id", "score")), "id")
+    grouped = cands.groupBy("word").agg(F.collect_list(F.struct("id", "pos", "len", "score")).alias("c"))
+    unk = pieces.agg(F.min("score")).first()[0] - 10.0  # one scalar
+    full = words.join(grouped, "word", "left")
+    empty = F.array().cast(T.ArrayType(T.StructType([T.StructField("id", T.IntegerType()),
+                                                     T.StructField("pos", T.IntegerType()),
+                                                     T.StructField("len", T.IntegerType()),
+                                                     T.StructField("score", T.DoubleType())])))
+    c = F.coalesce(F.col("c"), empty)
+    return full.select("word", _viterbi_batch(F.length(F.concat(F.col("word"), F.lit(WORD_END))),
+                                              c["id"], c["pos"], c["len"], c["score"].cast("array<double>"),
+                                              F.lit(unk)).alias("ids"))
+
+
+def unigram_scores(encoded: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Piece log-probabilities from token frequencies of an encoded corpus
+    (one counting pass, partial aggregation); unseen pieces get the minimum."""
+    freq = encoded.select(F.explode("ids").alias("id")).where(F.col("id") >= 5).groupBy("id").count()
+    total = freq.agg(F.sum("count")).first()[0] or 1
+    scored = vocab.join(freq, "id", "left").select("id", "token", F.log(F.col("count") / F.lit(total)).alias("score"))
+    low = scored.agg(F.min("score")).first()[0] or 0.0
+    return scored.select("id", "token", F.coalesce(F.col("score"), F.lit(low)).alias("score"))

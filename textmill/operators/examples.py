@@ -131,8 +131,10 @@ def sample_coordinates(index: dict, ids: DataFrame, seed: int = 0, method: str =
     ex = _first_draws(index, ids, seed, method)
     all_par = lookup.where(F.col("kind") == "a").select(F.col("rank").alias("r1"), F.col("n").alias("n1"))
     ex = ex.join(all_par, "r1", "left")
-    ex = ex.withColumn("s0", F.when(F.col("nsp"), F.col("us0") % (F.col("n0") - 1))
-                              .otherwise(F.col("us0") % F.col("n0")))
+    # divisors are kept >= 1 in both branches: under ANSI mode an untaken
+    # branch may still be evaluated
+    ex = ex.withColumn("s0", F.when(F.col("nsp"), F.col("us0") % F.greatest(F.col("n0") - 1, F.lit(1)))
+                              .otherwise(F.col("us0") % F.greatest(F.col("n0"), F.lit(1))))
     pos = ex.where(F.col("nsp")).select("example_id", "nsp", "r0", "s0", F.col("r0").alias("rb"),
                                         (F.col("s0") + 1).alias("sb"), F.lit(0).cast("long").alias("m"),
                                         F.lit(None).cast("long").alias("r"))
@@ -144,7 +146,7 @@ def sample_coordinates(index: dict, ids: DataFrame, seed: int = 0, method: str =
               .withColumn("m", F.coalesce(F.col("m"), F.lit(0)).cast("long"))
               .withColumn("valid", F.col("n1") - F.col("m"))
               .where(F.col("valid") > 0)
-              .withColumn("r", F.col("us1") % F.col("valid")))
+              .withColumn("r", F.col("us1") % F.greatest(F.col("valid"), F.lit(1))))
     plain = neg.where(F.col("m") == 0).select("example_id", "nsp", "r0", "s0", F.col("r1").alias("rb"),
                                                F.col("r").alias("sb"), "m", "r")
     # rare: the successor's content occurs in p1; skip its copies. With g_j =

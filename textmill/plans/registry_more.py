@@ -501,3 +501,15 @@ def q_bpe_train(spark, sf):
     words = TB.corpus_words(conv.select(F.col("paragraph_id").alias("doc_id"), F.col("sentence").alias("text")))
     idx2word, _ = V.bpe_train(spark, words, 150)
     return V.vocab_table(spark, idx2word)
+
+
+@register("unigram_encode", None)
+def q_unigram_encode(spark, sf):
+    """Max-likelihood segmentation of every distinct document word with
+    piece log-probabilities estimated from the encoded corpus."""
+    from textmill.operators import encode as E
+    from textmill.plans.registry import doc_sents
+    st = example_state(spark, sf)
+    scored = E.unigram_scores(st["enc"], st["vocab"])
+    words = TB.sentence_words(doc_sents(spark, sf)).select("word").distinct()
+    return E.unigram_encode_words(words, scored).select("word", ids_str("ids").alias("ids"))
