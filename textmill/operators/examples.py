@@ -49,22 +49,28 @@ def prepare_paragraphs(encoded: DataFrame) -> dict:
     * ``groups``  ``(rank, h1, h2, m)`` copies of a content inside a paragraph.
     * ``P``, ``E`` paragraph counts (two scalars).
 
-    Everything is cut with a reliable checkpoint: later example batches (and
-    streaming micro-batches) reuse it instead of re-deriving the index.
+    Everything is written once as bucketed tables in the shared checkpoint
+    folder: later example batches (and streaming micro-batches) reuse it.
     """
     from textmill.operators.index import dense_index, dense_index_within
-    from textmill.session import cut_lineage
+    from textmill.session import write_bucketed
 
     sizes = encoded.groupBy("paragraph_id").agg(F.count(F.lit(1)).alias("n"))
     ranked = dense_index(sizes, ["paragraph_id"], out="rank")
     elig = dense_index(ranked.where(F.col("n") >= 2).select("paragraph_id", "rank", "n"),
                        ["paragraph_id"], out="erank")
-    lookup = cut_lineage(
+    # Each lookup table is written bucketed on the key it is joined on, so an
+    # example batch (or streaming micro-batch) shuffles only its own rows and
+    # never the corpus again.
+    parts = int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lookup = write_bucketed(
         ranked.select(F.lit("a").alias("kind"), F.col("rank").alias("key"), "rank", "n")
-        .unionByName(elig.select(F.lit("e").alias("kind"), F.col("erank").alias("key"), "rank", "n")))
+        .unionByName(elig.select(F.lit("e").alias("kind"), F.col("erank").alias("key"), "rank", "n")),
+        parts, ["kind", "key"], "lookup")
     counts = lookup.groupBy("kind").count().collect()
     P = next((r["count"] for r in counts if r["kind"] == "a"), 0)
     E = next((r["count"] for r in counts if r["kind"] == "e"), 0)
+    par = write_bucketed(ranked.select("rank", "n"), parts, ["rank"], "par")
 
     sent = (encoded.join(ranked.select("paragraph_id", "rank"), "paragraph_id")
                    .select("rank", "idx", "ids",
@@ -72,10 +78,13 @@ def prepare_paragraphs(encoded: DataFrame) -> dict:
     nxt = sent.select("rank", (F.col("idx") - 1).alias("idx"), F.col("h1").alias("nh1"), F.col("h2").alias("nh2"))
     sent = sent.join(nxt, ["rank", "idx"], "left")
     sent = dense_index_within(sent, ["rank", "h1", "h2"], ["idx"], out="_ord")
-    sent = cut_lineage(sent.withColumn("g", F.col("idx") - F.col("_ord")).drop("_ord"))
-    groups = cut_lineage(sent.groupBy("rank", "h1", "h2").agg(F.count(F.lit(1)).alias("m"))
-                             .where(F.col("m") > 0))
-    return {"sent": sent, "lookup": lookup, "groups": groups, "P": P, "E": E}
+    sent = write_bucketed(sent.withColumn("g", F.col("idx") - F.col("_ord")).drop("_ord"),
+                          parts, ["rank", "idx"], "sent")
+    # slim copy index (no token arrays) for the rare rejection path
+    copies = write_bucketed(sent.select("rank", "h1", "h2", "g"), parts, ["rank", "h1", "h2"], "copies")
+    groups = write_bucketed(copies.groupBy("rank", "h1", "h2").agg(F.count(F.lit(1)).alias("m")),
+                            parts, ["rank", "h1", "h2"], "groups")
+    return {"sent": sent, "lookup": lookup, "par": par, "copies": copies, "groups": groups, "P": P, "E": E}
 
 
 # ---------------------------------------------------------------- sampling --
@@ -129,7 +138,7 @@ def sample_coordinates(index: dict, ids: DataFrame, seed: int = 0, method: str =
     """
     sent, lookup, groups = index["sent"], index["lookup"], index["groups"]
     ex = _first_draws(index, ids, seed, method)
-    all_par = lookup.where(F.col("kind") == "a").select(F.col("rank").alias("r1"), F.col("n").alias("n1"))
+    all_par = index["par"].select(F.col("rank").alias("r1"), F.col("n").alias("n1"))
     ex = ex.join(all_par, "r1", "left")
     # divisors are kept >= 1 in both branches: under ANSI mode an untaken
     # branch may still be evaluated
@@ -152,8 +161,8 @@ def sample_coordinates(index: dict, ids: DataFrame, seed: int = 0, method: str =
     # rare: the successor's content occurs in p1; skip its copies. With g_j =
     # q_j - j (q_j the copies' positions), the r-th valid index is r + #{g_j <= r}.
     hit = neg.where(F.col("m") > 0)
-    copies = sent.select(F.col("rank").alias("r1"), F.col("h1").alias("nh1"), F.col("h2").alias("nh2"),
-                         F.col("g").alias("gj"))
+    copies = index["copies"].select(F.col("rank").alias("r1"), F.col("h1").alias("nh1"),
+                                    F.col("h2").alias("nh2"), F.col("g").alias("gj"))
     skips = (hit.join(copies, ["r1", "nh1", "nh2"])
                 .where(F.col("gj") <= F.col("r"))
                 .groupBy("example_id").agg(F.count(F.lit(1)).alias("skip")))

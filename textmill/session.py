@@ -70,3 +70,16 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint (survives executor loss), never ``localCheckpoint``."""
     ensure_checkpoint_dir(df.sparkSession, local_fallback=False)
     return df.checkpoint(eager=eager)
+
+
+def write_bucketed(df: DataFrame, buckets: int, cols: list[str], name: str) -> DataFrame:
+    """Write ``df`` as a table bucketed on ``cols`` into the shared checkpoint
+    folder and read it back. Unlike a checkpoint, the read keeps the hash
+    layout, so every later join on ``cols`` shuffles only its other side."""
+    import os
+    import uuid
+
+    table = f"tm_{name}_{uuid.uuid4().hex[:12]}"
+    path = os.path.join(checkpoint_dir(df.sparkSession), "tables", table)
+    df.write.bucketBy(buckets, *cols).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
