@@ -41,6 +41,12 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def is_single_jvm(spark: SparkSession) -> bool:
+    """True for ``local`` / ``local[n]`` masters, where a local folder is shared."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession, local_fallback: bool = False) -> str:
     """Make sure the SparkContext checkpoints into ``spark.checkpoint.dir``.
 
