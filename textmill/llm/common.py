@@ -52,3 +52,13 @@ def text_key(text: Column) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_if_small(df: DataFrame, row_bytes: Column | int) -> DataFrame:
+    """Mark a written table for broadcast if its measured size is at most
+    ``BROADCAST_BYTES``; beyond that the join shuffles both sides."""
+    total = df.agg(F.sum(F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes)).first()[0] or 0
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmill.llm.common import LOWER, UPPER, let, partitions, text_key
+from textmill.llm.common import LOWER, UPPER, let, partitions, text_key, written
 
 K = 3
 DRIFT = 2
@@ -111,7 +111,9 @@ def diagonal_spans(found: DataFrame) -> DataFrame:
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """One row per document (see the module docstring for the columns)."""
-    found = hits(docs.select("doc_id", "text")).repartition(partitions(docs.sparkSession), "doc_id", "tk")
+    # written once: the hits are read twice below, the texts only here
+    found = written(hits(docs.select("doc_id", "text")), "license-hits")
+    found = found.repartition(partitions(docs.sparkSession), "doc_id", "tk")
     spans = diagonal_spans(found).select(
         "doc_id", "tk", "label", "cover", F.struct("label", "first", "last", F.round("cover", 6).alias("cover")).alias("span"))
     rows = found.where(F.col("tmpl").isNull()).select(
