@@ -12,7 +12,8 @@ of the keys of heavy classes) and decided by a partial aggregation instead, so
 its rows are never brought together: at most ``4 * partitions`` keys can
 be that heavy, and only those are broadcast. Only dropped positions travel on,
 as one bitmap per document in compressed form (runs of kept lines). Texts are
-joined with their bitmap only to rebuild them.
+joined with their bitmap only to rebuild them; bitmaps whose measured size is
+small are broadcast, otherwise both sides are shuffled by document.
 
 A key is held as 96 hash bits (xxHash64 and Murmur3).
 
@@ -27,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmill.llm.common import SPACE, ascii_lower, let, partitions, text_key, written
+from textmill.llm.common import SPACE, ascii_lower, broadcast_if_small, let, partitions, text_key, written
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -109,9 +110,11 @@ def kept_text(lines, cuts):
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` with shortened texts and the columns ``n_lines`` and ``n_dropped``."""
-    maps = keep_bitmaps(docs.select("doc_id", "text"), min_chars, min_docs).select(
+    maps = written(keep_bitmaps(docs.select("doc_id", "text"), min_chars, min_docs), "line-bitmaps").select(
         F.col("doc_id").alias("_ld_id"), F.col("tk").alias("_ld_tk"), F.col("n_dropped").alias("_ld_n"),
         F.col("cuts").alias("_ld_cuts"))
+    # bitmaps are far smaller than texts: move them, as long as their measured size allows it
+    maps = broadcast_if_small(maps, 64 + 16 * F.size("_ld_cuts"))
     base = docs.withColumn("_ld_key", text_key(F.col("text")))
     lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
     out = (base.join(maps, base["doc_id"].eqNullSafe(maps["_ld_id"]) & (base["_ld_key"] == maps["_ld_tk"]), "left")
