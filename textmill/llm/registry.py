@@ -7,9 +7,11 @@ from textmill.llm.license_scan import op6_license_scan
 from textmill.llm.line_dedup import op5_line_dedup
 from textmill.llm.quality_rules import op10_quality_rules
 from textmill.llm.secret_scan import op1_secret_scan
+from textmill.llm.simhash_dedup import op2_simhash_dedup
 
 _ON_DOCUMENTS = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_simhash_dedup": op2_simhash_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_license_scan": op6_license_scan,
     "op10_quality_rules": op10_quality_rules,

@@ -132,7 +132,6 @@ def trie_links(a: np.ndarray, b: np.ndarray | None, prefix: int, differing: int,
         steps = np.concatenate([[0], np.cumsum(labels[1:] != labels[:-1])])
         a0, a1, b0, b1 = al, ah - 1, bl + tb.offset, bh - 1 + tb.offset
         joined = (steps[a0] == steps[a1]) & (steps[b0] == steps[b1]) & (labels[a0] == labels[b0])
-        joined &= ~((ah - al == 1) & same & (al == bl) & (ah == bh)) | True
         open_ = ~joined
         al, ah, bl, bh, err = (x[open_] for x in (al, ah, bl, bh, err))
         leaf = ((ah - al) * (bh - bl) <= LEAF) | (depth >= 64)
