@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from textmill.llm import common
+from textmill.llm.decontaminate import op7_decontamination
 from textmill.llm.license_scan import op6_license_scan
 from textmill.llm.line_dedup import op5_line_dedup
+from textmill.llm.packing import op9_best_fit_packing
 from textmill.llm.quality_rules import op10_quality_rules
 from textmill.llm.secret_scan import op1_secret_scan
 from textmill.llm.simhash_dedup import op2_simhash_dedup
@@ -14,14 +16,20 @@ _ON_DOCUMENTS = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_license_scan": op6_license_scan,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_quality_rules": op10_quality_rules,
 }
+_WITH_TABLE = {"op7_decontamination": (op7_decontamination, "benchmark")}
 
 
 def queries():
     def on_documents(op):
         return lambda spark, sf_dir: op(common.documents(spark, sf_dir))
-    return {name: on_documents(op) for name, op in _ON_DOCUMENTS.items()}
+
+    def with_table(op, name):
+        return lambda spark, sf_dir: op(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return ({name: on_documents(op) for name, op in _ON_DOCUMENTS.items()}
+            | {name: with_table(*v) for name, v in _WITH_TABLE.items()})
 
 
 def oracles():
