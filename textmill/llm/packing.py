@@ -42,7 +42,7 @@ RANK_ROWS = 100_000     # pieces per (length, salt) window, about
 SLOT_RUN = 4096         # slots made from one row
 MARK = "<|startoftext|>"  # a special token of the vocabulary
 _CACHE = 800_000        # word cores
-_SEGMENT = 1 << 21      # characters split at once
+_SEGMENT = 1 << 22      # characters split at once
 _ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to Python, not to the tokenizer
 
 
@@ -51,13 +51,16 @@ class WordIds:
     core: a word in lower case (if ASCII) without one closing comma or full stop,
     which the tokenizer always splits off."""
 
-    def __init__(self, tokenizer, known: dict):
-        self.tokenizer, self.known = tokenizer, known
+    def __init__(self, tokenizer, closing: np.ndarray, known: dict):
+        self.tokenizer, self.closing, self.known = tokenizer, closing, known
         self.mark_id = tokenizer.token_to_id(MARK)
         self.tails = {t: self.whole(t) for t in ",."} | {"": b""}
 
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return self.ids(text).tobytes()
 
     def learn(self, cores) -> None:
         cores = set(cores)
@@ -65,20 +68,32 @@ class WordIds:
         if len(self.known) + len(new) > _CACHE:
             self.known.clear()
             new = list(cores)
-        plain = [w for w in new if "<|" not in w]
+        words, rest = [w for w in new if w.isalpha()], [w for w in new if not w.isalpha()]
+        for at in range(0, len(words), 10_000):
+            # letters only: one token with a word end for each word
+            part = words[at:at + 10_000]
+            ids = self.ids(" ".join(part))
+            ends = 4 * (np.nonzero(self.closing[ids])[0] + 1)
+            if len(ends) == len(part):
+                self._keep(part, ids, ends, 0)
+            else:
+                rest += part
+        plain = [w for w in rest if "<|" not in w]
         for at in range(0, len(plain), 10_000):
-            # one call for many words: a special token between two words keeps them apart
+            # anything else: a special token between two words keeps them apart
             part = plain[at:at + 10_000]
-            ids = np.array(self.tokenizer.encode(MARK.join(part), add_special_tokens=False).ids, dtype="<u4")
-            ends = [*(4 * np.nonzero(ids == self.mark_id)[0]).tolist(), 4 * len(ids)]
-            ids, first = ids.tobytes(), 0
-            for w, end in zip(part, ends):
-                self.known[w] = ids[first:end]
-                first = end + 4
-        for w in new:
+            ids = self.ids(MARK.join(part))
+            self._keep(part, ids, 4 * np.append(np.nonzero(ids == self.mark_id)[0], len(ids)), 4)
+        for w in rest:
             if "<|" in w:
                 self.known[w] = self.whole(w)
 
+    def _keep(self, words, ids, ends, gap) -> None:
+        ids, first, known = ids.tobytes(), 0, self.known
+        for w, end in zip(words, ends.tolist()):
+            known[w] = ids[first:end]
+            first = end + gap
+
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
         parts = {}
@@ -103,7 +118,10 @@ def word_ids(vocabulary: str) -> WordIds:
     import tokenizers
     kept = vars(tokenizers).setdefault("_textmill_word_ids", {})
     if vocabulary not in kept:
-        kept[vocabulary] = tokenizers.Tokenizer.from_file(vocabulary), {}
+        tokenizer = tokenizers.Tokenizer.from_file(vocabulary)
+        closing = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
+        closing[[i for t, i in tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        kept[vocabulary] = tokenizer, closing, {}
     return WordIds(*kept[vocabulary])
 
 
