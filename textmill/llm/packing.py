@@ -41,15 +41,15 @@ VOCABULARY = "word_bpe_49k.json"
 RANK_ROWS = 100_000     # pieces per (length, salt) window, about
 SLOT_RUN = 4096         # slots made from one row
 MARK = "<|startoftext|>"  # a special token of the vocabulary
-_CACHE = 800_000        # word cores
+_CACHE = 1_000_000      # words and word cores kept by a worker
 _SEGMENT = 1 << 22      # characters split at once
 _ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to Python, not to the tokenizer
 
 
 class WordIds:
-    """Ids of words as little-endian 32-bit bytes. ``known`` holds them by word
-    core: a word in lower case (if ASCII) without one closing comma or full stop,
-    which the tokenizer always splits off."""
+    """Ids of words as little-endian 32-bit bytes. A word that ``known`` lacks is
+    looked up by its core: in lower case (if ASCII), without one closing comma or
+    full stop, which the tokenizer always splits off."""
 
     def __init__(self, tokenizer, closing: np.ndarray, known: dict):
         self.tokenizer, self.closing, self.known = tokenizer, closing, known
@@ -62,20 +62,16 @@ class WordIds:
     def whole(self, text: str) -> bytes:
         return self.ids(text).tobytes()
 
-    def learn(self, cores) -> None:
-        cores = set(cores)
-        new = [w for w in cores if w not in self.known]
-        if len(self.known) + len(new) > _CACHE:
-            self.known.clear()
-            new = list(cores)
-        words, rest = [w for w in new if w.isalpha()], [w for w in new if not w.isalpha()]
+    def encode_new(self, cores: list[str]) -> dict[str, bytes]:
+        found: dict[str, bytes] = {}
+        words, rest = [w for w in cores if w.isalpha()], [w for w in cores if not w.isalpha()]
         for at in range(0, len(words), 10_000):
             # letters only: one token with a word end for each word
             part = words[at:at + 10_000]
             ids = self.ids(" ".join(part))
             ends = 4 * (np.nonzero(self.closing[ids])[0] + 1)
             if len(ends) == len(part):
-                self._keep(part, ids, ends, 0)
+                _cut(found, part, ids, ends, 0)
             else:
                 rest += part
         plain = [w for w in rest if "<|" not in w]
@@ -83,31 +79,36 @@ class WordIds:
             # anything else: a special token between two words keeps them apart
             part = plain[at:at + 10_000]
             ids = self.ids(MARK.join(part))
-            self._keep(part, ids, 4 * np.append(np.nonzero(ids == self.mark_id)[0], len(ids)), 4)
-        for w in rest:
-            if "<|" in w:
-                self.known[w] = self.whole(w)
-
-    def _keep(self, words, ids, ends, gap) -> None:
-        ids, first, known = ids.tobytes(), 0, self.known
-        for w, end in zip(words, ends.tolist()):
-            known[w] = ids[first:end]
-            first = end + gap
+            _cut(found, part, ids, 4 * np.append(np.nonzero(ids == self.mark_id)[0], len(ids)), 4)
+        found.update((w, self.whole(w)) for w in rest if "<|" in w)
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
-        parts = {}
-        for w in set().union(*(s for s in split if s is not None)):
+        known, tails, parts = self.known, self.tails, {}
+        for w in set().union(*(s for s in split if s is not None)).difference(known):
             core = w.lower() if w.isascii() else w
             tail = core[-1]
             if tail in ",." and core[-2:-1].isalnum():
                 parts[w] = core[:-1], tail
             else:
                 parts[w] = core, ""
-        self.learn(core for core, _ in parts.values())
-        known, tails = self.known, self.tails
-        get = {w: known[core] + tails[tail] for w, (core, tail) in parts.items()}.__getitem__
-        return [self.whole(t) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
+        new = self.encode_new(list({core for core, _ in parts.values()}.difference(known)))
+        known.update(new)
+        known.update([(w, known[core] + tails[tail]) for w, (core, tail) in parts.items()])
+        get = known.__getitem__
+        out = [self.whole(t) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
+        if len(known) > _CACHE:  # full: the frequent words are in by now, these are not kept
+            for w in {*new, *parts}:
+                del known[w]
+        return out
+
+
+def _cut(found: dict, words, ids: np.ndarray, ends: np.ndarray, gap: int) -> None:
+    ids, first = ids.tobytes(), 0
+    for w, end in zip(words, ends.tolist()):
+        found[w] = ids[first:end]
+        first = end + gap
 
 
 def word_ids(vocabulary: str) -> WordIds:
