@@ -7,9 +7,11 @@ from textmill.llm.decontaminate import op7_decontamination
 from textmill.llm.license_scan import op6_license_scan
 from textmill.llm.line_dedup import op5_line_dedup
 from textmill.llm.packing import op9_best_fit_packing
+from textmill.llm.quality_classifier import op8_quality_classifier
 from textmill.llm.quality_rules import op10_quality_rules
 from textmill.llm.secret_scan import op1_secret_scan
 from textmill.llm.simhash_dedup import op2_simhash_dedup
+from textmill.llm.toxicity import op3_toxicity
 
 _ON_DOCUMENTS = {
     "op1_secret_scan": op1_secret_scan,
@@ -19,7 +21,11 @@ _ON_DOCUMENTS = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_quality_rules": op10_quality_rules,
 }
-_WITH_TABLE = {"op7_decontamination": (op7_decontamination, "benchmark")}
+_WITH_TABLE = {
+    "op3_toxicity": (op3_toxicity, "labels"),
+    "op7_decontamination": (op7_decontamination, "benchmark"),
+    "op8_quality_classifier": (op8_quality_classifier, "labels"),
+}
 
 
 def queries():
