@@ -11,11 +11,13 @@ from textmill.llm.quality_classifier import op8_quality_classifier
 from textmill.llm.quality_rules import op10_quality_rules
 from textmill.llm.secret_scan import op1_secret_scan
 from textmill.llm.simhash_dedup import op2_simhash_dedup
+from textmill.llm.substring_dedup import op4_substring_dedup
 from textmill.llm.toxicity import op3_toxicity
 
 _ON_DOCUMENTS = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_license_scan": op6_license_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
