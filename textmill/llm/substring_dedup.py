@@ -44,19 +44,49 @@ from textmill.llm.common import partitions, text_key, written
 SIZE = 20
 PACK_WORDS = 1_500_000    # words that a map task handles at once
 BUCKET_BYTES = 12 << 20   # bytes of text per hash bucket
-_WORDS = 300_000          # word hashes kept by a map task
-_PACK = "bucket int, pack long, docs binary, counts binary, pos binary, flag binary, h binary"
+_PACK = "bucket int, pack long, docs binary, counts binary, pos binary, flag binary, h binary, n_docs int"
 _NO_DOC = -(1 << 63)
 
 
 # ------------------------------------------------------------- task helpers
 
-class _WordHash(dict):
-    def __missing__(self, word):
-        if len(self) > _WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+_IS_SPACE = np.isin(np.arange(256), list(b"\x20\t\n\x0b\x0c\r"))
+_BASE = 0x9E3779B97F4A7C15                       # odd, so it has an inverse modulo 2**64
+_CHUNK = 1 << 16                                 # bytes hashed at once; no word may be longer
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    steps = np.full(n + 1, base, dtype=np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
+_POWER, _INVERSE = _powers(_BASE, _CHUNK), _powers(pow(_BASE, -1, 1 << 64), _CHUNK)
+
+
+def _word_hashes(text: str | None) -> np.ndarray:
+    """One 64-bit hash per word: a polynomial of its bytes, taken from prefix
+    sums over a stretch of text, mixed with its length."""
+    raw = np.frombuffer((text or "").encode(), dtype=np.uint8)
+    inside = np.concatenate([[False], ~_IS_SPACE[raw], [False]])
+    edges = np.nonzero(inside[1:] != inside[:-1])[0]
+    starts, ends = edges[::2], edges[1::2]
+    out = np.empty(len(starts), dtype=np.uint64)
+    at = 0
+    while at < len(starts):
+        first = starts[at]
+        upto = max(int(np.searchsorted(ends, first + _CHUNK, side="right")), at)
+        if upto == at:  # a word longer than a stretch
+            out[at] = xxhash.xxh3_64_intdigest(raw[first:ends[at]].tobytes())
+            at += 1
+            continue
+        part = raw[first:ends[upto - 1]].astype(np.uint64) + np.uint64(1)
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(part * _POWER[:len(part)], out=sums[1:])
+        s, e = starts[at:upto] - first, ends[at:upto] - first
+        out[at:upto] = (sums[e] - sums[s]) * _INVERSE[s] + (e - s).astype(np.uint64)
+        at = upto
+    return _mix(out)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -107,6 +137,20 @@ def _decode(counts: bytes, pos: bytes) -> tuple[np.ndarray, np.ndarray]:
     return doc, total - np.repeat(total[starts] - gaps[starts], n)
 
 
+def _distinct(ordered: np.ndarray) -> np.ndarray:
+    return ordered[np.append(True, np.diff(ordered) != 0)[:len(ordered)]]
+
+
+def _after_first(h, ids, keys, pos) -> tuple[np.ndarray, np.ndarray]:
+    """Rows sorted by hash and corpus order → which start later than the first of
+    their hash. An exact repeat of a document is the same document: its windows
+    are as early as the first one's."""
+    first = np.append(True, np.diff(h) != 0)[:len(h)]
+    lead = np.nonzero(first)[0][np.cumsum(first) - 1]
+    same = (ids == ids[lead]) & (keys == keys[lead]) & (pos == pos[lead])
+    return ~same, same
+
+
 class _Pack:
     """Windows of some documents, dealt to hash buckets."""
 
@@ -130,28 +174,26 @@ class _Pack:
         pos, h, flag = (np.concatenate([p[k] for p in self.parts]) for k in range(3))
         ids = np.array([d[0] for d in self.docs], dtype="<i8")
         keys = np.array([d[1] for d in self.docs], dtype="<i8")
-        rank = np.empty(len(ids), dtype=np.int64)   # order of the documents in the corpus
-        rank[np.lexsort((keys, ids))] = np.arange(len(ids))
-        order = np.lexsort((pos, rank[doc], h))
-        hs = h[order]
-        first = np.append(True, hs[1:] != hs[:-1])
-        # an exact repeat of a document is the same document: its windows are equally early
-        lead = order[first][np.cumsum(first) - 1]
-        same = (ids[doc[order]] == ids[doc[lead]]) & (keys[doc[order]] == keys[doc[lead]]) & (pos[order] == pos[lead])
-        again = ~first if keep_flag else ~first & ~same
-        sent = order[first] if keep_flag else order[first | same]
+        order = np.argsort(h)
+        first = np.append(True, np.diff(h[order]) != 0)
+        alone = first & np.append(first[1:], True)
         if keep_flag:
-            any_flag = np.logical_or.reduceat(flag[order], np.nonzero(first)[0])
-            crowded = np.diff(np.append(np.nonzero(first)[0], len(order))) > 1
+            begin = np.nonzero(first)[0]
             flags = flag.copy()
-            flags[order[first]] = any_flag
-            local = np.concatenate([order[~first], order[first][crowded]])
+            flags[order[first]] = np.logical_or.reduceat(flag[order], begin)
+            sent, local = order[first], order[~alone]
         else:
-            flags, local = flag, order[again]
+            flags = flag
+            tied = order[~alone]  # equal hashes, now in the order of the corpus
+            tied = tied[np.lexsort((pos[tied], keys[doc[tied]], ids[doc[tied]], h[tied]))]
+            later, same = _after_first(h[tied], ids[doc[tied]], keys[doc[tied]], pos[tied])
+            sent, local = np.concatenate([order[alone], tied[~later]]), tied[later]
         tables = ids.tobytes(), keys.tobytes()
         yield self._row(-1, np.sort(local), doc, pos, flags, None, tables)
         bucket = (h[sent] >> np.uint64(32)) % np.uint64(self.buckets) if not wide else _mix(h[sent].copy()) % np.uint64(self.buckets)
-        by = np.lexsort((sent, bucket))
+        by = np.argsort(sent)
+        sent, bucket = sent[by], bucket[by].astype(np.uint16 if self.buckets < 1 << 16 else np.int64)
+        by = np.argsort(bucket, kind="stable")
         sent, bucket = sent[by], bucket[by]
         cuts = np.concatenate([[0], np.nonzero(np.diff(bucket.astype(np.int64)))[0] + 1, [len(sent)]])
         for a, b in zip(cuts[:-1], cuts[1:]):
@@ -160,8 +202,8 @@ class _Pack:
             yield self._row(int(bucket[a]), rows, doc, pos, flags, low, tables if wide else None)
 
     def _row(self, bucket, rows, doc, pos, flags, low, tables):
-        used, dense = np.unique(doc[rows], return_inverse=True)
-        counts, gaps = _encode(dense, pos[rows]) if len(rows) else (b"", b"")
+        used = _distinct(doc[rows])
+        counts, gaps = _encode(doc[rows], pos[rows]) if len(rows) else (b"", b"")
         if tables is None:
             docs = used.astype("<i4").tobytes()       # ordinals; the ids are in the row of bucket -1
         else:
@@ -181,22 +223,17 @@ def _number(partition: int, count: int) -> int:
     return (partition << 24) + count
 
 
-def _word_hashes(text: str | None, table: _WordHash) -> np.ndarray:
-    words = (text or "").encode().split()
-    return np.fromiter(map(table.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
 def _probes(size: int, buckets: int):
     """Round 1, map side: (doc_id, tk, text) → packs of block-length windows."""
     block = size // 2
 
     def run(batches):
         from pyspark import TaskContext
-        part, count, table = TaskContext.get().partitionId(), 0, _WordHash()
+        part, count = TaskContext.get().partitionId(), 0
         pack = _Pack(_number(part, 0), buckets)
         for b in batches:
             for d, k, t in zip(b.column(0), b.column(1), b.column(2)):
-                w = _word_hashes(t.as_py(), table)
+                w = _word_hashes(t.as_py())
                 if len(w) < size:
                     continue
                 h = rolling(w, block, 1)
@@ -236,8 +273,8 @@ def _replies(rows, hit, width):
         if not mine.any():
             continue
         doc, pos = _decode(r["counts"], r["pos"])
-        used, dense = np.unique(doc[mine], return_inverse=True)
-        counts, gaps = _encode(dense, pos[mine])
+        used = _distinct(doc[mine])
+        counts, gaps = _encode(doc[mine], pos[mine])
         if width == 4:
             docs = np.frombuffer(r["docs"], "<i4")[used].tobytes()
         else:
@@ -295,11 +332,11 @@ def _candidates(size: int, buckets: int):
 
     def run(batches):
         from pyspark import TaskContext
-        part, count, table = TaskContext.get().partitionId(), 0, _WordHash()
+        part, count = TaskContext.get().partitionId(), 0
         pack = _Pack(_number(part, 0), buckets)
         for b in batches:
             for d, k, t, m in zip(*(b.column(i) for i in range(4))):
-                w = _word_hashes(t.as_py(), table)
+                w = _word_hashes(t.as_py())
                 hits = np.concatenate([_positions(x.as_py()) for x in m.values]) if m.values is not None else np.zeros(0, int)
                 n = len(w) - size + 1
                 near = np.zeros(len(w) + 1, dtype=np.int64)   # windows [hit - block, hit]
@@ -318,17 +355,14 @@ def _candidates(size: int, buckets: int):
 
 
 def _later_windows(key, table):
-    """Round 2, bucket side: (doc_id, tk, marks) of the windows that start earlier elsewhere."""
+    """Round 2, bucket side: which windows start earlier elsewhere."""
+    if key[0].as_py() < 0:  # what the packs know themselves
+        return table
     rows = table.to_pylist()
-    if key[0].as_py() < 0:  # windows that are later than another one of their own pack
-        out = []
-        for r in rows:
-            if r["counts"]:
-                tables = np.frombuffer(r["docs"][4 * r["n_docs"]:], "<i8").reshape(2, -1)
-                doc, pos = _decode(r["counts"], r["pos"])
-                out.append(_marks(tables[0], tables[1], np.frombuffer(r["docs"][:4 * r["n_docs"]], "<i4")[doc].astype(np.int64), pos))
-        return pa.concat_tables(out) if out else _marks(*(np.zeros(0, dtype=np.int64) for _ in range(4)))
     h = np.concatenate([np.frombuffer(r["h"], "<u8") for r in rows])
+    order = np.argsort(h)
+    first = np.append(True, np.diff(h[order]) != 0)
+    tied = order[~(first & np.append(first[1:], True))]
     ids, keys, poss = [], [], []
     for r in rows:
         doc, pos = _decode(r["counts"], r["pos"])
@@ -337,15 +371,34 @@ def _later_windows(key, table):
         keys.append(tables[1][doc])
         poss.append(pos)
     ids, keys, pos = np.concatenate(ids), np.concatenate(keys), np.concatenate(poss)
-    order = np.lexsort((pos, keys, ids, h))
-    hs = h[order]
-    first = np.append(True, hs[1:] != hs[:-1])
-    lead = order[first][np.cumsum(first) - 1]
-    later = ~first & ~((ids[order] == ids[lead]) & (keys[order] == keys[lead]) & (pos[order] == pos[lead]))
-    mine = order[later]
-    _, doc = np.unique(np.stack([ids[mine], keys[mine]]), axis=1, return_inverse=True)
-    firsts = np.unique(doc, return_index=True)[1]
-    return _marks(ids[mine][firsts], keys[mine][firsts], doc.reshape(-1), pos[mine])
+    tied = tied[np.lexsort((pos[tied], keys[tied], ids[tied], h[tied]))]
+    later, _ = _after_first(h[tied], ids[tied], keys[tied], pos[tied])
+    hit = np.zeros(len(h), dtype=bool)
+    hit[tied[later]] = True
+    return _replies(rows, hit, 8)
+
+
+def _collect_later(key, table):
+    """Round 2, back at the pack: later windows of all buckets per document."""
+    ids, keys, poss = [], [], []
+    for r in table.to_pylist():
+        if not r["counts"]:
+            continue
+        doc, pos = _decode(r["counts"], r["pos"])
+        if r["bucket"] < 0:
+            tables = np.frombuffer(r["docs"][4 * r["n_docs"]:], "<i8").reshape(2, -1)
+            doc = np.frombuffer(r["docs"][:4 * r["n_docs"]], "<i4")[doc]
+        else:
+            tables = np.frombuffer(r["docs"], "<i8").reshape(2, -1)
+        ids.append(tables[0][doc])
+        keys.append(tables[1][doc])
+        poss.append(pos)
+    none = np.zeros(0, dtype=np.int64)
+    ids, keys, pos = (np.concatenate([none, *x]) for x in (ids, keys, poss))
+    order = np.lexsort((pos, keys, ids))
+    ids, keys, pos = ids[order], keys[order], pos[order]
+    new = np.append(True, (np.diff(ids) != 0) | (np.diff(keys) != 0))[:len(ids)]
+    return _marks(ids[new], keys[new], np.cumsum(new) - 1, pos)
 
 
 def _strip(size: int):
@@ -371,22 +424,16 @@ def _strip(size: int):
 
 # --------------------------------------------------------------- Spark stages
 
-def later_windows(texts: DataFrame, size: int, buckets: int) -> DataFrame:
-    """(doc_id, tk, marks): starts of the windows that also start earlier. ``texts``
-    is (doc_id, tk, text) with integer ids."""
-    pack = _PACK + ", n_docs int"
-    probes = texts.mapInArrow(_probes(size, buckets), pack)
-    # the rows of bucket -1 only pass through; they are dealt by their pack
-    dealt = probes.withColumn("deal", F.when(F.col("bucket") < 0, -1 - F.pmod("pack", F.lit(buckets))).otherwise(F.col("bucket")).cast("int"))
-    answered = dealt.groupBy("deal").applyInArrow(_drop_deal(_answer_probes), pack)
-    hits = answered.groupBy("pack").applyInArrow(_collect_pack, _MARKS)
-    return hits
-
+def _exchange(packs: DataFrame, buckets: int, answer, collect) -> DataFrame:
+    """Packs → bucket tasks (``answer``) → back to the packs (``collect``):
+    (doc_id, tk, marks), one row per document with marks. Rows of bucket -1 only
+    pass through on the way there, dealt by their pack."""
+    deal = F.when(F.col("bucket") < 0, -1 - F.pmod("pack", F.lit(buckets))).otherwise(F.col("bucket")).cast("int")
 
-def _drop_deal(fn):
     def run(key, table):
-        return fn(key, table.drop_columns(["deal"]))
-    return run
+        return answer(key, table.drop_columns(["deal"]))
+    return (packs.withColumn("deal", deal).groupBy("deal").applyInArrow(run, _PACK)
+            .groupBy("pack").applyInArrow(collect, _MARKS))
 
 
 def _with_marks(texts: DataFrame, marks: DataFrame, how: str) -> DataFrame:
@@ -403,13 +450,12 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     buckets = int(max(4, total // BUCKET_BYTES))
     texts = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_DOC)).alias("order_id"),
                         text_key(F.col("text")).alias("tk"), "text")
-    probe_input = texts.select("order_id", "tk", "text")
-    hits = written(later_windows(probe_input, size, buckets), "repeat-hits")
+    probes = texts.select("order_id", "tk", "text").mapInArrow(_probes(size, buckets), _PACK)
+    hits = written(_exchange(probes, buckets, _answer_probes, _collect_pack), "repeat-hits")
     by_doc = texts.repartition(partitions(spark), "order_id", "tk")
     marked = _with_marks(by_doc, hits, "inner").select("order_id", "tk", "text", "marks")
-    dealt = marked.mapInArrow(_candidates(size, buckets), _PACK + ", n_docs int")
-    dealt = dealt.withColumn("deal", F.when(F.col("bucket") < 0, -1 - F.pmod("pack", F.lit(buckets))).otherwise(F.col("bucket")).cast("int"))
-    later = written(dealt.groupBy("deal").applyInArrow(_drop_deal(_later_windows), _MARKS), "repeat-windows")
+    windows = marked.mapInArrow(_candidates(size, buckets), _PACK)
+    later = written(_exchange(windows, buckets, _later_windows, _collect_later), "repeat-windows")
     final = _with_marks(by_doc, later, "left").select("doc_id", "tk", "text", "marks")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return final.mapInArrow(_strip(size), f"doc_id {kind}, n_words long, n_removed long, kept binary")
