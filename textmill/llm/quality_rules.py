@@ -147,8 +147,8 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     lang = fences(merge(sketch, ["lang"]), ["lang"])
     every = fences(merge(sketch, []).withColumn("_all", F.lit(1)), ["_all"])
     ren = lambda df, p: df.select(*[F.col(c).alias(p + c) for c in df.columns])
-    j = (own.join(ren(lang, "l_"), F.col("lang").eqNullSafe(F.col("l_lang")), "left")
-            .join(F.broadcast(ren(every, "e_")), F.lit(True), "left"))  # one row
+    j = (own.withColumn("_all", F.lit(1)).join(ren(lang, "l_"), F.col("lang").eqNullSafe(F.col("l_lang")), "left")
+            .join(F.broadcast(ren(every, "e_")), F.col("_all") == F.col("e__all"), "left"))  # one row
     pick = lambda c: (F.when(F.col("group_size") >= MIN_GROUP, F.col(c))
                       .when(F.col("l_group_size") >= MIN_GROUP, F.col("l_" + c)).otherwise(F.col("e_" + c)))
     return written(j.select("lang", "source", *[pick(c).alias(c) for c in LIMITS]), "quality-limits")

@@ -6,6 +6,7 @@ from textmill.llm import common
 from textmill.llm.decontaminate import op7_decontamination
 from textmill.llm.license_scan import op6_license_scan
 from textmill.llm.line_dedup import op5_line_dedup
+from textmill.llm.oracle import ORACLES
 from textmill.llm.packing import op9_best_fit_packing
 from textmill.llm.quality_classifier import op8_quality_classifier
 from textmill.llm.quality_rules import op10_quality_rules
@@ -41,4 +42,4 @@ def queries():
 
 
 def oracles():
-    return {}
+    return dict(ORACLES)
