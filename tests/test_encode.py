@@ -35,16 +35,16 @@ def test_decode_goldens(spark):
 
 
 def test_roundtrip_unseen_sentence(spark):
-    corpus = ["this is test corpus .",
-              "we will check the consistency of your byte pairing encoding .",
-              "you have to pass this test to get full scores .",
-              "we hope you to pass tests wihtout any problem .",
-              "good luck ."]
+    corpus = ["a river bends around the old mill .",
+              "grain is ground between two heavy stones .",
+              "flour dust settles on every beam and window .",
+              "the miller counts the sacks before the sun goes down .",
+              "bread is baked at night ."]
     words = [w for s in corpus for w in s.split()]
     df = spark.createDataFrame([(0, i, w) for i, w in enumerate(words)], "doc_id long, pos long, word string")
     idx2word, _ = V.bpe_train(spark, df, 80)
     vocab = V.vocab_table(spark, idx2word)
-    sentence = "this is another sentence to test encoding and decoding ."
+    sentence = "the old window bends around heavy bread and dust ."
     sents = spark.createDataFrame([(0, 0, sentence)], "paragraph_id long, idx long, sentence string")
     enc = E.encode_sentences(sents, vocab)
     assert E.decode(enc, vocab, ["paragraph_id", "idx"]).first()["words"] == sentence.split()

@@ -5,7 +5,9 @@
 
 Both range-partition on the full sort key, so one hot group is spread over as
 many partitions as its size needs; positions are then local counters plus a
-per-partition offset. The offset tables have one row per partition, so
+per-partition offset. The partitioned rows are checkpointed once and both the
+counts and the result are read from there: two separate range exchanges would
+sample their boundaries separately and disagree. The offset tables have one row per partition, so
 broadcasting them is bounded by the partition count, not by the data.
 ``order_cols`` must make rows unique (add a tiebreak column if needed): that is
 what makes a recomputed partition come out in the same order after an executor
@@ -16,10 +18,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textmill.session import cut_lineage
+
 
 def _n_parts(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
@@ -39,7 +44,7 @@ def _ranged(df: DataFrame, sort_cols: list[str], num_partitions: int | None) ->
 def dense_index(df: DataFrame, order_cols: list[str], out: str = "rn",
                 num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 0-based rank of each row in the order of ``order_cols``."""
-    ranged = _ranged(df, list(order_cols), num_partitions)
+    ranged = cut_lineage(_ranged(df, list(order_cols), num_partitions))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: a bounded table, safe to window and broadcast
@@ -61,12 +66,14 @@ def _local_group_rank(key_cols: list[str]):
             if n == 0:
                 yield batch.append_column("_lrank", pa.array([], pa.int64()))
                 continue
-            keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in key_cols]
+            keys = [batch.column(c) for c in key_cols]
             change = np.zeros(n, dtype=bool)
             change[0] = True
-            for k in keys:
-                change[1:] |= k[1:] != k[:-1]
-            first_key = tuple(k[0] for k in keys)
+            for k in keys:  # two nulls are one group
+                differ = pc.fill_null(pc.not_equal(k[1:], k[:-1]), False)
+                null = k.is_null().to_numpy(zero_copy_only=False)
+                change[1:] |= differ.to_numpy(zero_copy_only=False) | (null[1:] != null[:-1])
+            first_key = tuple(k[0].as_py() for k in keys)
             carry = prev_key is not None and first_key == prev_key
             if carry:
                 change[0] = False
@@ -75,7 +82,7 @@ def _local_group_rank(key_cols: list[str]):
             lrank = idx - start
             if carry:
                 lrank = lrank + np.where(start == 0, prev_cnt, 0)
-            prev_key = tuple(k[-1] for k in keys)
+            prev_key = tuple(k[-1].as_py() for k in keys)
             prev_cnt = int(lrank[-1]) + 1
             yield batch.append_column("_lrank", pa.array(lrank.astype(np.int64), pa.int64()))
 
@@ -89,7 +96,7 @@ def dense_index_within(df: DataFrame, key_cols: list[str], order_cols: list[str]
     key_cols, order_cols = list(key_cols), list(order_cols)
     ranged = _ranged(df, key_cols + order_cols, num_partitions)
     schema = T.StructType(ranged.schema.fields + [T.StructField("_lrank", T.LongType(), False)])
-    ranked = ranged.mapInArrow(_local_group_rank(key_cols), schema)
+    ranked = cut_lineage(ranged.mapInArrow(_local_group_rank(key_cols), schema))
     keys = F.struct(*key_cols)
     summary = ranked.groupBy("_pid").agg(
         F.min_by(keys, "_local").alias("_fk"),
@@ -99,7 +106,7 @@ def dense_index_within(df: DataFrame, key_cols: list[str], order_cols: list[str]
     s1 = summary.select("_pid", "_fk")
     s2 = summary.select(F.col("_pid").alias("_q"), F.col("_last.k").alias("_lk"),
                         (F.col("_last.r") + 1).alias("_c"))
-    offsets = (s1.join(s2, (s2["_lk"] == s1["_fk"]) & (s2["_q"] < s1["_pid"]), "left")
+    offsets = (s1.join(s2, (s2["_lk"].eqNullSafe(s1["_fk"])) & (s2["_q"] < s1["_pid"]), "left")
                  .groupBy("_pid", "_fk").agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_off")))
     return (ranked.join(F.broadcast(offsets), "_pid")
                   .withColumn(out, (F.col("_lrank") + F.when(keys.eqNullSafe(F.col("_fk")), F.col("_off"))

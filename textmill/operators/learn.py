@@ -29,12 +29,20 @@ def _as_terms(df: DataFrame, ids_col: str = "tokens") -> DataFrame:
     return df.withColumn("terms", F.transform(F.col(ids_col), lambda x: x.cast("string")))
 
 
+def _word2vec(terms: DataFrame, dim: int, seed: int, out: str, max_iter: int = 1) -> Word2Vec:
+    """Trained on as many partitions as the cluster has cores; windows are never
+    cut short by a limit on the line length."""
+    longest = terms.agg(F.max(F.size("terms"))).first()[0] or 1
+    return Word2Vec(vectorSize=dim, minCount=1, seed=seed, inputCol="terms", outputCol=out, maxIter=max_iter,
+                    windowSize=5, maxSentenceLength=max(1000, longest),
+                    numPartitions=terms.sparkSession.sparkContext.defaultParallelism)
+
+
 def pretrain_vectors(encoded: DataFrame, dim: int = 32, seed: int = 0, ids_col: str = "ids",
                      max_iter: int = 1) -> DataFrame:
     """M1: token vectors ``(token INT, vector ARRAY<DOUBLE>)`` from encoded sentences."""
-    w2v = Word2Vec(vectorSize=dim, minCount=1, seed=seed, inputCol="terms", outputCol="w2v",
-                   maxIter=max_iter, windowSize=5)
-    model = w2v.fit(_as_terms(encoded, ids_col).where(F.size("terms") > 0))
+    terms = _as_terms(encoded, ids_col).where(F.size("terms") > 0)
+    model = _word2vec(terms, dim, seed, "w2v", max_iter).fit(terms)
     from pyspark.ml.functions import vector_to_array
     return model.getVectors().select(F.col("word").cast("int").alias("token"),
                                      vector_to_array("vector").alias("vector"))
@@ -49,14 +57,16 @@ def fit_classifier(train: DataFrame, use_pretrained: bool, dim: int = 32, seed:
     otherwise token counts."""
     df = _as_terms(train).withColumn("y", F.col("label").cast("double"))
     if use_pretrained:
-        feats = Word2Vec(vectorSize=dim, minCount=1, seed=seed, inputCol="terms", outputCol="features", maxIter=1)
         if unlabelled is not None:
-            w2v = feats.fit(_as_terms(unlabelled, "ids").where(F.size("terms") > 0))
+            terms = _as_terms(unlabelled, "ids").where(F.size("terms") > 0)
+            w2v = _word2vec(terms, dim, seed, "features").fit(terms)
             lr = LogisticRegression(featuresCol="features", labelCol="y", maxIter=max_iter).fit(w2v.transform(df))
             return PipelineModel(stages=[w2v, lr])
-        stages = [feats]
+        stages = [_word2vec(df, dim, seed, "features")]
     else:
-        stages = [CountVectorizer(inputCol="terms", outputCol="features", minDF=1.0)]
+        # token ids are dense: every one of them is a column
+        width = (df.agg(F.max(F.array_max("tokens"))).first()[0] or 0) + 1
+        stages = [CountVectorizer(inputCol="terms", outputCol="features", minDF=1.0, vocabSize=width)]
     stages.append(LogisticRegression(featuresCol="features", labelCol="y", maxIter=max_iter))
     return Pipeline(stages=stages).fit(df)
 

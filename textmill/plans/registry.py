@@ -307,7 +307,7 @@ _STATE: dict = {}
 def example_state(spark, sf, seed: int = 0) -> dict:
     """Encoded documents → paragraph index → one example per sentence; each
     stage is checkpointed once per (session, input) and shared by the queries."""
-    key = (id(spark), sf, seed)
+    key = (spark.sparkContext.applicationId, sf, seed)
     if key not in _STATE:
         enc, vocab = encoded_doc_sents(spark, sf)
         enc = cut_lineage(enc)

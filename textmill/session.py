@@ -87,5 +87,6 @@ def write_bucketed(df: DataFrame, buckets: int, cols: list[str], name: str) -> D
 
     table = f"tm_{name}_{uuid.uuid4().hex[:12]}"
     path = os.path.join(checkpoint_dir(df.sparkSession), "tables", table)
-    df.write.bucketBy(buckets, *cols).option("path", path).saveAsTable(table)
+    # one task per bucket, hence one file per bucket
+    df.repartition(buckets, *cols).write.bucketBy(buckets, *cols).option("path", path).saveAsTable(table)
     return df.sparkSession.table(table)
