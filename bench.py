@@ -57,6 +57,7 @@ def main():
     n_ex = sents.count()
     ex = timed("pretrain_examples", lambda: cut_lineage(X.pretrain_examples(index, n_ex, token_num)))
     timed("example_audit", lambda: X.example_audit(ex).collect())
+    delivered = ex.select("example_id").distinct().count()
     from textmill.operators import batching as B
     timed("length_buckets", lambda: _force(B.length_buckets(enc.select(
         F.struct("paragraph_id", "idx").alias("_k"), "ids").withColumn("doc_id", F.xxhash64("_k")), 16)))
@@ -65,7 +66,8 @@ def main():
     out = {"metric": "total_time", "value": total, "unit": "sec", "queries": times,
            "sf": os.path.basename(sf.rstrip("/")).replace("sf", ""),
            "tokens_per_sec": round(n_tokens / times["encode_corpus"], 1),
-           "examples_per_sec": round(n_ex / (times["pretrain_examples"] + times["prepare_paragraphs"]), 1),
+           "examples_requested": n_ex, "examples_delivered": delivered,
+           "examples_per_sec": round(delivered / (times["pretrain_examples"] + times["prepare_paragraphs"]), 1),
            "bpe_vocab": len(idx2word)}
     print(json.dumps(out))
     spark.stop()

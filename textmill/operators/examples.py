@@ -285,8 +285,10 @@ def epoch_assign(examples: DataFrame, steps: int = 2000, batch_size: int = 16) -
                            (eid % batch_size).cast("long").alias("slot"))
 
 
-def example_audit(examples: DataFrame, first_len: F.Column | None = None) -> DataFrame:
-    """Violation counts and rates over examples ``(example_id, src, mlm, mask, nsp)``."""
+def example_audit(examples: DataFrame, requested: int | None = None) -> DataFrame:
+    """Violation counts and rates over examples ``(example_id, src, mlm, mask, nsp)``;
+    with ``requested`` also how many of the requested examples were dropped
+    because no valid paragraph, second sentence or content exists for them."""
     src, mlm, mask = F.col("src"), F.col("mlm"), F.col("mask")
     z = F.arrays_zip(src.alias("s"), mlm.alias("m"), mask.alias("k"))
     spec_masked = F.exists(z, lambda t: t["s"].isin(2, 3) & t["k"])
@@ -296,8 +298,10 @@ def example_audit(examples: DataFrame, first_len: F.Column | None = None) -> Dat
     n_same = F.size(F.filter(z, lambda t: t["k"] & (t["m"] == t["s"])))
     n_rand = F.size(F.filter(z, lambda t: t["k"] & (t["m"] != t["s"]) & (t["m"] != 4)))
     shape_bad = (F.element_at(src, 1) != 2) | (F.element_at(src, -1) != 3)
+    counts = [] if requested is None else [F.lit(requested).cast("long").alias("n_requested"),
+                                           (F.lit(requested) - F.count(F.lit(1))).cast("long").alias("n_dropped")]
     return examples.agg(
-        F.count(F.lit(1)).alias("n_examples"),
+        *counts, F.count(F.lit(1)).alias("n_examples"),
         F.sum(spec_masked.cast("long")).alias("n_special_masked"),
         F.sum(changed_unmasked.cast("long")).alias("n_changed_unmasked"),
         F.sum(shape_bad.cast("long")).alias("n_bad_shape"),

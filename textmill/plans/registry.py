@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.functions.constants import DEMO_PIECES
+from textmill.functions.constants import BATCH_SIZE, DEMO_PIECES, VAL_STEPS
 from textmill.operators import encode as E
 from textmill.operators import vocab as V
 from textmill.operators.index import dense_index
@@ -465,6 +465,15 @@ def q_epoch_assign(spark, sf):
     return X.epoch_assign(ex).select("example_id", "epoch", "step", "slot")
 
 
+@register("epoch_assign_validation", with_examples() + f"""
+SELECT example_id, CAST(floor(example_id / {VAL_STEPS * BATCH_SIZE}) AS BIGINT) AS epoch,
+       CAST(floor((example_id % {VAL_STEPS * BATCH_SIZE}) / {BATCH_SIZE}) AS BIGINT) AS step,
+       CAST(example_id % {BATCH_SIZE} AS BIGINT) AS slot FROM examples""")
+def q_epoch_assign_validation(spark, sf):
+    ex = example_state(spark, sf)["examples"]
+    return X.epoch_assign(ex, VAL_STEPS, BATCH_SIZE).select("example_id", "epoch", "step", "slot")
+
+
 @register("distinct_pairs", with_examples() + """
 SELECT DISTINCT array_to_string(a, ' ') AS a, array_to_string(b, ' ') AS b FROM pairs""")
 def q_distinct_pairs(spark, sf):
@@ -483,10 +492,12 @@ SELECT count(*) AS n_examples,
   round(sum(len(list_filter(t, lambda x: x.k AND x.m = 4))) / sum(len(list_filter(mask, lambda x: x))), 6) AS msk_share,
   round(sum(len(list_filter(t, lambda x: x.k AND x.m = x.s))) / sum(len(list_filter(mask, lambda x: x))), 6) AS same_share,
   round(sum(len(list_filter(t, lambda x: x.k AND x.m <> x.s AND x.m <> 4))) / sum(len(list_filter(mask, lambda x: x))), 6) AS random_share,
-  round(avg(CASE WHEN nsp THEN 1.0 ELSE 0.0 END), 6) AS positive_share
+  round(avg(CASE WHEN nsp THEN 1.0 ELSE 0.0 END), 6) AS positive_share,
+  (SELECT count(*) FROM doc_sents) AS n_requested, (SELECT count(*) FROM doc_sents) - count(*) AS n_dropped
 FROM z""")
 def q_example_audit(spark, sf):
-    return X.example_audit(example_state(spark, sf)["examples"])
+    st = example_state(spark, sf)
+    return X.example_audit(st["examples"], st["n"])
 
 
 def _load_all() -> None:

@@ -44,13 +44,13 @@ cls AS (SELECT e.paragraph_id AS doc_id, list_concat([2], flatten(list(e.ids ORD
         FROM enc_sents e JOIN labels l ON l.doc_id = e.paragraph_id GROUP BY e.paragraph_id, l.quality)"""
 
 
-def classification(spark, sf):
-    """Labelled documents → ``[CLS] + all sentence ids + [SEP]`` with label;
+def classification(spark, sf, unlabelled: bool = False):
+    """Labelled documents (with ``unlabelled`` all, label null where none) → ``[CLS] + all sentence ids + [SEP]`` with label;
     a document's sentences come from its one source row (bounded regroup)."""
     st = example_state(spark, sf)
     if "cls" not in st:
         lab = TB.load(spark, sf, "labels").select(F.col("doc_id").alias("paragraph_id"), "quality")
-        seqs = (st["enc"].join(lab, "paragraph_id")
+        seqs = (st["enc"].join(lab, "paragraph_id", "left")
                 .groupBy("paragraph_id", "quality")
                 .agg(F.array_sort(F.collect_list(F.struct("idx", "ids"))).alias("_s"))
                 .select(F.col("paragraph_id").alias("doc_id"),
@@ -58,7 +58,7 @@ def classification(spark, sf):
                                  F.array(F.lit(3))).alias("tokens"),
                         (F.col("quality") == 1).alias("label")))
         st["cls"] = cut_lineage(seqs)
-    return st["cls"]
+    return st["cls"] if unlabelled else st["cls"].where(F.col("label").isNotNull())
 
 
 @register("classification_sequence", with_examples(_CLS) + """
@@ -300,9 +300,19 @@ def q_state_grid(spark, sf):
     return VC.state_grid(TB.load(spark, sf, "embeddings"))
 
 
-@register("cls_row", "SELECT vec_id, embedding[1] AS value FROM embeddings")
+@register("cls_row", with_examples() + f"""
+SELECT example_id AS seq_id, src[1] AS token,
+       round(list_sum(list_transform(t.embedding, lambda x: CAST(x AS DOUBLE)))
+             + list_sum(list_transform(s.embedding, lambda x: CAST(x AS DOUBLE))) + {_EMB_DIM // 2}, 3) AS vector_sum
+FROM examples JOIN embeddings t ON t.vec_id = src[1] JOIN embeddings s ON s.vec_id = 0""")
 def q_cls_row(spark, sf):
-    return VC.state_grid(TB.load(spark, sf, "embeddings")).where(F.col("dim") == 0).select("vec_id", "value")
+    """The vector of the first position of every sequence (token + position 0,
+    whose sines are 0 and cosines 1, + segment 0)."""
+    ex = example_state(spark, sf)["examples"]
+    first = ex.select(F.col("example_id").alias("seq_id"), F.lit(0).alias("pos"),
+                      F.element_at("src", 1).alias("token"), F.lit(0).alias("seg"))
+    vec = FT.embedding_lookup(first, TB.load(spark, sf, "embeddings"), POS_MAX_LEN)
+    return vec.select("seq_id", "token", F.round(F.aggregate("vector", F.lit(0.0), lambda a, b: a + b), 3).alias("vector_sum"))
 
 
 _PAIRS_SQL = "SELECT a.vec_id AS item1, b.vec_id AS item2 FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1"
@@ -334,6 +344,14 @@ def q_cosine_pairs(spark, sf):
     return c.select("item1", "item2", F.round("cosine", 6).alias("cosine"))
 
 
+@register("cosine_projected_pairs", None)
+def q_cosine_projected_pairs(spark, sf):
+    """V2 on the centred vectors projected on their top components (V1)."""
+    proj, _ = VC.pca_project(TB.load(spark, sf, "embeddings"), k=7)
+    c = VC.cosine_pairs(_vec_pairs(spark, sf), proj)
+    return c.select("item1", "item2", F.round("cosine", 6).alias("cosine"))
+
+
 @register("pca_project", None)
 def q_pca_project(spark, sf):
     proj, _ = VC.pca_project(TB.load(spark, sf, "embeddings"), k=7)
@@ -403,8 +421,8 @@ def q_fit_classifier(spark, sf):
 
 @register("score_documents", None)
 def q_score_documents(spark, sf):
-    model, train, val = _fit_and_score(spark, sf, False)
-    return LN.score_documents(model, val.unionByName(train))
+    model, _, _ = _fit_and_score(spark, sf, False)
+    return LN.score_documents(model, classification(spark, sf, unlabelled=True))
 
 
 # ------------------------------------------------------------------ streaming --
