@@ -41,7 +41,7 @@ VOCABULARY = "word_bpe_49k.json"
 RANK_ROWS = 100_000     # pieces per (length, salt) window, about
 SLOT_RUN = 4096         # slots made from one row
 MARK = "<|startoftext|>"  # a special token of the vocabulary
-_CACHE = 1_000_000      # words and word cores kept by a worker
+_CACHE = 1_400_000      # words and word cores kept by a worker
 _SEGMENT = 1 << 22      # characters split at once
 _ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to Python, not to the tokenizer
 
@@ -57,7 +57,8 @@ class WordIds:
         self.tails = {t: self.whole(t) for t in ",."} | {"": b""}
 
     def ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        # the batch call without offsets is the quicker one, also for a single text
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def whole(self, text: str) -> bytes:
         return self.ids(text).tobytes()
