@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from textmill.llm import license_scan as L
 from textmill.llm import quality_rules as Q
+from textmill.llm import secret_scan as S
 from textmill.llm.common import LOWER, UPPER
 from textmill.llm.line_dedup import MIN_CHARS, MIN_DOCS
 from textmill.llm.substring_dedup import SIZE
@@ -78,8 +80,81 @@ LEFT JOIN by_lang ON r.lang IS NOT DISTINCT FROM by_lang.lang LEFT JOIN every ON
 """
 
 
+def _secret_scan() -> str:
+    def found(kinds) -> str:
+        return " UNION ALL ".join(
+            f"""SELECT doc_id, '{kind}' AS kind, {n} AS ord, {least} AS least, regexp_extract_all(t, '{p}') AS f,
+                regexp_extract_all(t, '{p}', {group}) AS g, string_split_regex(t, '{p}') AS gaps FROM d"""
+            for n, kind, p, group, least in ((n, k, p.replace("'", "''"), g, least) for n, k, p, g, least in kinds))
+    def placed(name: str, kinds) -> str:
+        return f"""
+{name}_f AS ({found(kinds)}),
+{name} AS (SELECT doc_id, kind, ord, f[i] AS s, length(array_to_string(gaps[1:i], '')) + length(array_to_string(f[1:i - 1], '')) AS start
+  FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM {name}_f) WHERE length(g[i]) >= least)"""
+    base = [(n, *x) for n, x in enumerate(S.BASE)]
+    more = [(len(base) + n, kind, f"{chars}{{{w},}}", 0, w) for n, (kind, chars, w, _) in enumerate(S.CLASSES)]
+    size = "CASE kind " + " ".join(f"WHEN '{k}' THEN {w}" for k, _, w, _ in S.CLASSES) + " END"
+    most = "CASE kind " + " ".join(f"WHEN '{k}' THEN {S.weight(w) - round(S.UNIT * bits * w)}" for k, _, w, bits in S.CLASSES) + " END"
+    weight = "CASE c " + " ".join(f"WHEN {c} THEN {S.weight(c)}" for c in range(1, 1 + max(w for _, _, w, _ in S.CLASSES))) + " END"
+    allow = S.ALLOW.replace("'", "''")
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), {placed('base', base)}, {placed('cand', more)},
+wins AS (SELECT doc_id, kind, ord, start, s, unnest(range(1, length(s) - {size} + 2)) AS w FROM cand WHERE NOT regexp_matches(s, '{allow}')),
+chars AS (SELECT doc_id, kind, ord, start, w, unnest(string_split(substr(s, w, {size}), '')) AS ch FROM wins),
+counts AS (SELECT doc_id, kind, ord, start, w, ch, count(*) AS c FROM chars GROUP BY ALL),
+hits AS (SELECT doc_id, kind, ord, start, w FROM counts GROUP BY ALL HAVING sum({weight}) <= any_value({most})),
+isl AS (SELECT *, CASE WHEN w - lag(w) OVER (PARTITION BY doc_id, ord, start ORDER BY w) <= {size} THEN 0 ELSE 1 END AS new FROM hits),
+grp AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, ord, start ORDER BY w) AS island FROM isl),
+added AS (SELECT doc_id, kind, ord, start + min(w) - 1 AS start, start + max(w) - 1 + any_value({size}) AS stop FROM grp GROUP BY doc_id, kind, ord, start, island),
+fixed AS (SELECT doc_id, kind, ord, start, start + length(s) AS stop, true AS is_base FROM base),
+every AS (SELECT * FROM fixed UNION ALL SELECT doc_id, kind, ord, start, stop, false FROM added a
+          WHERE NOT EXISTS (SELECT 1 FROM fixed f WHERE f.doc_id = a.doc_id AND f.start <= a.start AND a.stop <= f.stop)),
+agg AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS na, count(*) FILTER (WHERE kind = 'access') AS nc,
+          count(*) FILTER (WHERE kind = 'hex') AS nh, count(*) FILTER (WHERE NOT is_base) AS ne,
+          string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) FILTER (WHERE is_base) AS b,
+          string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) AS spans FROM every GROUP BY doc_id)
+SELECT d.doc_id, coalesce(na, 0)::BIGINT AS n_assign, coalesce(nc, 0)::BIGINT AS n_access, coalesce(nh, 0)::BIGINT AS n_hex,
+       sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(ne, 0)::BIGINT AS n_entropy
+FROM d LEFT JOIN agg USING (doc_id)
+"""
+
+
+def _license_scan() -> str:
+    rows = []
+    for name, text, label, is_base in [*((n, t, L.LABEL.get(n, n), False) for n, t in L.TEMPLATES.items()),
+                                       *((p, p, lab, True) for p, lab in L.BASE.items())]:
+        w = text.split()
+        rows += [f"('{' '.join(w[i:i + L.K])}', '{name}', {i}, {len(w) - L.K + 1}, '{label}', {is_base})" for i in range(len(w) - L.K + 1)]
+    return f"""
+WITH t(gram, tmpl, tpos, n_windows, label, is_base) AS (VALUES {', '.join(rows)}),
+d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '{L.WORDS}') AS w FROM documents),
+g AS (SELECT doc_id, i - 1 AS pos, array_to_string(w[i:i + {L.K - 1}], ' ') AS gram
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - {L.K} + 2)) AS i FROM d)),
+votes AS (SELECT doc_id, tmpl, label, is_base, n_windows, pos - tpos AS diag, list(DISTINCT tpos) AS tposs, min(pos) AS first, max(pos) AS last
+          FROM g JOIN t USING (gram) GROUP BY ALL),
+places AS (SELECT doc_id, label, diag AS place FROM votes WHERE is_base AND len(tposs) = n_windows),
+steps AS (SELECT *, CASE WHEN diag - lag(diag) OVER w > {L.DRIFT} THEN 1 ELSE 0 END AS new FROM votes WHERE NOT is_base
+          WINDOW w AS (PARTITION BY doc_id, tmpl ORDER BY diag)),
+clustered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, tmpl ORDER BY diag) AS cluster FROM steps),
+spans AS (SELECT doc_id, label, len(list_distinct(flatten(list(tposs)))) / n_windows AS cover
+          FROM clustered GROUP BY doc_id, tmpl, label, n_windows, cluster),
+good AS (SELECT * FROM spans WHERE cover >= {L.MIN_COVER}),
+b AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+        string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY doc_id),
+s AS (SELECT doc_id, count(*) AS n_spans, max(cover) AS cover FROM good GROUP BY doc_id),
+a AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+      FROM (SELECT doc_id, label FROM places UNION SELECT doc_id, label FROM good) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0 ELSE round(coalesce(cover, 0.0), 6) END::DOUBLE AS score, coalesce(n_spans, 0)::BIGINT AS n_spans
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN s USING (doc_id) LEFT JOIN a USING (doc_id)
+"""
+
+
 ORACLES = {
+    "op1_secret_scan": _secret_scan(),
     "op4_substring_dedup": SUBSTRING_DEDUP,
     "op5_line_dedup": LINE_DEDUP,
+    "op6_license_scan": _license_scan(),
     "op10_quality_rules": _quality_rules(),
 }
