@@ -49,3 +49,30 @@ def test_roundtrip_unseen_sentence(spark):
     enc = E.encode_sentences(sents, vocab)
     assert E.decode(enc, vocab, ["paragraph_id", "idx"]).first()["words"] == sentence.split()
     assert E.roundtrip_check(sents, vocab).count() == 0
+
+
+def test_case_is_kept_on_request(spark):
+    vocab = _vocab(spark, ["Ab", "ab", "A", "a", "b", "_"])
+    sents = spark.createDataFrame([(0, 0, "Ab ab")], "paragraph_id long, idx long, sentence string")
+    assert E.encode_sentences(sents, vocab).first()["ids"] == [6, 10, 6, 10]
+    assert E.encode_sentences(sents, vocab, lower=False).first()["ids"] == [5, 10, 6, 10]
+    assert E.roundtrip_check(sents, vocab, lower=False).count() == 0
+
+
+def test_very_long_word(spark):
+    vocab = _vocab(spark, ["ab", "a", "b", "_"])
+    n = 200_000
+    ids = _encode(spark, vocab, ["ab" * n + "xyz" + "b", "ab"])
+    assert ids == [5] * n + [1, 7, 8, 5, 8]
+
+
+def test_frequent_words_join_as_rare_ones(spark):
+    from pyspark.sql import functions as F
+    from textmill.operators.joins import hot_key_join
+    big = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("w"), F.col("id") % 700)).alias("k"), "id")
+    counts = big.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    per_key = counts.select("k", F.length("k").alias("v"))
+    want = sorted(map(tuple, big.join(per_key, "k").select("id", "v").collect()))
+    for hot_keys in (0, 10, 350, 100_000):
+        got = hot_key_join(big, per_key, "k", counts, hot_keys=hot_keys)
+        assert sorted(map(tuple, got.select("id", "v").collect())) == want

@@ -1,13 +1,12 @@
 """B7 Viterbi segmentation against brute-force enumeration."""
-import itertools
 import math
 import random
 
 from textmill.operators import encode as E
 
 
-def _brute(word, pieces, unk):
-    w = word + "_"
+def _brute(word, pieces, unk, marked=None):
+    w = marked or word + "_"
     best = (-math.inf, None)
 
     def rec(i, score, seq):
@@ -41,3 +40,20 @@ def test_viterbi_matches_brute_force(spark):
         def total(seq):
             return sum(pieces[t][1] if t != 1 else 0 for t in seq)
         assert abs(total(got[w]) - total(want)) < 1e-9 or got[w] == want, (w, got[w], want)
+
+
+def test_vocabulary_file_keeps_case_and_marks_word_starts(spark, tmp_path):
+    from textmill.functions.constants import SPECIAL_TOKENS
+    from textmill.sources import files as FS
+    learned = [("▁", -3.0), ("▁An", -2.0), ("An", -2.5), ("an", -2.2), ("a", -4.0), ("n", -4.1), ("▁b", -3.3), ("b", -5.0),
+               ("ba", -3.9), ('"', -6.0)]
+    with open(tmp_path / "pieces.vocab", "w") as f:
+        f.write("".join(f"{t}\t0\n" for t in SPECIAL_TOKENS) + "".join(f"{t}\t{s}\n" for t, s in learned))
+    vocab = FS.read_vocab(spark, str(tmp_path))
+    texts = ["An an banan", "", "  ", 'ann "A" bXXba', "AnAn  an"]
+    sents = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "paragraph_id long, idx long, sentence string")
+    got = {r["paragraph_id"]: r["ids"] for r in E.unigram_encode_sentences(sents, vocab).collect()}
+    pieces = {5 + i: ts for i, ts in enumerate(learned)}
+    for i, t in enumerate(texts):
+        assert got[i] == [x for w in t.split() for x in _brute(w, pieces, -16.0, "▁" + w)[0]], t
+    assert 6 in got[0] and 8 in got[0]  # "An" and "an" are different pieces

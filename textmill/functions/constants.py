@@ -6,6 +6,8 @@ SPECIAL_TOKENS = [PAD, UNK, CLS, SEP, MSK]
 PAD_ID, UNK_ID, CLS_ID, SEP_ID, MSK_ID = 0, 1, 2, 3, 4
 N_SPECIAL = 5
 WORD_END = "_"
+# word-start mark of vocabulary files with unigram scores
+WORD_START = "▁"
 # masked-token rates: share of positions, then MSK / unchanged shares of those
 MASK_RATE, MSK_SHARE, SAME_SHARE = 0.15, 0.8, 0.1
 # positive label text of the labelled CSV

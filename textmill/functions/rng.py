@@ -40,12 +40,6 @@ def draw(seed, salt: str, *keys, method: str = "md5") -> Column:
     raise ValueError(f"unknown draw method {method!r}")
 
 
-def draw_expr(seed, salt: str, *key_exprs: str) -> str:
-    """Spark SQL text of ``draw`` (md5 flavour) for use inside lambdas."""
-    parts = [f"'{seed}'", f"'{salt}'"] + [f"CAST({k} AS STRING)" for k in key_exprs]
-    return f"CAST(conv(substr(md5(concat_ws('|', {', '.join(parts)})), 1, 13), 16, 10) AS BIGINT)"
-
-
 def draw_sql(seed, salt: str, *key_exprs: str) -> str:
     """DuckDB text computing the same value as ``draw(..., method='md5')``."""
     parts = [f"'{seed}'", f"'{salt}'"] + [f"CAST({k} AS VARCHAR)" for k in key_exprs]

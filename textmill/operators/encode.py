@@ -9,9 +9,11 @@ accept each one that overlaps nothing accepted. Every maximal run of characters
 left uncovered becomes one ``<unk>``.
 
 Work is done once per *distinct* word: occurrences → distinct words (partial
-aggregation) → substring candidates ⋈ broadcast vocabulary (bounded by the
-vocabulary size) → per-word fold → hot/cold join back to the occurrences →
-per-sentence regroup (a sentence is bounded by its source row).
+aggregation) → substring candidates ⋈ vocabulary (broadcast if its counted size
+allows it, else a shuffle join) → per-word fold → hot/cold join back to the
+occurrences → per-sentence regroup (a sentence is bounded by its source row).
+
+Texts are lower-cased before they are split into words unless ``lower=False``.
 """
 
 from __future__ import annotations
@@ -22,8 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textmill.functions.constants import UNK_ID, WORD_END, WORD_SPLIT_REGEX
-from textmill.operators.joins import hot_key_join
+from textmill.functions.constants import N_SPECIAL, UNK_ID, WORD_END, WORD_SPLIT_REGEX, WORD_START
+from textmill.operators.joins import broadcast_if_small, hot_key_join
 from textmill.session import cut_lineage
 
 _CAND = T.ArrayType(T.StructType([T.StructField("id", T.IntegerType()),
@@ -36,158 +38,126 @@ def max_token_length(vocab: DataFrame) -> int:
 
 
 def vocab_lookup(tokens: DataFrame, vocab: DataFrame, token_col: str = "token") -> DataFrame:
-    """Token → id through a broadcast of the (bounded) vocabulary."""
-    return tokens.join(F.broadcast(vocab.select(F.col("token").alias(token_col), "id")), token_col, "left")
-
-
-def substring_vocab_match(words: DataFrame, vocab: DataFrame, max_len: int | None = None,
-                          match_specials: bool = True) -> DataFrame:
-    """Every occurrence ``(word, id, pos, len)`` of every vocabulary token
-    in ``word + '_'`` (1-based ``pos``; overlapping occurrences kept)."""
-    if not match_specials:
-        vocab = vocab.where(F.col("id") >= 5)
-    max_len = max_len or max_token_length(vocab)
-    w = F.concat(F.col("word"), F.lit(WORD_END))
-    subs = F.flatten(F.transform(
-        F.sequence(F.lit(1), F.length(w)),
-        lambda p: F.transform(F.sequence(F.lit(1), F.least(F.lit(max_len), F.length(w) - p + 1)),
-                              lambda k: F.struct(p.alias("pos"), k.alias("len"),
-                                                 F.substring(w, p, k).alias("s")))))
-    cands = words.select("word", F.explode(subs).alias("c")).select(
-        "word", F.col("c.pos").alias("pos"), F.col("c.len").alias("len"), F.col("c.s").alias("token"))
-    return cands.join(F.broadcast(vocab.select("token", "id")), "token").select("word", "id", "pos", "len")
-
-
-_POS_ID = T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()),
-                                    T.StructField("id", T.IntegerType())]))
-_BITMASK_MAX = 62  # words (with the word end) up to this length keep coverage in one BIGINT
-
+    """Token → id; the vocabulary is broadcast if its size allows it."""
+    ids = broadcast_if_small(vocab.select(F.col("token").alias(token_col), "id"))
+    return tokens.join(ids, token_col, "left")
 
-def _segment_bits(L: Column, sorted_cands: Column) -> Column:
-    """Fold with the covered positions as bits of a BIGINT (O(1) overlap test)."""
-    init = F.struct(F.lit(0).cast("long").alias("cov"), F.array().cast(_POS_ID).alias("acc"))
 
-    def step(st, c):
-        one = F.lit(1).cast("long")
-        mask = F.call_function("shiftleft", F.call_function("shiftleft", one, c["len"]) - 1, c["pos"] - 1)
-        taken = F.struct((st["cov"].bitwiseOR(mask)).alias("cov"),
-                         F.concat(st["acc"], F.array(F.struct(c["pos"].alias("pos"), c["id"].alias("id"))))
-                         .alias("acc"))
-        return F.when(st["cov"].bitwiseAND(mask) == 0, taken).otherwise(st)
+def _cased(text: Column, lower: bool) -> Column:
+    return F.lower(text) if lower else text
 
-    st = F.aggregate(sorted_cands, init, step)
 
-    def covered(i):
-        return F.call_function("shiftright", st["cov"], i - 1).bitwiseAND(F.lit(1)) == 1
+def marked(word: Column, mark: str = WORD_END, at_start: bool = False) -> Column:
+    """The word with its boundary mark, at the end or at the start."""
+    return F.concat(F.lit(mark), word) if at_start else F.concat(word, F.lit(mark))
 
-    unk = F.filter(F.sequence(F.lit(1), L), lambda i: ~covered(i) & ((i == 1) | covered(F.greatest(i - 1, F.lit(1)))))
-    return F.concat(st["acc"], F.transform(unk, lambda i: F.struct(i.alias("pos"), F.lit(UNK_ID).alias("id"))))
 
+def substring_vocab_match(words: DataFrame, vocab: DataFrame, max_len: int | None = None,
+                          match_specials: bool = True, key: str = "word", mark: str = WORD_END,
+                          at_start: bool = False) -> DataFrame:
+    """Every occurrence ``(key, id, pos, len)`` of every vocabulary token
+    in the marked word (1-based ``pos``; overlapping occurrences kept).
 
-def _segment_array(L: Column, sorted_cands: Column) -> Column:
-    """Same fold with a boolean coverage array, for long words."""
-    init = F.struct(F.array_repeat(F.lit(False), L).alias("cov"), F.array().cast(_POS_ID).alias("acc"))
+    The characters are split once; each position becomes a row with the next
+    ``max_len`` of them, so the work is linear in the word's length."""
+    if not match_specials:
+        vocab = vocab.where(F.col("id") >= N_SPECIAL)
+    max_len = max_len or max_token_length(vocab)
 
-    def step(st, c):
-        free = ~F.exists(F.slice(st["cov"], c["pos"], c["len"]), lambda x: x)
-        cov = F.transform(st["cov"], lambda x, i: x | ((i + 1 >= c["pos"]) & (i + 1 < c["pos"] + c["len"])))
-        taken = F.struct(cov.alias("cov"),
-                         F.concat(st["acc"], F.array(F.struct(c["pos"].alias("pos"), c["id"].alias("id"))))
-                         .alias("acc"))
-        return F.when(free, taken).otherwise(st)
+    def tails(chars):
+        return F.transform(F.sequence(F.lit(1), F.size(chars)),
+                           lambda p: F.array_join(F.slice(chars, p, F.lit(max_len)), ""))
 
-    st = F.aggregate(sorted_cands, init, step)
-    cov = st["cov"]
-    unk = F.filter(F.sequence(F.lit(1), L),
-                   lambda i: ~F.element_at(cov, i) & ((i == 1) | F.element_at(cov, F.greatest(i - 1, F.lit(1)))))
-    return F.concat(st["acc"], F.transform(unk, lambda i: F.struct(i.alias("pos"), F.lit(UNK_ID).alias("id"))))
+    chars = F.split(marked(F.col("word"), mark, at_start), "")
+    at = words.select(key, F.posexplode(F.transform(F.array(chars), tails).getItem(0)).alias("p", "tail"))
+    cands = at.select(key, (F.col("p") + 1).alias("pos"), F.explode(F.transform(
+        F.sequence(F.lit(1), F.length("tail")), lambda k: F.struct(k.alias("len"), F.left(F.col("tail"), k).alias("s"))))
+        .alias("c")).select(key, "pos", F.col("c.len").alias("len"), F.col("c.s").alias("token"))
+    return cands.join(broadcast_if_small(vocab.select("token", "id")), "token").select(key, "id", "pos", "len")
 
 
-def _segment(word: Column, cands: Column) -> Column:
-    """Fold sorted candidates into accepted tokens; emit ids in text order with
-    one ``<unk>`` per maximal uncovered run."""
-    L = F.length(F.concat(word, F.lit(WORD_END)))
-    sorted_cands = F.array_sort(F.coalesce(cands, F.array().cast(_CAND)))
-    events = F.when(L <= _BITMASK_MAX, _segment_bits(L, sorted_cands)).otherwise(_segment_array(L, sorted_cands))
-    return F.transform(F.array_sort(events), lambda e: e["id"])
+def _word_key() -> Column:
+    """What stands for a word in its candidate rows: the word itself if it is
+    short, else its SHA-256 (64 characters, so the two never meet). A very long
+    word is thereby not repeated once per character."""
+    return F.when(F.length("word") < 64, F.col("word")).otherwise(F.sha2(F.col("word").cast("binary"), 256))
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
 def _segment_batch(word_len: pd.Series, ids: pd.Series, pos: pd.Series, lens: pd.Series) -> pd.Series:
-    """Arrow-batched fold over one word per row (same rule as ``_segment``)."""
+    """Arrow-batched fold over one word per row: candidates in (id, pos) order,
+    accepted when they overlap nothing accepted, one ``<unk>`` per uncovered run.
+    Coverage is a byte per character, so a word costs its length and candidates."""
     out = []
-    for L, ci, cp, cl in zip(word_len.to_numpy(), ids, pos, lens):
-        L = int(L)
-        acc = []
+    for n, ci, cp, cl in zip(word_len.to_numpy(), ids, pos, lens):
+        covered = bytearray(int(n))
+        at: dict[int, int] = {}
         if ci is not None and len(ci):
-            order = np.lexsort((cp, ci))
-            cov = 0
-            for j in order:
-                m = ((1 << int(cl[j])) - 1) << (int(cp[j]) - 1)
-                if not cov & m:
-                    cov |= m
-                    acc.append((int(cp[j]), int(ci[j])))
-        else:
-            cov = 0
-        prev = True
-        for i in range(L):
-            c = (cov >> i) & 1
-            if not c and prev:
-                acc.append((i + 1, UNK_ID))
-            prev = bool(c)
-        acc.sort()
-        out.append([t for _, t in acc])
+            for j in np.lexsort((cp, ci)):
+                first, size = int(cp[j]) - 1, int(cl[j])
+                if covered.find(1, first, first + size) < 0:
+                    covered[first:first + size] = b"\x01" * size
+                    at[first] = int(ci[j])
+        free = np.frombuffer(covered, dtype=np.uint8) == 0
+        starts = np.nonzero(free & ~np.concatenate([[False], free[:-1]]))[0]
+        at.update((int(i), UNK_ID) for i in starts)
+        out.append([at[i] for i in sorted(at)])
     return pd.Series(out)
 
 
-def bpe_encode_words(words: DataFrame, vocab: DataFrame, max_len: int | None = None,
-                     match_specials: bool = True, fold: str = "arrow") -> DataFrame:
-    """B3/B4 on distinct words: ``(word, ids ARRAY<INT>)``.
-
-    ``fold='arrow'`` runs the per-word fold as an Arrow-batched pandas UDF (a
-    bounded loop per word, ~5x faster than interpreted lambdas); ``fold='sql'``
-    keeps it in built-in higher-order functions.
-    """
-    words = words.select("word").distinct()
-    cands = substring_vocab_match(words, vocab, max_len, match_specials)
-    grouped = cands.groupBy("word").agg(F.collect_list(F.struct("id", "pos", "len")).alias("cands"))
+def _encode_distinct(words: DataFrame, vocab: DataFrame, max_len: int | None, match_specials: bool) -> DataFrame:
+    """``words`` (one row per word, other columns kept) plus ``ids``."""
+    keyed = words.withColumn("_wk", _word_key())
+    cands = substring_vocab_match(keyed, vocab, max_len, match_specials, key="_wk")
+    grouped = cands.groupBy("_wk").agg(F.collect_list(F.struct("id", "pos", "len")).alias("_cands"))
     # words with no candidate at all (nothing of them in the vocabulary) still encode
-    full = words.join(grouped, "word", "left")
-    if fold == "sql":
-        return full.select("word", _segment(F.col("word"), F.col("cands")).alias("ids"))
-    c = F.coalesce(F.col("cands"), F.array().cast(_CAND))
-    return full.select("word", _segment_batch(F.length(F.concat(F.col("word"), F.lit(WORD_END))),
-                                              c["id"], c["pos"], c["len"]).alias("ids"))
+    full = keyed.join(grouped, "_wk", "left")
+    c = F.coalesce(F.col("_cands"), F.array().cast(_CAND))
+    return full.select(*words.columns, _segment_batch(F.length(marked(F.col("word"))),
+                                                      c["id"], c["pos"], c["len"]).alias("ids"))
 
 
-def encode_sentences(sentences: DataFrame, vocab: DataFrame, max_len: int | None = None,
+def bpe_encode_words(words: DataFrame, vocab: DataFrame, max_len: int | None = None,
                      match_specials: bool = True) -> DataFrame:
-    """``(paragraph_id, idx, sentence)`` → ``(paragraph_id, idx, ids)``.
+    """B3/B4 on distinct words: ``(word, ids ARRAY<INT>)``."""
+    return _encode_distinct(words.select("word").distinct(), vocab, max_len, match_specials)
 
-    Word order is kept; a sentence without words encodes to ``[]``.
-    """
-    words = (sentences.select("paragraph_id", "idx",
-                              F.posexplode(F.split(F.lower(F.col("sentence")), WORD_SPLIT_REGEX))
-                              .alias("wpos", "word"))
-                      .where(F.col("word") != ""))
+
+HOT_WORDS = 100_000  # most frequent words whose ids are broadcast at the most
+
+
+def _encode_with(sentences: DataFrame, encode, lower: bool) -> DataFrame:
+    """``(paragraph_id, idx, sentence)`` → ``(paragraph_id, idx, ids)`` with
+    ``encode`` applied once per distinct word ``(word, n)``."""
+    split = F.filter(F.split(_cased(F.col("sentence"), lower), WORD_SPLIT_REGEX), lambda x: x != "")
+    words = sentences.select("paragraph_id", "idx", F.posexplode(split).alias("wpos", "word"))
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    # one row per distinct word; written once so both join branches read it
-    encoded = cut_lineage(bpe_encode_words(counts.select("word"), vocab, max_len, match_specials))
-    joined = hot_key_join(words, encoded, "word", counts)
+    # one row per distinct word; written once so that all join branches read it
+    encoded = cut_lineage(encode(counts))
+    joined = hot_key_join(words, encoded.select("word", "ids"), "word", encoded.select("word", "n"),
+                          hot_keys=HOT_WORDS)
     per_sentence = (joined.groupBy("paragraph_id", "idx")
                           .agg(F.array_sort(F.collect_list(F.struct("wpos", "ids"))).alias("_w"))
                           .select("paragraph_id", "idx", F.flatten(F.transform("_w", lambda s: s["ids"])).alias("ids")))
-    empty = (sentences.where(F.size(F.filter(F.split(F.lower(F.col("sentence")), WORD_SPLIT_REGEX),
-                                             lambda x: x != "")) == 0)
+    empty = (sentences.where(F.size(split) == 0)
                       .select("paragraph_id", "idx", F.array().cast(T.ArrayType(T.IntegerType())).alias("ids")))
     return per_sentence.unionByName(empty)
 
 
+def encode_sentences(sentences: DataFrame, vocab: DataFrame, max_len: int | None = None,
+                     match_specials: bool = True, lower: bool = True) -> DataFrame:
+    """``(paragraph_id, idx, sentence)`` → ``(paragraph_id, idx, ids)``.
+
+    Word order is kept; a sentence without words encodes to ``[]``.
+    """
+    return _encode_with(sentences, lambda words: _encode_distinct(words, vocab, max_len, match_specials), lower)
+
+
 def decode(seqs: DataFrame, vocab: DataFrame, key_cols: list[str], ids_col: str = "ids") -> DataFrame:
     """Ids → words. Tokens are concatenated and split at the word end; one
     trailing empty piece is dropped. Returns ``key_cols + [words ARRAY<STRING>]``."""
     exploded = seqs.select(*key_cols, F.posexplode(ids_col).alias("p", "id"))
-    named = exploded.join(F.broadcast(vocab.select("id", "token")), "id", "left")
+    named = exploded.join(broadcast_if_small(vocab.select("id", "token")), "id", "left")
     text = (named.groupBy(*key_cols)
                  .agg(F.array_sort(F.collect_list(F.struct("p", "token"))).alias("_t"))
                  .select(*key_cols, F.array_join(F.transform("_t", lambda s: s["token"]), "").alias("_s")))
@@ -198,12 +168,12 @@ def decode(seqs: DataFrame, vocab: DataFrame, key_cols: list[str], ids_col: str
     return text.select(*key_cols, words.alias("words")).unionByName(empty)
 
 
-def roundtrip_check(sentences: DataFrame, vocab: DataFrame) -> DataFrame:
+def roundtrip_check(sentences: DataFrame, vocab: DataFrame, lower: bool = True) -> DataFrame:
     """Sentences whose decode(encode(x)) differs from their word list."""
-    enc = encode_sentences(sentences, vocab)
+    enc = encode_sentences(sentences, vocab, lower=lower)
     dec = decode(enc, vocab, ["paragraph_id", "idx"])
     orig = sentences.select("paragraph_id", "idx",
-                            F.filter(F.split(F.lower(F.col("sentence")), WORD_SPLIT_REGEX),
+                            F.filter(F.split(_cased(F.col("sentence"), lower), WORD_SPLIT_REGEX),
                                      lambda x: x != "").alias("orig"))
     return (orig.join(dec, ["paragraph_id", "idx"])
                 .where(F.col("orig") != F.col("words"))
@@ -245,32 +215,44 @@ def _viterbi_batch(word_len: pd.Series, ids: pd.Series, pos: pd.Series, lens: pd
     return pd.Series(out)
 
 
-def unigram_encode_words(words: DataFrame, vocab: DataFrame) -> DataFrame:
-    """``vocab(id, token, score)`` log-probability pieces → max-likelihood
-    ids per distinct word (same candidate join as B3; the word end mark plays
-    the role of the word-boundary symbol). Unknown characters score
-    ``min(score) - 10``."""
-    words = words.select("word").distinct()
-    pieces = vocab.where(F.col("id") >= 5)
-    cands = substring_vocab_match(words, pieces).join(F.broadcast(pieces.select("id", "score")), "id")
-    grouped = cands.groupBy("word").agg(F.collect_list(F.struct("id", "pos", "len", "score")).alias("c"))
-    unk = pieces.agg(F.min("score")).first()[0] - 10.0  # one scalar
-    full = words.join(grouped, "word", "left")
-    empty = F.array().cast(T.ArrayType(T.StructType([T.StructField("id", T.IntegerType()),
-                                                     T.StructField("pos", T.IntegerType()),
-                                                     T.StructField("len", T.IntegerType()),
-                                                     T.StructField("score", T.DoubleType())])))
+def _unigram_distinct(words: DataFrame, vocab: DataFrame, mark: str, at_start: bool) -> DataFrame:
+    token = "piece" if "piece" in vocab.columns else "token"
+    pieces = vocab.where(F.col("id") >= N_SPECIAL).select("id", F.col(token).alias("token"),
+                                                          F.col("score").cast("double").alias("score"))
+    keyed = words.withColumn("_wk", _word_key())
+    cands = substring_vocab_match(keyed, pieces, key="_wk", mark=mark, at_start=at_start).join(
+        broadcast_if_small(pieces.select("id", "score")), "id")
+    grouped = cands.groupBy("_wk").agg(F.collect_list(F.struct("id", "pos", "len", "score")).alias("c"))
+    unk = (pieces.agg(F.min("score")).first()[0] or 0.0) - 10.0  # one scalar
+    full = keyed.join(grouped, "_wk", "left")
+    empty = F.array().cast("array<struct<id:int,pos:int,len:int,score:double>>")
     c = F.coalesce(F.col("c"), empty)
-    return full.select("word", _viterbi_batch(F.length(F.concat(F.col("word"), F.lit(WORD_END))),
-                                              c["id"], c["pos"], c["len"], c["score"].cast("array<double>"),
-                                              F.lit(unk)).alias("ids"))
+    return full.select(*words.columns, _viterbi_batch(F.length(marked(F.col("word"), mark, at_start)),
+                                                      c["id"], c["pos"], c["len"], c["score"], F.lit(unk)).alias("ids"))
+
+
+def unigram_encode_words(words: DataFrame, vocab: DataFrame, mark: str = WORD_END,
+                         at_start: bool = False) -> DataFrame:
+    """``vocab(id, token | piece, score)`` log-probability pieces →
+    max-likelihood ids per distinct word (same candidate join as B3). Unknown
+    characters score ``min(score) - 10``. A vocabulary file (S3) marks the
+    start of a word: ``mark=WORD_START, at_start=True``."""
+    return _unigram_distinct(words.select("word").distinct(), vocab, mark, at_start)
+
+
+def unigram_encode_sentences(sentences: DataFrame, vocab: DataFrame, mark: str = WORD_START,
+                             at_start: bool = True, lower: bool = False) -> DataFrame:
+    """B7/B8 with the pieces and scores of a vocabulary file; the case is kept.
+    Pieces hold the word mark only in front, so words are independent."""
+    return _encode_with(sentences, lambda words: _unigram_distinct(words, vocab, mark, at_start), lower)
 
 
 def unigram_scores(encoded: DataFrame, vocab: DataFrame) -> DataFrame:
     """Piece log-probabilities from token frequencies of an encoded corpus
     (one counting pass, partial aggregation); unseen pieces get the minimum."""
-    freq = encoded.select(F.explode("ids").alias("id")).where(F.col("id") >= 5).groupBy("id").count()
-    total = freq.agg(F.sum("count")).first()[0] or 1
-    scored = vocab.join(freq, "id", "left").select("id", "token", F.log(F.col("count") / F.lit(total)).alias("score"))
-    low = scored.agg(F.min("score")).first()[0] or 0.0
-    return scored.select("id", "token", F.coalesce(F.col("score"), F.lit(low)).alias("score"))
+    # a row per piece, written once: the total and the minimum read it again
+    freq = cut_lineage(encoded.select(F.explode("ids").alias("id")).where(F.col("id") >= N_SPECIAL)
+                       .groupBy("id").count())
+    total, least = freq.agg(F.sum("count"), F.min("count")).first()
+    score = F.log(F.coalesce(F.col("count"), F.lit(least or 1)) / F.lit(total or 1))
+    return vocab.join(broadcast_if_small(freq), "id", "left").select("id", "token", score.alias("score"))

@@ -9,11 +9,12 @@ hundred candidate pairs to the driver; the merges themselves are a map-only
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmill.functions.constants import N_SPECIAL, SPECIAL_TOKENS, WORD_END
+from textmill.operators.index import dense_index
 from textmill.session import cut_lineage
 
 
@@ -33,8 +34,9 @@ def symbolize(counts: DataFrame) -> DataFrame:
 
 
 def alphabet(words: DataFrame) -> DataFrame:
-    """A2: distinct symbols (characters of all words, plus the word end)."""
-    return (words.select(F.explode(F.split(F.concat(F.col("word"), F.lit(WORD_END)), "")).alias("symbol"))
+    """A2: distinct symbols (characters of all words, plus the word end), taken
+    from the distinct words."""
+    return (words.select("word").distinct().select(F.explode(F.split(F.concat(F.col("word"), F.lit(WORD_END)), "")).alias("symbol"))
                  .distinct())
 
 
@@ -61,13 +63,20 @@ def best_pair(pairs: DataFrame, k: int = 1) -> DataFrame:
 
 def merge_pair_expr(symbols: Column, left: str, right: str) -> Column:
     """B2: replace adjacent ``(left, right)`` by ``left+right``, left to right,
-    non-overlapping. A merged symbol never equals ``left``, so it is not re-merged."""
+    non-overlapping. A merged symbol never equals ``left``, so it is not re-merged.
+    Words that lack one of the two symbols are passed over."""
     l, r = F.lit(left), F.lit(right)
-    return F.aggregate(
-        symbols, F.array().cast(T.ArrayType(T.StringType())),
-        lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1) == l) & (x == r),
-                              F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.lit(left + right))))
-                        .otherwise(F.concat(acc, F.array(x))))
+
+    def merged(s):
+        return F.aggregate(
+            s, F.array().cast(T.ArrayType(T.StringType())),
+            lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1) == l) & (x == r),
+                                  F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.lit(left + right))))
+                            .otherwise(F.concat(acc, F.array(x))))
+
+    # a lambda over the one array: ``symbols`` may be an expression and is computed once
+    return F.transform(F.array(symbols), lambda s: F.when(
+        F.array_contains(s, l) & F.array_contains(s, r), merged(s)).otherwise(s)).getItem(0)
 
 
 def merge_pair(state: DataFrame, left: str, right: str) -> DataFrame:
@@ -115,7 +124,7 @@ def bpe_train(spark: SparkSession, words: DataFrame, max_vocab_size: int,
     a merge whose string already exists still consumes a round.
     """
     state = cut_lineage(symbolize(word_counts(words)).select("symbols", "n", "first_doc", "first_pos"))
-    vocab = {r["symbol"] for r in alphabet(words).collect()}  # bounded by the character set
+    vocab = {r[0] for r in state.select(F.explode("symbols")).distinct().collect()}  # bounded by the character set
     merges: list[tuple[str, str]] = []
     rounds = 0
     release = None  # cached parent of ``state``; dropped once ``state`` itself is cached
@@ -155,29 +164,27 @@ def vocab_table(spark: SparkSession, tokens: list[str]) -> DataFrame:
     return spark.createDataFrame([(i, t) for i, t in enumerate(tokens)], "id int, token string")
 
 
-MAX_VOCAB_ROWS = 1_000_000
+LOCAL_VOCAB_ROWS = 200_000
 
 
 def materialize_vocab(vocab: DataFrame) -> DataFrame:
-    """Pull a vocabulary (bounded by its maximum size, checked here) to the
-    driver once and hand back a local table, so every later broadcast and
-    lookup reuses it instead of recomputing its derivation."""
-    rows = vocab.select("id", "token").limit(MAX_VOCAB_ROWS + 1).collect()
-    if len(rows) > MAX_VOCAB_ROWS:
-        raise ValueError(f"vocabulary exceeds {MAX_VOCAB_ROWS} rows")
+    """Compute a vocabulary once: as a local table if it is small, which every
+    later lookup reuses, else as a checkpointed one of any size."""
+    rows = vocab.select("id", "token").limit(LOCAL_VOCAB_ROWS + 1).collect()
+    if len(rows) > LOCAL_VOCAB_ROWS:
+        return cut_lineage(vocab.select("id", "token"))
     return vocab.sparkSession.createDataFrame([(r[0], r[1]) for r in rows], "id int, token string")
 
 
 def vocab_order(learned: DataFrame, token_col: str = "token") -> DataFrame:
     """T1 + U1: specials first, then distinct learned tokens by length desc,
-    token asc; id = 5 + rank. The window has no partition key on purpose: the
-    input is a vocabulary, bounded by its maximum size, not by the data."""
+    token asc; id = 5 + rank."""
     spark = learned.sparkSession
     toks = (learned.select(F.col(token_col).alias("token"))
                    .where(~F.col("token").isin(SPECIAL_TOKENS))
                    .dropDuplicates(["token"]))
-    w = Window.orderBy(F.length("token").desc(), F.col("token"))
-    ranked = toks.select((F.row_number().over(w) + (N_SPECIAL - 1)).cast("int").alias("id"), "token")
+    ranked = dense_index(toks.withColumn("_shorter", -F.length("token")), ["_shorter", "token"], out="_rank")
+    ranked = ranked.select((F.col("_rank") + N_SPECIAL).cast("int").alias("id"), "token")
     specials = spark.createDataFrame([(i, t) for i, t in enumerate(SPECIAL_TOKENS)], "id int, token string")
     return specials.unionByName(ranked)
 

@@ -6,6 +6,8 @@ operators compute, so the driver can compare both engines row for row.
 
 from __future__ import annotations
 
+import re
+
 from textmill.functions.constants import DEMO_PIECES, SPECIAL_TOKENS
 
 _SPECIALS_IN = ", ".join(f"'{t}'" for t in SPECIAL_TOKENS)
@@ -102,4 +104,6 @@ def encode_sents(sents: str = "doc_sents", words: str = "sent_words", enc: str =
 
 
 def with_(*ctes: str) -> str:
-    return "WITH " + ",".join(c.strip("\n") for c in ctes) + "\n"
+    """Each CTE is computed once, whatever number of times it is named."""
+    every = ",".join(c.strip("\n") for c in ctes)
+    return "WITH " + re.sub(r"(?m)^(\w+) AS \(", r"\1 AS MATERIALIZED (", every) + "\n"

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.functions.constants import BATCH_SIZE, DEMO_PIECES, VAL_STEPS
+from textmill.functions.constants import BATCH_SIZE, CLS_ID, DEMO_PIECES, MASK_RATE, MSK_ID, SEP_ID, VAL_STEPS
 from textmill.operators import encode as E
 from textmill.operators import vocab as V
 from textmill.operators.index import dense_index
@@ -142,11 +142,7 @@ def q_merge_pair(spark, sf):
 SELECT (SELECT count(*) FROM documents) AS n_paragraphs, (SELECT count(*) FROM doc_sents) AS n_sentences,
        (SELECT count(*) FROM doc_words) AS n_words""")
 def q_corpus_size(spark, sf):
-    docs = TB.load(spark, sf, "documents")
-    a = docs.agg(F.count(F.lit(1)).alias("n_paragraphs"))
-    b = doc_sents(spark, sf).agg(F.count(F.lit(1)).alias("n_sentences"))
-    c = doc_words(spark, sf).agg(F.count(F.lit(1)).alias("n_words"))
-    return a.crossJoin(b).crossJoin(c)  # three one-row aggregates
+    return TB.corpus_size(TB.load(spark, sf, "documents"))
 
 
 @register("dense_index", "SELECT doc_id, CAST(row_number() OVER (ORDER BY n_chars, doc_id) - 1 AS BIGINT) AS rn FROM documents")
@@ -249,10 +245,9 @@ SELECT CAST(max(len(ids)) AS BIGINT) AS max_sentence_tokens,
 FROM enc_sents""")
 def q_sentence_length_stats(spark, sf):
     enc, _ = encoded_doc_sents(spark, sf)
-    sent = enc.agg(F.max(F.size("ids")).cast("long").alias("max_sentence_tokens"))
-    review = (enc.groupBy("paragraph_id").agg(F.sum(F.size("ids")).alias("t"))
-                 .agg((F.max("t") + 2).cast("long").alias("max_review_tokens")))
-    return sent.crossJoin(review)
+    return (enc.groupBy("paragraph_id").agg(F.max(F.size("ids")).alias("m"), F.sum(F.size("ids")).alias("t"))
+               .agg(F.max("m").cast("long").alias("max_sentence_tokens"),
+                    (F.max("t") + 2).cast("long").alias("max_review_tokens")))
 
 
 @register("encode_unknowns", O.with_(O.CONV_SENTS, O.DOC_WORDS, O.sent_words("conv_sents", "cs_words"),
@@ -296,6 +291,27 @@ def q_roundtrip_check(spark, sf):
                       F.array_join("words", " ").alias("words"))
 
 
+_ROUNDTRIP_MARKED = O.with_(r"""
+doc_sents AS (
+  SELECT doc_id AS paragraph_id, CAST(generate_subscripts(l, 1) - 1 AS BIGINT) AS idx, replace(unnest(l), 'e', 'e_') AS sentence
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))""", rf"""
+orig AS (SELECT paragraph_id, idx, list_filter(string_split_regex(lower(sentence), {O.WORD_RE}), lambda x: x <> '') AS o
+         FROM doc_sents)""") + """
+SELECT paragraph_id, idx, array_to_string(o, ' ') AS orig, replace(array_to_string(o, ' '), '_', ' ') AS words
+FROM orig WHERE contains(array_to_string(o, ''), '_')"""
+
+
+@register("roundtrip_marked", _ROUNDTRIP_MARKED)
+def q_roundtrip_marked(spark, sf):
+    """B6 where it must find something: texts that hold the word-end mark itself
+    come back split at it."""
+    marked = doc_sents(spark, sf).withColumn("sentence", F.replace("sentence", F.lit("e"), F.lit("e_")))
+    vocab = demo_vocab(spark, TB.sentence_words(marked))
+    bad = E.roundtrip_check(marked, vocab)
+    return bad.select("paragraph_id", "idx", F.array_join("orig", " ").alias("orig"),
+                      F.array_join("words", " ").alias("words"))
+
+
 # ------------------------------------------------------- example generation --
 from textmill.operators import examples as X  # noqa: E402
 from textmill.plans.examples_sql import with_examples  # noqa: E402
@@ -427,17 +443,26 @@ def q_mlm_corrupt(spark, sf):
     return example_state(spark, sf)["examples"].select("example_id", ids_str("mlm").alias("mlm"))
 
 
-@register("mlm_short_fallback", with_examples() + """
-SELECT example_id, L AS len, k, nc AS n_content FROM m3 WHERE fb""")
+@register("mlm_short_fallback", O.with_(*_ENC_DOCS) + """
+SELECT word, 2 * len(ids) + 3 AS len, CAST(floor((2 * len(ids) + 3) * 0.15::DOUBLE) AS INTEGER) AS k,
+       2 * len(list_filter(ids, lambda x: x NOT IN (2, 3))) AS n_content, 1 AS n_masked, 1 AS n_msk
+FROM enc_words WHERE len(list_filter(ids, lambda x: x NOT IN (2, 3))) > 0
+  AND (floor((2 * len(ids) + 3) * 0.15::DOUBLE) = 0
+       OR floor((2 * len(ids) + 3) * 0.15::DOUBLE) > 2 * len(list_filter(ids, lambda x: x NOT IN (2, 3))))""")
 def q_mlm_short_fallback(spark, sf):
-    st = example_state(spark, sf)
-    src = X.pair_pack(F.col("a"), F.col("b"))
-    df = st["pairs"].select("example_id", src.alias("src"))
+    """E6 on the shortest pairs there are: a word with itself."""
+    vocab = demo_vocab(spark, doc_words(spark, sf))
+    words = E.bpe_encode_words(TB.sentence_words(doc_sents(spark, sf)), vocab)
+    pairs = words.select(F.col("word").alias("example_id"), F.lit(True).alias("nsp"),
+                         F.col("ids").alias("a"), F.col("ids").alias("b"))
+    ex = X.mask_tokens(pairs, vocab.count())
     L = F.size("src")
-    nc = F.size(F.filter("src", lambda x: ~x.isin(2, 3)))
-    k = F.floor(L.cast("double") * 0.15).cast("int")
-    return (df.select("example_id", L.alias("len"), k.alias("k"), nc.alias("n_content"))
-              .where((F.col("n_content") > 0) & ((F.col("k") == 0) | (F.col("k") > F.col("n_content")))))
+    k = F.floor(L.cast("double") * MASK_RATE).cast("int")
+    nc = F.size(F.filter("src", lambda x: ~x.isin(CLS_ID, SEP_ID)))
+    return ex.where((k == 0) | (k > nc)).select(
+        F.col("example_id").alias("word"), L.alias("len"), k.alias("k"), nc.alias("n_content"),
+        F.size(F.filter("mask", lambda m: m)).alias("n_masked"),
+        F.size(F.filter("mlm", lambda t: t == MSK_ID)).alias("n_msk"))
 
 
 @register("pretrain_examples", with_examples() + f"""

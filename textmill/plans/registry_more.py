@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from textmill.functions.constants import BATCH_SIZE, POS_MAX_LEN
+from textmill.functions.constants import BATCH_SIZE, POS_MAX_LEN, TRAIN_STEPS, WORD_START
 from textmill.functions.rng import draw
 from textmill.operators import batching as B
 from textmill.operators import evaluate as EV
@@ -17,7 +17,7 @@ from textmill.operators import features as FT
 from textmill.operators import learn as LN
 from textmill.operators import vectors as VC
 from textmill.plans import oracle_sql as O
-from textmill.plans.examples_sql import EX_CTES, _d, with_examples
+from textmill.plans.examples_sql import _d, with_examples
 from textmill.plans.registry import (_BOOL_SQL, bool_str, example_state, ids_str, register)
 from textmill.session import checkpoint_dir, cut_lineage
 from textmill.sources import tables as TB
@@ -181,7 +181,33 @@ def q_positional_table(spark, sf):
     return FT.positional_table(spark, max_len, _EMB_DIM).select("pos", "dim", F.round("value", 6).alias("value"))
 
 
-@register("embedding_lookup", None)
+_POSITION = f"""CASE WHEN i % 2 = 0 THEN sin(p * exp(floor(i / 2) * 2 * (-ln(10000.0) / {_EMB_DIM})))
+                  ELSE cos(p * exp(floor(i / 2) * 2 * (-ln(10000.0) / {_EMB_DIM}))) END"""
+
+
+@register("add_positions", f"""
+SELECT vec_id, CAST(i AS INTEGER) AS dim, round(CAST(embedding[i + 1] AS DOUBLE) + {_POSITION}, 5) AS value,
+       p >= {POS_MAX_LEN} AS beyond_max_len
+FROM (SELECT vec_id, embedding, vec_id AS p FROM embeddings), range(0, {_EMB_DIM}) r(i)""")
+def q_add_positions(spark, sf):
+    """the vector table as one sequence, ``vec_id`` being the position."""
+    emb = TB.load(spark, sf, "embeddings").select("vec_id", F.col("vec_id").alias("pos"), F.col("embedding").alias("vector"))
+    return (FT.add_positions(emb, _EMB_DIM, POS_MAX_LEN)
+            .select("vec_id", "beyond_max_len", F.posexplode("vector").alias("dim", "value"))
+            .select("vec_id", "dim", F.round("value", 5).alias("value"), "beyond_max_len"))
+
+
+@register("embedding_lookup", with_examples("""
+tk AS (SELECT example_id, generate_subscripts(src, 1) - 1 AS pos, unnest(src) AS token,
+              unnest(list_transform(src, lambda x, i: len(list_filter(seps, lambda s: s < i - 1)))) AS seg
+       FROM (SELECT example_id, src, list_filter(range(0, len(src)), lambda i: src[i + 1] = 3) AS seps FROM examples))""",
+    """
+es AS (SELECT vec_id, list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS s FROM embeddings)""", f"""
+pe AS (SELECT p, sum({_POSITION}) AS s FROM range(0, (SELECT max(pos) + 1 FROM tk)) r(p), range(0, {_EMB_DIM}) q(i) GROUP BY p)""") + f"""
+SELECT example_id AS seq_id, count(*) AS n_positions,
+       round(sum(CASE WHEN token = 0 THEN 0 ELSE coalesce(t.s, 0) + pe.s + coalesce(g.s, 0) END), 3) AS vector_sum,
+       CAST(sum(CASE WHEN pos >= {POS_MAX_LEN} THEN 1 ELSE 0 END) AS BIGINT) AS n_beyond_max_len
+FROM tk LEFT JOIN es t ON t.vec_id = token LEFT JOIN es g ON g.vec_id = seg AND seg < 3 JOIN pe ON pe.p = pos GROUP BY example_id""")
 def q_embedding_lookup(spark, sf):
     """Example tokens → token + position + segment vectors (per-example sums)."""
     ex = example_state(spark, sf)["examples"]
@@ -454,27 +480,55 @@ def q_stream_encode(spark, sf):
     return enc.select("paragraph_id", "idx", ids_str("ids").alias("ids"), F.size("ids").cast("long").alias("n_tokens"))
 
 
-@register("stream_running_metrics", """
-SELECT event_type AS split, count(*) AS n, round(avg(value), 6) AS mean_value FROM events GROUP BY event_type""")
+@register("stream_running_metrics", O.with_(*_METRIC_ROWS) + """
+SELECT epoch, split, count(*) AS n, round(avg(value), 6) AS mean_value FROM mrows GROUP BY epoch, split""")
 def q_stream_running_metrics(spark, sf):
+    """The metric rows arrive as four files, hence four micro-batches."""
     from textmill.streaming.streams import stream_running_metrics
-    out = scratch(spark, "stream-metrics")
-    res = stream_running_metrics(spark, f"{sf.rstrip('/')}/events.parquet", out, os.path.basename(out))
-    return res.select("split", "n", F.round("mean_value", 6).alias("mean_value"))
+    rows, out = scratch(spark, "metric-rows"), scratch(spark, "stream-metrics")
+    metric_rows(spark, sf).repartition(4, "step_key").write.parquet(rows)
+    res = stream_running_metrics(spark, rows, out, os.path.basename(out))
+    return res.select("epoch", "split", "n", F.round("mean_value", 6).alias("mean_value"))
 
 
 # ------------------------------------------------------ file sources and sinks --
-@register("read_labeled_csv", None)
-def q_read_labeled_csv(spark, sf):
+_LABELLED = """
+lab AS (SELECT CASE WHEN quality = 1 THEN 'positive' ELSE 'negative' END AS label_text, coalesce(quality = 1, false) AS label,
+               string_split(text, chr(10)) AS sentences
+        FROM documents JOIN labels USING (doc_id))"""
+
+
+def _labelled_csv(spark, sf) -> str:
     from textmill.sources import files as FS
     docs = TB.labelled_documents(TB.load(spark, sf, "documents"), TB.load(spark, sf, "labels"))
     path = scratch(spark, "labeled-csv")
     FS.write_labeled_csv(docs.select("label_text", F.split("text", "\n").alias("sentences")), path)
-    back = FS.read_labeled_csv(spark, path)
-    return back.select("label_text", "label", F.size("sentences").alias("n_sentences"))
+    return path
 
 
-@register("read_vocab", None)
+@register("read_labeled_csv", O.with_(_LABELLED) + """
+SELECT label_text, label, CAST(len(sentences) AS INTEGER) AS n_sentences, array_to_string(sentences, chr(10)) AS text FROM lab""")
+def q_read_labeled_csv(spark, sf):
+    """S1 reads what was written as a ragged CSV."""
+    from textmill.sources import files as FS
+    back = FS.read_labeled_csv(spark, _labelled_csv(spark, sf))
+    return back.select("label_text", "label", F.size("sentences").alias("n_sentences"),
+                       F.array_join("sentences", "\n").alias("text"))
+
+
+@register("read_paragraphs_file", O.with_(_LABELLED) + """
+SELECT idx, sentence, count(*) AS n
+FROM (SELECT CAST(generate_subscripts(sentences, 1) - 1 AS BIGINT) AS idx, unnest(sentences) AS sentence FROM lab)
+GROUP BY idx, sentence""")
+def q_read_paragraphs_file(spark, sf):
+    """S2 reads the same file; the ids it gives are its own, so rows are compared without them."""
+    from textmill.sources import files as FS
+    back = FS.read_paragraphs(spark, _labelled_csv(spark, sf))
+    return back.groupBy("idx", "sentence").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("read_vocab", O.with_(O.DOC_WORDS, O.demo_vocab()) + """
+SELECT id, token AS piece, -CAST(length(token) AS DOUBLE) AS score FROM vocab""")
 def q_read_vocab(spark, sf):
     from textmill.plans.registry import demo_vocab, doc_words
     from textmill.sources import files as FS
@@ -485,7 +539,8 @@ def q_read_vocab(spark, sf):
     return FS.read_vocab(spark, path)
 
 
-@register("write_examples", None)
+@register("write_examples", with_examples() + f"""
+SELECT CAST(floor(example_id / {TRAIN_STEPS * BATCH_SIZE}) AS INTEGER) AS epoch, count(*) AS n FROM examples GROUP BY 1""")
 def q_write_examples(spark, sf):
     from textmill.sources import files as FS
     path = scratch(spark, "examples")
@@ -493,7 +548,8 @@ def q_write_examples(spark, sf):
     return spark.read.parquet(path).groupBy("epoch").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("write_metrics", None)
+@register("write_metrics", O.with_(*_METRIC_ROWS) + """
+SELECT epoch, split, value, n_batches, 'events' AS run, 'value' AS metric FROM em""")
 def q_write_metrics(spark, sf):
     from textmill.sources import files as FS
     path = scratch(spark, "metrics")
@@ -531,3 +587,42 @@ def q_unigram_encode(spark, sf):
     scored = E.unigram_scores(st["enc"], st["vocab"])
     words = TB.sentence_words(doc_sents(spark, sf)).select("word").distinct()
     return E.unigram_encode_words(words, scored).select("word", ids_str("ids").alias("ids"))
+
+
+# --------------------------------------------------- vocabulary file to examples --
+PIECE_WORDS = 4_000  # most frequent words that become pieces of the vocabulary file
+
+
+def piece_file(spark, sents, path: str) -> None:
+    """A vocabulary file ``piece<TAB>log-probability`` of the given sentences: the
+    special tokens, the most frequent words with their start mark, and every
+    character (also behind a start mark), most probable first."""
+    from textmill.functions.constants import SPECIAL_TOKENS, WORD_SPLIT_REGEX
+    words = sents.select(F.explode(F.split("sentence", WORD_SPLIT_REGEX)).alias("word")).where(F.col("word") != "")
+    counts = cut_lineage(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    whole = (counts.orderBy(F.col("n").desc(), "word").limit(PIECE_WORDS)
+             .select(F.concat(F.lit(WORD_START), "word").alias("piece"), "n"))
+    chars = counts.select(F.explode(F.split(F.concat(F.lit(WORD_START), "word"), "")).alias("piece"), "n")
+    pieces = whole.unionByName(chars).groupBy("piece").agg(F.sum("n").alias("n")).where(~F.col("piece").isin(SPECIAL_TOKENS))
+    total = pieces.agg(F.sum("n")).first()[0] or 1
+    rows = pieces.select("piece", F.round(F.log(F.col("n") / total), 6).alias("score"))
+    special = spark.createDataFrame([(t, 0.0) for t in SPECIAL_TOKENS], "piece string, score double")
+    (special.withColumn("o", F.monotonically_increasing_id() - F.lit(1 << 60)).unionByName(rows.withColumn("o", F.lit(0)))
+     .orderBy("o", F.col("score").desc(), "piece").select(F.concat_ws("\t", "piece", F.col("score").cast("string")))
+     .coalesce(1).write.text(path))  # one vocabulary, bounded by PIECE_WORDS and the character set
+
+
+@register("unigram_pretrain_examples", None)
+def q_unigram_pretrain_examples(spark, sf):
+    """S3 → B7 → E7: examples from the documents encoded, in their own case, with
+    the pieces and scores of a vocabulary file."""
+    from textmill.operators import encode as E
+    from textmill.plans.registry import doc_sents
+    from textmill.sources import files as FS
+    sents, path = doc_sents(spark, sf), scratch(spark, "pieces")
+    piece_file(spark, sents, path)
+    vocab = cut_lineage(FS.read_vocab(spark, path))
+    enc = cut_lineage(E.unigram_encode_sentences(sents, vocab))
+    ex = X.pretrain_examples(X.prepare_paragraphs(enc), enc.count(), vocab.count())
+    return ex.select("example_id", ids_str("src").alias("src"), ids_str("mlm").alias("mlm"),
+                     bool_str(F.col("mask")).alias("mask"), "nsp")

@@ -20,7 +20,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations"]
 
 
-_SPREAD_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
+# unique keys: one long conversation is spread as well
+_SPREAD_KEYS = {"documents": ["doc_id"], "conversations": ["conv_id", "turn"], "pages": ["page_id"]}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
@@ -33,7 +34,7 @@ def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> Da
     if spread and key is not None:
         cores = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores, key)
+            df = df.repartition(cores, *key)
     return df
 
 
@@ -53,9 +54,13 @@ def conversations_as_paragraphs(conversations: DataFrame) -> DataFrame:
             .select("paragraph_id", "idx", "sentence"))
 
 
-def paragraph_sizes(sentences: DataFrame) -> DataFrame:
-    """``(paragraph_id, n_sentences)`` — partial aggregation absorbs hot paragraphs."""
-    return sentences.groupBy("paragraph_id").agg(F.count(F.lit(1)).alias("n_sentences"))
+def corpus_size(documents: DataFrame) -> DataFrame:
+    """A4: paragraphs, sentences and words in one aggregation."""
+    lines = F.size(F.split(F.col("text"), "\n"))
+    words = F.size(F.filter(F.split(F.lower(F.col("text")), WORD_SPLIT_REGEX), lambda w: w != ""))
+    total = lambda n: F.coalesce(F.sum(n), F.lit(0)).cast("long")
+    return documents.agg(F.count(F.lit(1)).alias("n_paragraphs"), total(lines).alias("n_sentences"),
+                         total(words).alias("n_words"))
 
 
 def corpus_words(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
