@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.operators.index import dense_index_within
+from textmill.operators.joins import broadcast_if_small
 
 
 def argmax_label(col: str) -> F.Column:
@@ -45,7 +46,8 @@ def metrics_batches(rows: DataFrame, batch_size: int, group=("epoch", "split"),
     """Fixed-order batches inside each (epoch, split); last partial batch dropped
     (its rows do not count, as with ``drop_last``). Skew-safe per-group index."""
     ranked = dense_index_within(rows, list(group), [order], out="_rn")
-    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    # a row per group: broadcast, so that a large group is not brought together
+    sizes = broadcast_if_small(rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")))
     return (ranked.join(sizes, list(group))
                   .where(F.col("_rn") < F.floor(F.col("_n") / batch_size) * batch_size)
                   .withColumn("batch", F.floor(F.col("_rn") / batch_size).cast("long"))

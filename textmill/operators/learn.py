@@ -15,6 +15,9 @@ from pyspark.ml.feature import CountVectorizer, Word2Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textmill.operators.evaluate import epoch_metrics, metrics_batches
+from textmill.session import cut_lineage
+
 
 def merge_params(own: DataFrame, pretrained: DataFrame) -> DataFrame:
     """Own parameters overwritten by pretrained ones of the same name;
@@ -78,3 +81,33 @@ def score_documents(model: PipelineModel, docs: DataFrame) -> DataFrame:
     probs = vector_to_array("probability")
     return out.select("doc_id", (F.array_position(probs, F.array_max(probs)) - 1 == 1).alias("pred"),
                       F.col("label").alias("truth"))
+
+
+def training_rows(train: DataFrame, val: DataFrame, use_pretrained: bool, epochs: int, dim: int = 32, seed: int = 0,
+                  unlabelled: DataFrame | None = None) -> DataFrame:
+    """The course of M2: ``(step_key, epoch, split, loss, accuracy)``, a row per
+    document, split and epoch. Epoch ``e`` is the classifier after ``e + 1``
+    optimiser steps over the training data; the features are computed once."""
+    from pyspark.ml.functions import vector_to_array
+    features = fit_classifier(train, use_pretrained, dim, seed, max_iter=1, unlabelled=unlabelled).stages[0]
+    data = {split: cut_lineage(features.transform(_as_terms(df)).select(
+        F.col("doc_id").alias("step_key"), F.col("label").cast("double").alias("y"), "features"))
+        for split, df in (("train", train), ("val", val))}
+    out = None
+    for epoch in range(epochs):
+        model = LogisticRegression(featuresCol="features", labelCol="y", maxIter=epoch + 1).fit(data["train"])
+        for split, df in data.items():
+            scored = model.transform(df)
+            p = F.greatest(F.element_at(vector_to_array("probability"), F.col("y").cast("int") + 1), F.lit(1e-12))
+            rows = scored.select("step_key", F.lit(epoch).cast("long").alias("epoch"), F.lit(split).alias("split"),
+                                 (-F.log(p)).alias("loss"), (F.col("prediction") == F.col("y")).cast("double").alias("accuracy"))
+            out = rows if out is None else out.unionByName(rows)
+    return cut_lineage(out)
+
+
+def training_history(rows: DataFrame, batch_size: int) -> DataFrame:
+    """A7 over ``training_rows``: ``(epoch, split, metric, value, n_batches)``,
+    means over full batches of the batch means of loss and accuracy."""
+    batched = cut_lineage(metrics_batches(rows, batch_size))
+    parts = [epoch_metrics(batched, metric, batch_size).withColumn("metric", F.lit(metric)) for metric in ("loss", "accuracy")]
+    return parts[0].unionByName(parts[1])

@@ -451,6 +451,38 @@ def q_score_documents(spark, sf):
     return LN.score_documents(model, classification(spark, sf, unlabelled=True))
 
 
+EPOCHS = 3
+_HISTORY: dict = {}
+
+
+def history_state(spark, sf):
+    """``(run, epoch, split, metric, value, n_batches)`` of both runs, computed once per session and input."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _HISTORY:
+        train, val = (cut_lineage(df) for df in _train_val(spark, sf))
+        out = None
+        for run, use in (("counts", False), ("with_vectors", True)):
+            unl = example_state(spark, sf)["enc"] if use else None
+            rows = LN.training_rows(train, val, use, EPOCHS, dim=16, unlabelled=unl)
+            part = LN.training_history(rows, BATCH_SIZE).withColumn("run", F.lit(run))
+            out = part if out is None else out.unionByName(part)
+        _HISTORY[key] = cut_lineage(out)
+    return _HISTORY[key]
+
+
+@register("training_history", None)
+def q_training_history(spark, sf):
+    """M2 → A7: loss and accuracy per run, epoch and split."""
+    return history_state(spark, sf).select("run", "epoch", "split", "metric", "value", "n_batches")
+
+
+@register("compare_training_runs", None)
+def q_compare_training_runs(spark, sf):
+    """M4: accuracy with and without the vectors, a column per run and split."""
+    m = history_state(spark, sf).where(F.col("metric") == "accuracy").withColumn("split", F.concat_ws("_", "run", "split"))
+    return EV.compare_runs(m, [f"{r}_{s}" for r in ("counts", "with_vectors") for s in ("train", "val")])
+
+
 # ------------------------------------------------------------------ streaming --
 @register("stream_examples", with_examples() + f"""
 SELECT example_id, array_to_string(src, ' ') AS src, array_to_string(mlm, ' ') AS mlm,
