@@ -182,6 +182,19 @@ def test_near_duplicates_keep_one(spark):
     assert fingerprint(None) == 0
 
 
+def test_near_duplicates_keep_unlike_texts_of_one_id(spark):
+    other = " ".join(reversed(LONG.split()))
+    rows = [(None, LONG), (None, other), (None, "quite another text"), (7, "alpha beta gamma delta"), (7, "one two three four five"),
+            (7, "one two three four five"), (None, LONG), (8, other), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(r) for r in drop_near_duplicates(df).collect()} == set(rows) - {(None, other)}
+    assert drop_near_duplicates(df).count() == 6
+    # a third of the rows without an id, as in the pipeline
+    docs = [(None if i % 3 == 0 else i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(90)]
+    kept = drop_near_duplicates(spark.createDataFrame(docs, df.schema)).collect()
+    assert sorted(r.text for r in kept) == sorted(t for _, t in docs)
+
+
 @pytest.mark.parametrize("pack_words,bucket_bytes", [(1_500_000, 12 << 20), (400, 20_000)])
 def test_substring_dedup(docs, monkeypatch, pack_words, bucket_bytes):
     monkeypatch.setattr(S, "PACK_WORDS", pack_words)

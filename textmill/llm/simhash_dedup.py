@@ -221,25 +221,29 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, tk, fp, component_id) per row of ``docs``."""
+    """(doc_id, tk, fp, root, component_id) per row of ``docs``; ``root`` is the
+    component's own fingerprint, so it tells components of one id apart."""
     prints = written(fingerprints(docs.select("doc_id", "text"), shingle), "simhash-prints")
     per_fp = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "simhash-distinct")
     roots = components(links(per_fp.select("fp"), max_bits))
     linked = per_fp.join(roots, "fp")
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    moved = linked.join(least, "root").select("fp", F.col("component_id").alias("cid"), F.lit(True).alias("is_linked"))
+    moved = linked.join(least, "root").select("fp", "root", F.col("component_id").alias("cid"))
     per_fp_id = per_fp.select("fp", "least").join(moved, "fp", "left").select(
-        "fp", F.when(F.col("is_linked"), F.col("cid")).otherwise(F.col("least")).alias("component_id"))
+        "fp", F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("root").isNotNull(), F.col("cid")).otherwise(F.col("least")).alias("component_id"))
     per_fp_id = written(per_fp_id, "simhash-ids")
-    return hot_key_join(prints, per_fp_id, "fp", per_fp.select("fp", "n")).select("doc_id", "tk", "fp", "component_id")
+    return hot_key_join(prints, per_fp_id, "fp", per_fp.select("fp", "n")).select("doc_id", "tk", "fp", "root", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each component stays: the one with the smallest
-    ``doc_id`` (rows that repeat it: one of them). Columns as they came."""
+    ``doc_id`` (rows that repeat it: one of them; no ids at all: one of them).
+    Components are told apart by their root, since unlike ones can share a null
+    or repeated id. Columns as they came."""
     ids = near_duplicates(docs, shingle, max_bits)
     first = (ids.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .groupBy("component_id").agg(F.min("tk").alias("_sd_tk"))
+             .groupBy("root", "component_id").agg(F.min("tk").alias("_sd_tk"))
              .select(F.col("component_id").alias("_sd_id"), "_sd_tk"))
     kept = docs.withColumn("_sd_key", text_key(F.col("text")))
     out = kept.join(first, kept["doc_id"].eqNullSafe(first["_sd_id"]) & (kept["_sd_key"] == first["_sd_tk"]), "left_semi")
