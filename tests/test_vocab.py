@@ -49,3 +49,19 @@ def test_merge_pair_non_overlapping(spark):
     df = spark.createDataFrame([(["a", "a", "a", "_"],), (["b", "a", "b", "b"],)], "symbols array<string>")
     out = [r[0] for r in df.select(V.merge_pair_expr(F.col("symbols"), "a", "a")).collect()]
     assert out == [["aa", "a", "_"], ["b", "a", "b", "b"]]
+
+
+def test_local_equals_distributed(spark):
+    rnd = random.Random(11)
+    corpus = ["".join(rnd.choice("abc") for _ in range(rnd.randint(1, 9))) for _ in range(60)]
+    df = _words(spark, corpus)
+    assert V.bpe_train(spark, df, 30) == V.bpe_train(spark, df, 30, local_symbols=-1)
+
+
+def test_query_learns_from_both_tables(spark):
+    from textmill.plans.registry_more import q_bpe_train, training_words
+    learned = {r.token for r in q_bpe_train(spark, "/root/testdata/sf0.001").collect()}
+    words = training_words(spark, "/root/testdata/sf0.001")
+    assert len(learned) > 150 and {r[0] for r in words.select("doc_id.source").distinct().collect()} == {0, 1}
+    chars = {c for r in words.select("word").distinct().collect() for c in r.word}
+    assert chars <= learned

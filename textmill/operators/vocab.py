@@ -9,6 +9,9 @@ hundred candidate pairs to the driver; the merges themselves are a map-only
 
 from __future__ import annotations
 
+import heapq
+from collections import defaultdict
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,17 +117,106 @@ def _admit(cands: list, vocab: set, budget: int, complete: bool) -> list:
     return accepted[:max(budget, 1)]
 
 
+def _merged(symbols: list, a: str, b: str) -> list:
+    out: list = []
+    for x in symbols:
+        if out and out[-1] == a and x == b:
+            out[-1] = a + b
+        else:
+            out.append(x)
+    return out
+
+
+def _train_local(rows: list, vocab: set, max_vocab_size: int) -> list[tuple[str, str]]:
+    """The merges of ``rows (symbols, n, first_doc, first_pos)``, which come in the
+    order of their first occurrence; ``vocab`` grows. Pair counts are kept up to
+    date: a merge visits only the words that hold its pair. A pair's key is
+    (-count, rank of its first word, position in it), as in ``best_pair``."""
+    words, n, rank = [list(r["symbols"]) for r in rows], [r["n"] for r in rows], []
+    for i, r in enumerate(rows):
+        same = i and (r["first_doc"], r["first_pos"]) == (rows[i - 1]["first_doc"], rows[i - 1]["first_pos"])
+        rank.append(rank[-1] if same else i)
+    total, holds = defaultdict(int), defaultdict(set)
+    for w, s in enumerate(words):
+        for p in zip(s, s[1:]):
+            total[p] += n[w]
+            holds[p].add(w)
+    order = {p: sorted(ws) for p, ws in holds.items()}  # heaps of words; those that lost the pair go when they surface
+
+    def key_of(p):
+        ws, heap = holds[p], order[p]
+        while heap[0] not in ws:
+            heapq.heappop(heap)
+        w, at = heap[0], []
+        while w < len(words) and rank[w] == rank[heap[0]]:
+            if w in ws:
+                s = words[w]
+                at.append(next(i for i in range(len(s) - 1) if s[i] == p[0] and s[i + 1] == p[1]))
+            w += 1
+        return -total[p], rank[heap[0]], min(at)
+
+    keys = {p: key_of(p) for p in holds}
+    best = [(k, p) for p, k in keys.items()]
+    heapq.heapify(best)
+    merges = []
+    while len(vocab) + N_SPECIAL < max_vocab_size:
+        while best and keys.get(best[0][1]) != best[0][0]:
+            heapq.heappop(best)
+        if not best:
+            break
+        a, b = best[0][1]
+        vocab.add(a + b)
+        merges.append((a, b))
+        touched = set()
+        for w in list(holds[a, b]):
+            old, new = words[w], _merged(words[w], a, b)
+            words[w] = new
+            for p in zip(old, old[1:]):
+                total[p] -= n[w]
+            for p in zip(new, new[1:]):
+                total[p] += n[w]
+            before, after = set(zip(old, old[1:])), set(zip(new, new[1:]))
+            for p in before - after:
+                holds[p].discard(w)
+            for p in after - before:
+                holds[p].add(w)
+                heapq.heappush(order.setdefault(p, []), w)
+            touched |= before | after
+        for p in touched:
+            if not holds[p]:
+                del holds[p], total[p], order[p]
+                keys.pop(p, None)
+                continue
+            k = key_of(p)
+            if keys.get(p) != k:
+                keys[p] = k
+                heapq.heappush(best, (k, p))
+    return merges
+
+
+LOCAL_SYMBOLS = 2_000_000  # symbols of all distinct words up to which training runs on the driver
+
+
 def bpe_train(spark: SparkSession, words: DataFrame, max_vocab_size: int,
-              checkpoint_every: int = 8, batched: bool = True) -> tuple[list[str], list[tuple[str, str]]]:
+              checkpoint_every: int = 8, batched: bool = True,
+              local_symbols: int = LOCAL_SYMBOLS) -> tuple[list[str], list[tuple[str, str]]]:
     """B1: learn a byte-pair vocabulary from ``(doc_id, pos, word)``.
 
     Returns ``(idx2word, merges)``: specials, then the learned tokens by length
     descending (ties by token text — our fixed rule), and the merge list.
     Characters of every word enter the vocabulary even past ``max_vocab_size``;
     a merge whose string already exists still consumes a round.
+
+    Distinct words of at most ``local_symbols`` symbols (counted) are trained on the
+    driver with pair counts kept by differences; more stay distributed, a pair
+    aggregation per round. Both give the same merges.
     """
     state = cut_lineage(symbolize(word_counts(words)).select("symbols", "n", "first_doc", "first_pos"))
     vocab = {r[0] for r in state.select(F.explode("symbols")).distinct().collect()}  # bounded by the character set
+    if batched and (state.agg(F.sum(F.size("symbols"))).first()[0] or 0) <= local_symbols:
+        rows = state.orderBy("first_doc", "first_pos", "symbols").collect()  # at most ``local_symbols`` symbols
+        merges = _train_local(rows, vocab, max_vocab_size)
+        return list(SPECIAL_TOKENS) + sorted(vocab, key=lambda t: (-len(t), t)), merges
     merges: list[tuple[str, str]] = []
     rounds = 0
     release = None  # cached parent of ``state``; dropped once ``state`` itself is cached

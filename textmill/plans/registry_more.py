@@ -600,12 +600,25 @@ def q_save_model(spark, sf):
 
 
 # -------------------------------------------------------- vocabulary training --
+VOCAB_SIZE = 16_000
+
+
+def training_words(spark, sf):
+    """Words of the documents, then of the conversations; ``doc_id`` tells table,
+    paragraph and sentence apart, so first occurrences have one order."""
+    docs = TB.documents_as_paragraphs(TB.load(spark, sf, "documents"))
+    conv = TB.conversations_as_paragraphs(TB.load(spark, sf, "conversations"))
+    both = [df.select(F.struct(F.lit(i).alias("source"), F.col("paragraph_id").cast("long").alias("paragraph_id"),
+                               F.col("idx").cast("long").alias("idx")).alias("doc_id"), F.col("sentence").alias("text"))
+            for i, df in enumerate((docs, conv))]
+    return TB.corpus_words(both[0].unionByName(both[1]))
+
+
 @register("bpe_train", None)
 def q_bpe_train(spark, sf):
+    """B1 on documents and conversations, at the reference's vocabulary size."""
     from textmill.operators import vocab as V
-    conv = TB.conversations_as_paragraphs(TB.load(spark, sf, "conversations"))
-    words = TB.corpus_words(conv.select(F.col("paragraph_id").alias("doc_id"), F.col("sentence").alias("text")))
-    idx2word, _ = V.bpe_train(spark, words, 150)
+    idx2word, _ = V.bpe_train(spark, training_words(spark, sf), VOCAB_SIZE)
     return V.vocab_table(spark, idx2word)
 
 
