@@ -6,6 +6,7 @@ from textmill.llm import common
 from textmill.llm.decontaminate import op7_decontamination
 from textmill.llm.license_scan import op6_license_scan
 from textmill.llm.line_dedup import op5_line_dedup
+from textmill.llm.ngram_join import op12_ngram_jaccard_join
 from textmill.llm.oracle import ORACLES
 from textmill.llm.packing import op9_best_fit_packing
 from textmill.llm.quality_classifier import op8_quality_classifier
@@ -23,6 +24,7 @@ _ON_DOCUMENTS = {
     "op6_license_scan": op6_license_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op12_ngram_jaccard_join": op12_ngram_jaccard_join,
 }
 _WITH_TABLE = {
     "op3_toxicity": (op3_toxicity, "labels"),
