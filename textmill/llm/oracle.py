@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from textmill.llm import divergence_audit as D
 from textmill.llm import license_scan as L
 from textmill.llm import quality_rules as Q
 from textmill.llm import secret_scan as S
@@ -151,10 +152,36 @@ FROM d LEFT JOIN b USING (doc_id) LEFT JOIN s USING (doc_id) LEFT JOIN a USING (
 """
 
 
+SOURCE_DIVERGENCE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{D.TERM}') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT r) >= {D.MIN_DOCS}),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+gn AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+cell AS (SELECT gn.lang, gn.source, kept.term, coalesce(c.n, 0) AS n,
+                1 + {D.SCALE}::HUGEINT * (coalesce(c.n, 0) + 2) // (gn.total + 2 * v.v) AS p,
+                1 + {D.SCALE}::HUGEINT * (kept.n + 2) // (v.total + 2 * v.v) AS q
+         FROM gn JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+         FROM cell a JOIN cell b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+         FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM cell WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+           FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= {D.TOP}
+"""
+
+
 ORACLES = {
     "op1_secret_scan": _secret_scan(),
     "op4_substring_dedup": SUBSTRING_DEDUP,
     "op5_line_dedup": LINE_DEDUP,
     "op6_license_scan": _license_scan(),
     "op10_quality_rules": _quality_rules(),
+    "op13_source_divergence_audit": SOURCE_DIVERGENCE,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from textmill.llm import common
 from textmill.llm.decontaminate import op7_decontamination
+from textmill.llm.divergence_audit import op13_source_divergence_audit
 from textmill.llm.license_scan import op6_license_scan
 from textmill.llm.line_dedup import op5_line_dedup
 from textmill.llm.ngram_join import op12_ngram_jaccard_join
@@ -25,6 +26,7 @@ _ON_DOCUMENTS = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_quality_rules": op10_quality_rules,
     "op12_ngram_jaccard_join": op12_ngram_jaccard_join,
+    "op13_source_divergence_audit": op13_source_divergence_audit,
 }
 _WITH_TABLE = {
     "op3_toxicity": (op3_toxicity, "labels"),
