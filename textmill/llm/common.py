@@ -25,7 +25,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def deleted(df: DataFrame) -> None:
+    """Remove the folder that ``written`` made for ``df``, once later tables stand
+    in its place."""
+    jvm = df.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df.written_to)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def let(value: Column, body) -> Column:

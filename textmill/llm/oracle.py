@@ -6,6 +6,7 @@ from textmill.llm import divergence_audit as D
 from textmill.llm import license_scan as L
 from textmill.llm import quality_rules as Q
 from textmill.llm import secret_scan as S
+from textmill.llm import vector_codes as V
 from textmill.llm.common import LOWER, UPPER
 from textmill.llm.line_dedup import MIN_CHARS, MIN_DOCS
 from textmill.llm.substring_dedup import SIZE
@@ -177,11 +178,42 @@ SELECT * FROM ranked WHERE part = 'pair' OR rank <= {D.TOP}
 """
 
 
+def _vector_codes() -> str:
+    def nearest(r: int) -> str:
+        # squared distance and index in one number: ties go to the lower index
+        dot = "list_dot_product"
+        return f"""
+near{r} AS (SELECT v, p, min((({dot}(a, a) - 2 * {dot}(a, b) + {dot}(b, b))::HUGEINT) * {V.ENTRIES} + j) AS best
+            FROM parts JOIN book{r} USING (p) GROUP BY v, p)"""
+
+    def moved(r: int) -> str:
+        return f"""
+cell{r} AS (SELECT p, best % {V.ENTRIES} AS j, unnest(a) AS c, generate_subscripts(a, 1) AS pos FROM parts JOIN near{r} USING (v, p)),
+mean{r} AS (SELECT p, j, pos, floor(sum(c) / count(*)) AS c FROM cell{r} GROUP BY ALL),
+new{r} AS (SELECT p, j, list(c ORDER BY pos) AS b FROM mean{r} GROUP BY ALL),
+book{r + 1} AS (SELECT p, j, coalesce(n.b, o.b) AS b FROM book{r} o LEFT JOIN new{r} n USING (p, j))"""
+    steps = ",".join([nearest(r) + "," + moved(r) for r in range(V.ROUNDS)] + [nearest(V.ROUNDS)])
+    return f"""
+WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id) AS v, vec_id, label, list_transform(embedding, lambda x: floor({V.SCALE} * x::DOUBLE)) AS x
+              FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+w AS (SELECT max(len(x)) // {V.PARTS} AS w FROM kept),
+parts AS (SELECT v, p, x[p * w + 1:(p + 1) * w] AS a FROM kept, w, (SELECT unnest(range({V.PARTS})) AS p)),
+book0 AS (SELECT p, v - 1 AS j, a AS b FROM parts WHERE v <= {V.ENTRIES}),{steps},
+books AS (SELECT sha256(string_agg(c::BIGINT::VARCHAR, ',' ORDER BY p, j, pos)) AS h
+          FROM (SELECT p, j, unnest(b) AS c, generate_subscripts(b, 1) AS pos FROM book{V.ROUNDS})),
+coded AS (SELECT v, string_agg(format('{{:02x}}', (best % {V.ENTRIES})::INT), '' ORDER BY p) AS code,
+                 sum(best // {V.ENTRIES})::BIGINT AS error FROM near{V.ROUNDS} GROUP BY v)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
+FROM kept JOIN coded USING (v), books
+"""
+
+
 ORACLES = {
     "op1_secret_scan": _secret_scan(),
     "op4_substring_dedup": SUBSTRING_DEDUP,
     "op5_line_dedup": LINE_DEDUP,
     "op6_license_scan": _license_scan(),
     "op10_quality_rules": _quality_rules(),
+    "op11_vector_codes": _vector_codes(),
     "op13_source_divergence_audit": SOURCE_DIVERGENCE,
 }

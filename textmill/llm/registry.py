@@ -16,6 +16,7 @@ from textmill.llm.secret_scan import op1_secret_scan
 from textmill.llm.simhash_dedup import op2_simhash_dedup
 from textmill.llm.substring_dedup import op4_substring_dedup
 from textmill.llm.toxicity import op3_toxicity
+from textmill.llm.vector_codes import op11_vector_codes
 
 _ON_DOCUMENTS = {
     "op1_secret_scan": op1_secret_scan,
@@ -42,6 +43,7 @@ def queries():
     def with_table(op, name):
         return lambda spark, sf_dir: op(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/{name}.parquet"))
     return ({name: on_documents(op) for name, op in _ON_DOCUMENTS.items()}
+            | {"op11_vector_codes": lambda spark, sf_dir: op11_vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))}
             | {name: with_table(*v) for name, v in _WITH_TABLE.items()})
 
 
