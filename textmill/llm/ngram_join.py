@@ -6,14 +6,15 @@ linked with nothing). Two sets link when ``100 * common >= percent * union``.
 Shingles are told apart by 64 hash bits, sets by 128 bits over their shingles.
 
 Order. All sets sort their shingles by one global order, rare ones first. The
-order is (occurrences of the shingle's hash bucket, hash): a table of at most
-``MOST_BUCKETS`` counters over the whole corpus, so nothing that is sent to the
-tasks grows without bound, and any table gives right results.
+order is (occurrences of the shingle's hash bucket, hash): a table of ``COUNTERS``
+counters over the whole corpus, so nothing that is sent to the tasks grows, and
+any number of counters gives right results.
 
 Groups. Documents with equal sets are one set. Sets with the same size and the
 same prefix (the first ``n - ceil(percent * n / 100) + 1`` shingles, which two
 linked sets never share none of) are one group, and only groups are joined on the
-shingles of their prefixes. Lists with one group go at once. Group pairs must pass
+shingles of their prefixes. Their postings travel packed, once per group and map
+task, to the bucket of their shingle; lists with one group go there. Group pairs must pass
 the size filter and the positional filter (at the common shingle both sets must
 have enough shingles left), and what passes is expanded to members and verified
 on the whole sets.
@@ -29,7 +30,7 @@ Only components are asked for, so pairs that cannot change them are not made:
 So a cluster of near copies costs its size, not its square, and no link between
 different texts is lost: a pair left out is already connected.
 
-Verification reads the sets of those groups only that share a list. A set travels
+Verification reads the sets of candidate pairs only. A set travels
 once per pair as the partner and once per ``CHUNK_BYTES`` as the leader.
 
 Defined cases: a null text has no words; a null ``doc_id`` is a ``component_id``
@@ -43,19 +44,20 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.common import broadcast_if_small, text_key, written
 from textmill.llm.simhash_dedup import components
-from textmill.llm.substring_dedup import _IS_SPACE, _word_hashes, rolling
+from textmill.llm.substring_dedup import _IS_SPACE, _mix, _word_hashes, rolling
 from textmill.operators.joins import hot_key_join
 
 SHINGLE = 5
 PERCENT = 80
-LEAST_BUCKETS, MOST_BUCKETS = 1 << 16, 1 << 22
-BUCKET_TEXT = 1 << 10       # bytes of text per counter, about
+COUNTERS = 1 << 18          # counters of the shingle order
+POSTS = 1_000_000           # postings packed or met in one task, about
 HOT_LIST = 50_000           # postings of one shingle handled in one task, about
+SHORT_LIST = 256            # lists up to this length drop groups that fit no other
 BLOCK = 2_048               # groups of a long list compared with as many others
 CHUNK_BYTES = 8 << 20       # sets verified at once
 _TEXT = 4 << 20             # characters hashed at once
@@ -145,7 +147,7 @@ def list_pairs(token, n, pos, low, high, percent: int, side=None):
 # --------------------------------------------------------------- Spark stages
 
 def shingle_counts(texts: DataFrame, shingle: int, buckets: int) -> np.ndarray:
-    """Occurrences of the shingles of each hash bucket (at most ``MOST_BUCKETS``)."""
+    """Occurrences of the shingles of each hash bucket."""
     def run(batches):
         total = np.zeros(buckets, dtype=np.int64)
         for b in batches:
@@ -189,50 +191,113 @@ def set_rows(docs: DataFrame, counts, shingle: int, percent: int) -> DataFrame:
         run, f"doc_id {kind}, tk long, n long, dig binary, gid long, prefix binary")
 
 
-def shared_lists(groups: DataFrame, counts) -> DataFrame:
-    """(token, gid, n, pos) of the tokens that stand in the prefixes of two groups
-    or more. A token that may be hot is dealt by salt and kept."""
-    def run(batches):
+_LISTS = "token long, gid long, n int, pos int, h long, leader long"
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit numbers as byte planes: the high ones, mostly zero, compress away."""
+    return np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _unplanes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).reshape(-1).view("<i8")
+
+
+def _dealt(token, gid, freq, buckets):
+    """Bucket of every posting; a token that may be hot is spread by group."""
+    salts = 1 + freq[_bucket(token, len(freq))] // HOT_LIST
+    return ((token >> np.uint64(8)) + (gid.view(np.uint64) % salts.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(buckets)
+
+
+def _pack(gid, n, prefix, freq, buckets):
+    """Rows (bucket, tokens, counts, gids, ns, pos) of some groups, each taken once."""
+    gid, first = np.unique(np.concatenate(gid), return_index=True)
+    n = np.concatenate(n)[first]
+    data = [prefix[i] for i in first.tolist()]
+    sizes = np.array([len(d) // 8 for d in data], dtype=np.int64)
+    token = np.frombuffer(b"".join(data), dtype=np.uint64)
+    own = np.repeat(np.arange(len(gid)), sizes)
+    pos = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    bucket = _dealt(token, gid[own], freq, buckets)
+    by = np.argsort(bucket, kind="stable")
+    cuts = np.nonzero(np.append(True, np.diff(bucket[by]) != 0))[0] if len(by) else []
+    for a, e in zip(cuts, np.append(cuts[1:], len(by))):
+        rows = by[a:e]
+        used, counts = np.unique(own[rows], return_counts=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([int(bucket[rows[0]])], pa.int32())]
+            + [pa.array([x], pa.binary()) for x in (token[rows].tobytes(), _planes(counts), gid[used].tobytes(), _planes(n[used]), _planes(pos[rows]))],
+            ["bucket", "token", "counts", "gid", "n", "pos"])
+
+
+def _met(table: pa.Table, freq, percent: int):
+    """A bucket's postings → its lists, and for every group its least leader here."""
+    counts = [_unplanes(x.as_py()) for x in table.column("counts")]
+    token = np.concatenate([np.frombuffer(x.as_py(), dtype=np.uint64) for x in table.column("token")])
+    pos = np.concatenate([_unplanes(x.as_py()) for x in table.column("pos")])
+    gid = np.concatenate([np.repeat(np.frombuffer(x.as_py(), dtype=np.int64), c) for x, c in zip(table.column("gid"), counts)])
+    n = np.concatenate([np.repeat(_unplanes(x.as_py()), c) for x, c in zip(table.column("n"), counts)])
+    h = _mix(gid.view(np.uint64).copy())
+    by = np.lexsort((h, token))
+    token, gid, n, pos, h = (x[by] for x in (token, gid, n, pos, h))
+    once = np.append(True, (token[1:] != token[:-1]) | (gid[1:] != gid[:-1]))[:len(token)]
+    token, gid, n, pos, h = (x[once] for x in (token, gid, n, pos, h))
+    first = np.nonzero(np.append(True, token[1:] != token[:-1]))[0] if len(token) else np.zeros(0, dtype=np.int64)
+    size = np.repeat(np.diff(np.append(first, len(token))), np.diff(np.append(first, len(token))))
+    keep = (size > 1) | (freq[_bucket(token, len(freq))] >= HOT_LIST)
+    short = np.nonzero((size > 1) & (size <= SHORT_LIST))[0]
+    fits = np.zeros(len(token), dtype=bool)
+    apart = np.arange(len(short))
+    for i, j in list_pairs(token[short], n[short], pos[short], apart, apart, percent):
+        fits[short[i]] = fits[short[j]] = True
+    keep[short] = fits[short]
+    lead = np.repeat(first, np.diff(np.append(first, len(token))))
+    left = np.minimum(n - pos, n[lead] - pos[lead])
+    good = np.nonzero((gid != gid[lead]) & linked(left, n, n[lead], percent)
+                      & (100 * np.minimum(n, n[lead]) >= percent * np.maximum(n, n[lead])))[0]
+    good = good[np.lexsort((h[lead[good]], gid[good]))]
+    good = good[np.append(True, np.diff(gid[good]) != 0)[:len(good)]]
+    a, b = int(keep.sum()), len(good)
+    none = lambda k, t: pa.nulls(k, t)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(token[keep].view(np.int64)), pa.array(gid[keep]), pa.array(n[keep], pa.int32()), pa.array(pos[keep], pa.int32()),
+         none(a, pa.int64()), none(a, pa.int64())], ["token", "gid", "n", "pos", "h", "leader"])
+    yield pa.RecordBatch.from_arrays(
+        [none(b, pa.int64()), pa.array(gid[good]), none(b, pa.int32()), none(b, pa.int32()),
+         pa.array(h[lead[good]].view(np.int64)), pa.array(gid[lead[good]])], ["token", "gid", "n", "pos", "h", "leader"])
+
+
+def met_lists(rows: DataFrame, counts, percent: int) -> DataFrame:
+    """Rows (token, gid, n, pos) of the lists with two groups or more that fit each
+    other, and rows (gid, h, leader): the leader of a list is its least group by hash."""
+    total = rows.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
+    buckets = int(max(8, total // (8 * POSTS)))
+
+    def pack(batches):
         freq = counts.value
+        gid, n, prefix, size = [], [], [], 0
         for b in batches:
-            sizes = np.array([len(p.as_py()) // 8 for p in b.column(2)], dtype=np.int64)
-            token = np.frombuffer(b"".join(b.column(2).to_pylist()), dtype=np.uint64)
-            gid = np.repeat(b.column(0).to_numpy(zero_copy_only=False), sizes)
-            pos = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            salts = 1 + freq[_bucket(token, len(freq))] // HOT_LIST
-            arrays = [token.view(np.int64), gid, np.repeat(b.column(1).to_numpy(zero_copy_only=False), sizes), pos,
-                      gid.view(np.uint64).astype(np.int64) % salts, salts]
-            for at in range(0, len(token), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(a[at:at + 100_000], pa.int64()) for a in arrays],
-                                                 ["token", "gid", "n", "pos", "salt", "salts"])
-    posts = groups.select("gid", "n", "prefix").mapInArrow(
-        run, "token long, gid long, n long, pos long, salt long, salts long")
-    posts = posts.select("token", "gid", F.col("n").cast("int"), F.col("pos").cast("int"),
-                         F.when(F.col("salts") > 1, F.col("salt")).otherwise(-1).cast("int").alias("salt"))
-    mates = F.count(F.lit(1)).over(Window.partitionBy("token", "salt"))
-    return (posts.withColumn("mates", mates).where((F.col("mates") > 1) | (F.col("salt") >= 0))
-            .select("token", "gid", "n", "pos"))
-
-
-def leaders(lists: DataFrame, percent: int) -> DataFrame:
-    """(gid, leader): for every group the least (by hash) leader of its lists that
-    passes the filters; a list's leader is its least group."""
-    lead = lists.groupBy("token").agg(F.min(F.struct(F.xxhash64("gid").alias("h"), "gid", "n", "pos")).alias("lead"))
-    left = F.least(F.col("n") - F.col("pos"), F.col("lead.n") - F.col("lead.pos"))
-    both = lists.join(lead, "token").where(
-        (F.col("gid") != F.col("lead.gid")) & _sizes_fit(F.col("n"), F.col("lead.n"), percent)
-        & ((100 + percent) * left >= percent * (F.col("n") + F.col("lead.n"))))
-    return both.groupBy("gid").agg(F.min(F.struct("lead.h", "lead.gid")).alias("lead")).select("gid", F.col("lead.gid").alias("leader"))
-
-
-def _sizes_fit(a, b, percent):
-    return 100 * F.least(a, b).cast("long") >= percent * F.greatest(a, b).cast("long")
+            gid.append(b.column(0).to_numpy(zero_copy_only=False))
+            n.append(b.column(1).to_numpy(zero_copy_only=False))
+            prefix += b.column(2).to_pylist()
+            size += sum(map(len, prefix[-b.num_rows:]))
+            if size >= 8 * POSTS:
+                yield from _pack(gid, n, prefix, freq, buckets)
+                gid, n, prefix, size = [], [], [], 0
+        if gid:
+            yield from _pack(gid, n, prefix, freq, buckets)
+
+    def meet(key, table):
+        return pa.Table.from_batches(_met(table, counts.value, percent))
+    packed = rows.select("gid", "n", "prefix").mapInArrow(
+        pack, "bucket int, token binary, counts binary, gid binary, n binary, pos binary")
+    return packed.groupBy("bucket").applyInArrow(meet, _LISTS)
 
 
 def open_pairs(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """(g, h): group pairs of all lists that pass the filters and do not lie in one
     component. ``labels`` (gid, low, high): least and largest component of a group."""
-    named = lists.join(labels, "gid")
+    named = lists.join(broadcast_if_small(labels, 24), "gid").repartition("token")
     mixed = (named.groupBy("token").agg(F.min("low").alias("lo"), F.max("high").alias("hi"), F.count(F.lit(1)).alias("m"))
              .where(F.col("lo") != F.col("hi")).select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
     named = named.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int"))
@@ -292,10 +357,11 @@ def _filtered(table, percent):
                                          ["g", "h", "n_g", "n_h", "p_g", "p_h"])
 
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(dig, n, h): sorted shingle hashes of the sets in ``wanted`` (rep: one of the
-    documents that have the set)."""
-    keys = written(wanted.select(F.col("rep.doc_id").alias("w_id"), F.col("rep.tk").alias("w_tk")), "jaccard-wanted")
+def whole_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    """(dig, n, h): sorted shingle hashes of the sets in ``pairs`` (a, b); ``sets``
+    names one of the documents that have a set (rep)."""
+    wanted = pairs.select(F.col("a").alias("dig")).unionByName(pairs.select(F.col("b").alias("dig"))).distinct()
+    keys = written(sets.join(wanted, "dig").select(F.col("rep.doc_id").alias("w_id"), F.col("rep.tk").alias("w_tk")), "jaccard-wanted")
     source = docs.select("doc_id", text_key(F.col("text")).alias("tk"), "text")
     source = source.join(broadcast_if_small(keys, 40), source["doc_id"].eqNullSafe(keys["w_id"]) & (source["tk"] == keys["w_tk"]), "left_semi")
 
@@ -311,10 +377,11 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     return written(source.select("text").mapInArrow(run, "dig binary, n long, h binary").dropDuplicates(["dig"]), "jaccard-sets")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(u, v): the pairs (a, b) of sets that link. The set of ``a`` is sent once per
     chunk of its partners, so that a leader of very many is spread over tasks."""
     pairs = written(pairs.distinct(), "jaccard-pairs")
+    sets = whole_sets(docs, sets, pairs, shingle)
     of = sets.select(F.col("dig").alias("a"), F.col("n").alias("n_a"))
     # partners have about the size of ``a``
     chunks = F.ceil(F.col("c") * F.col("n_a") * 8 * 100 / percent / CHUNK_BYTES).cast("int")
@@ -350,40 +417,38 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     """(doc_id, tk, n, dig, component_id) per row of ``docs``."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << (total // BUCKET_TEXT).bit_length()))
-    counts = spark.sparkContext.broadcast(shingle_counts(docs, shingle, buckets))
+    counts = spark.sparkContext.broadcast(shingle_counts(docs, shingle, COUNTERS))
     rows = written(set_rows(docs, counts, shingle, percent), "jaccard-rows")
 
     full = rows.where(F.col("n") > 0)
     sets = written(full.groupBy("dig").agg(F.first("gid").alias("gid"), F.min(F.struct("doc_id", "tk")).alias("rep"),
                                            F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "jaccard-distinct")
-    groups = full.groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    lists = written(shared_lists(groups, counts), "jaccard-lists")
-    first = written(sets.groupBy("gid").agg(F.min("dig").alias("head"), F.count(F.lit(1)).alias("members")), "jaccard-groups")
-
-    busy = first.where(F.col("members") > 1).select("gid").unionByName(lists.select("gid")).distinct()
-    whole = whole_sets(docs, sets.join(busy, "gid", "left_semi"), shingle)
-
-    # one partner per set
-    lead = leaders(lists, percent).join(first.select(F.col("gid").alias("leader"), F.col("head").alias("a")), "leader").select("gid", "a")
+    met = written(met_lists(full, counts, percent), "jaccard-lists")
+    lists = met.where(F.col("leader").isNull()).select("token", "gid", "n", "pos")
+    heads = written(sets.groupBy("gid").agg(F.min("dig").alias("a"), F.count(F.lit(1)).alias("members")), "jaccard-groups")
+
+    # one partner per set: the leader of its group, and the head of its group
+    lead = (met.where(F.col("leader").isNotNull()).groupBy("gid").agg(F.min(F.struct("h", "leader")).alias("m"))
+            .select("gid", F.col("m.leader").alias("leader"))
+            .join(heads.select(F.col("gid").alias("leader"), "a"), "leader").select("gid", "a"))
     member = sets.select("gid", F.col("dig").alias("b"))
-    heads = first.where(F.col("members") > 1).select("gid", F.col("head").alias("a"))
-    edges = verified(member.join(lead.unionByName(heads), "gid").where(F.col("a") != F.col("b")).select("a", "b"), whole, percent)
+    stars = lead.unionByName(heads.where(F.col("members") > 1).select("gid", "a"))
+    edges = verified(member.join(stars, "gid").where(F.col("a") != F.col("b")).select("a", "b"), docs, sets, shingle, percent)
+    busy = heads.where(F.col("members") > 1).select("gid").unionByName(lists.select("gid")).distinct()
 
     # all that still lies apart
     roots = components(edges)
     label = F.xxhash64(F.coalesce("root", "dig"))
     named = written(sets.join(busy, "gid", "left_semi").join(roots.withColumnRenamed("fp", "dig"), "dig", "left")
                     .select("gid", "dig", label.alias("label")), "jaccard-labels")
-    labels = named.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    labels = written(named.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high")), "jaccard-group-labels")
     across = open_pairs(lists, labels, percent)
     inside = labels.where(F.col("low") != F.col("high")).select(F.col("gid").alias("g"), F.col("gid").alias("h"))
     pairs = across.unionByName(inside)
     x = named.select(F.col("gid").alias("g"), F.col("dig").alias("a"), F.col("label").alias("la"))
     y = named.select(F.col("gid").alias("h"), F.col("dig").alias("b"), F.col("label").alias("lb"))
     rest = pairs.join(x, "g").join(y, "h").where((F.col("la") != F.col("lb")) & ((F.col("g") != F.col("h")) | (F.col("a") < F.col("b"))))
-    more = verified(rest.select("a", "b"), whole, percent)
+    more = verified(rest.select("a", "b"), docs, sets, shingle, percent)
 
     roots = components(edges.unionByName(more)).withColumnRenamed("fp", "dig")
     linked_sets = sets.select("dig", "least").join(roots, "dig", "left").withColumn("root", F.coalesce("root", "dig"))
