@@ -18,8 +18,8 @@ Extension. Only windows around hits can repeat. For these the hash of all ``size
 words (64 bits, besides the bucket's own bits) goes through the same
 exchange once more, the earliest occurrence per map task first, and all but the
 earliest overall come back. Runs of them are the maximal exact repeats, whose
-words go. The texts are shuffled by document once, and both rounds read that
-shuffle.
+words go. Marks are joined to the texts where these are read, as a broadcast of
+measured size; only beyond that are the texts shuffled by document.
 
 Ties: rows with equal ``doc_id`` are ordered by a hash of their text; rows that
 repeat a document exactly are one document, so nothing is removed from one
@@ -39,11 +39,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import partitions, text_key, written
+from textmill.llm.common import broadcast_if_small, text_key, written
 
 SIZE = 20
-PACK_WORDS = 1_500_000    # words that a map task handles at once
-BUCKET_BYTES = 12 << 20   # bytes of text per hash bucket
+PACK_WORDS = 400_000      # words that a map task handles at once
+BUCKET_BYTES = 4 << 20    # bytes of text per hash bucket
 _PACK = "bucket int, pack long, docs binary, counts binary, pos binary, flag binary, h binary, n_docs int"
 _NO_DOC = -(1 << 63)
 
@@ -249,9 +249,10 @@ def _probes(size: int, buckets: int):
 
 def _answer_probes(key, table):
     """Round 1, bucket side: which probes hit an indexed block that stands elsewhere."""
-    rows = table.to_pylist()
     if key[0].as_py() < 0:
         return table
+    rows = table.to_pylist()
+    del table
     h = np.concatenate([np.frombuffer(r["h"], "<u4") for r in rows])
     flag = np.concatenate([np.unpackbits(np.frombuffer(r["flag"], np.uint8), count=len(r["h"]) // 4) for r in rows]).astype(bool)
     order = np.argsort(h, kind="stable")
@@ -438,25 +439,24 @@ def _exchange(packs: DataFrame, buckets: int, answer, collect) -> DataFrame:
 
 def _with_marks(texts: DataFrame, marks: DataFrame, how: str) -> DataFrame:
     m = marks.groupBy("doc_id", "tk").agg(F.collect_list("marks").alias("marks"))  # bounded by the document
-    m = m.select(F.col("doc_id").alias("m_id"), F.col("tk").alias("m_tk"), "marks")
+    m = written(m.select(F.col("doc_id").alias("m_id"), F.col("tk").alias("m_tk"), "marks"), "repeat-marks")
+    m = broadcast_if_small(m, 40 + 24 * F.size("marks") + F.aggregate("marks", F.lit(0), lambda n, x: n + F.octet_length(x)))
     return texts.join(m, (texts["order_id"] == m["m_id"]) & (texts["tk"] == m["m_tk"]), how)
 
 
 def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) per row of ``docs``; ``kept`` is the
     text of the remaining words, joined by single spaces, as UTF-8."""
-    spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(max(4, total // BUCKET_BYTES))
     texts = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_DOC)).alias("order_id"),
                         text_key(F.col("text")).alias("tk"), "text")
     probes = texts.select("order_id", "tk", "text").mapInArrow(_probes(size, buckets), _PACK)
     hits = written(_exchange(probes, buckets, _answer_probes, _collect_pack), "repeat-hits")
-    by_doc = texts.repartition(partitions(spark), "order_id", "tk")
-    marked = _with_marks(by_doc, hits, "inner").select("order_id", "tk", "text", "marks")
+    marked = _with_marks(texts, hits, "inner").select("order_id", "tk", "text", "marks")
     windows = marked.mapInArrow(_candidates(size, buckets), _PACK)
     later = written(_exchange(windows, buckets, _later_windows, _collect_later), "repeat-windows")
-    final = _with_marks(by_doc, later, "left").select("doc_id", "tk", "text", "marks")
+    final = _with_marks(texts, later, "left").select("doc_id", "tk", "text", "marks")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return final.mapInArrow(_strip(size), f"doc_id {kind}, n_words long, n_removed long, kept binary")
 
