@@ -49,7 +49,9 @@ _ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to Python, not to the toke
 class WordIds:
     """Ids of words as little-endian 32-bit bytes. A word that ``known`` lacks is
     looked up by its core: in lower case (if ASCII), without one closing comma or
-    full stop, which the tokenizer always splits off."""
+    full stop after an ASCII letter or digit, which the tokenizer always splits off.
+    (Its normaliser turns some other letters into a letter and a mark, and a mark
+    joins the comma.)"""
 
     def __init__(self, tokenizer, closing: np.ndarray, known: dict):
         self.tokenizer, self.closing, self.known = tokenizer, closing, known
@@ -90,7 +92,7 @@ class WordIds:
         for w in set().union(*(s for s in split if s is not None)).difference(known):
             core = w.lower() if w.isascii() else w
             tail = core[-1]
-            if tail in ",." and core[-2:-1].isalnum():
+            if tail in ",." and core[-2:-1].isascii() and core[-2:-1].isalnum():
                 parts[w] = core[:-1], tail
             else:
                 parts[w] = core, ""
