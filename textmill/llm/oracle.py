@@ -14,10 +14,16 @@ from textmill.llm.substring_dedup import SIZE
 _SPACE = r"[\x20\x09-\x0D]"
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+
+def _slices(k: int) -> str:
+    """The words of all ``k``-word windows, a column each: no window row carries the text."""
+    return ", ".join(f"unnest(w[{j + 1}:len(w) - {k - 1 - j}]) AS a{j}" for j in range(k))
+
+
 SUBSTRING_DEDUP = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-starts AS (SELECT doc_id, w, unnest(range(1, len(w) - {SIZE} + 2)) AS i FROM d),
-windows AS (SELECT doc_id, i, array_to_string(w[i:i + {SIZE - 1}], ' ') AS g FROM starts),
+starts AS (SELECT doc_id, unnest(range(1, len(w) - {SIZE} + 2)) AS i, {_slices(SIZE)} FROM d WHERE len(w) >= {SIZE}),
+windows AS (SELECT doc_id, i, concat_ws(' ', {', '.join(f'a{k}' for k in range(SIZE))}) AS g FROM starts),
 later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS rn FROM windows) WHERE rn > 1),
 gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {SIZE})) AS pos FROM later),
 words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
@@ -60,8 +66,8 @@ def _quality_rules() -> str:
                        + [f"coalesce({m} < {limit(m + '_lo')}, false)" for m in Q.TWO_SIDED])
     return f"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
-wins AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM d),
-grams AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS c FROM wins),
+wins AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, {_slices(3)} FROM d WHERE len(w) >= 3),
+grams AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a0, a1, a2) AS c FROM wins),
 cover AS (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS pos FROM grams WHERE c > 1),
 rep AS (SELECT doc_id, count(*) AS n FROM cover GROUP BY doc_id),
 lines AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),

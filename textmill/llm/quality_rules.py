@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmill.llm.common import let, words_of, written
+from textmill.llm.common import broadcast_if_small, let, text_key, words_of, written
 
 SKETCH_BITS = 6
 MIN_GROUP = 200
@@ -33,7 +33,7 @@ REACH = 8
 MIN_WORDS = 50
 REPEAT_PCT = 50
 #: metric: least spread that counts (the resolution of the rule), in its unit
-RESOLUTION = {"symbol_ppm": 5_000, "upper_ppm": 20_000, "dup_line_ppm": 50_000, "word_milli": 400}
+RESOLUTION = {"symbol_ppm": 5_000, "upper_ppm": 2_000, "dup_line_ppm": 50_000, "word_milli": 150}
 TWO_SIDED = ("word_milli",)
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _PRE = "_qr_"
@@ -172,10 +172,19 @@ def judge(counted: DataFrame, limits: DataFrame, pre: str = "") -> DataFrame:
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
-    """The kept documents, with the columns they came with. The counts are
-    computed twice (sketch, then filter) rather than moving the texts."""
-    limits = thresholds(sketches(word_counts(docs.select("lang", "source", "text"), pre=_PRE), _PRE))
-    return judge(word_counts(docs, pre=_PRE), limits, _PRE).where(F.col(_PRE + "kept")).select(*docs.columns)
+    """The kept documents, with the columns they came with. Counts are taken once
+    and written without the texts; the rows that are not kept are then told by
+    ``doc_id`` and a hash of the text, group included."""
+    keyed = docs.withColumn(_PRE + "tk", text_key(F.col("text")))
+    keys = ["doc_id", "lang", "source"]
+    counted = written(word_counts(keyed.select(*keys, _PRE + "tk", "text")).drop("text"), "quality-counts")
+    bad = judge(counted, thresholds(sketches(counted))).where(~F.col("kept")).select(
+        *[F.col(c).alias(_PRE + c) for c in keys], F.col(_PRE + "tk").alias(_PRE + "bad")).distinct()
+    bad = written(bad, "quality-rejected")
+    same = keyed[_PRE + "tk"] == bad[_PRE + "bad"]
+    for c in keys:
+        same = same & keyed[c].eqNullSafe(bad[_PRE + c])
+    return keyed.join(broadcast_if_small(bad, 96), same, "left_anti").select(*docs.columns)
 
 
 def op10_quality_rules(docs: DataFrame) -> DataFrame:
