@@ -194,10 +194,11 @@ def compress(vectors: DataFrame, parts: int = PARTS, n_entries: int = ENTRIES, r
     width = -(-longest // parts)
     dim, limit = width * parts, _limit(width)
     scaled = F.transform("embedding", lambda x: F.greatest(F.least(F.floor(x * SCALE).cast("double"), F.lit(float(limit))), F.lit(float(-limit))))
-    seeds = kept.select("vec_id", scaled.alias("x")).orderBy(F.col("vec_id").asc_nulls_last(), "x").limit(n_entries).collect()
+    filled = F.concat(scaled, F.array_repeat(F.lit(0.0), dim - F.size("embedding")))
+    seeds = kept.select("vec_id", filled.alias("x")).orderBy(F.col("vec_id").asc_nulls_last(), "x").limit(n_entries).collect()
     book = np.zeros((len(seeds), dim), dtype=np.int64)
     for i, r in enumerate(seeds):
-        book[i, :len(r["x"])] = r["x"]
+        book[i] = r["x"]
     history = [[book[:, p * width:(p + 1) * width]] for p in range(parts)]
     groups = -(-len(seeds) // GROUP)
     kinds = {f: vectors.schema[f].dataType.simpleString() for f in ("vec_id", "label")}
