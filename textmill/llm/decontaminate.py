@@ -5,11 +5,15 @@ so that an item's score against itself is 1. Items are grouped in blocks of
 ``BLOCK``; next to each posting list stand the largest impacts per block. Every
 training passage queries the index: documents are read in passages of twice the
 longest item with half of that as the step, so an item of any length lies whole
-in one passage. A passage first adds up the block maxima of its terms; only
-blocks whose bound reaches ``THRESHOLD`` are scored exactly (block-max WAND,
-with the passages of a batch side by side in arrays), and all items that reach
-it are retrieved. A retrieved item is reported if at least ``OVERLAP`` of the
-``SHINGLE``-word shingles of its question and of its answer stand in the passage.
+in one passage. Block-max WAND, with the passages of a batch side by side in arrays:
+the terms of a passage are ordered by their largest impact; those before the pivot,
+the first term at which the summed maxima reach ``THRESHOLD``, cannot make a match
+alone, so only blocks in the postings from the pivot on are looked at. To these the
+block maxima of the earlier terms are added, and only blocks whose bound reaches
+``THRESHOLD`` are scored exactly; all items that reach it are retrieved. A retrieved item is reported if at least ``OVERLAP`` of the
+shingles of its question and of its answer stand in the passage.
+Shingles have ``SHINGLE`` words, in short parts fewer, so that one changed word
+takes at most a fifth of them (``shingle_length``).
 The answer is the last sentence of an item, the question the rest; an item that
 cannot be split so (either part shorter than a shingle) is split in the middle.
 
@@ -17,7 +21,9 @@ Words are runs of ASCII letters, digits and non-ASCII bytes, A-Z lower-cased.
 
 The index is sent to the tasks in shards of at most ``SHARD_BYTES`` of item
 text; every shard is one pass over the documents, so nothing that is broadcast
-grows without bound. Documents are only read, never moved.
+grows without bound. Document frequencies, item count, mean and largest length
+are taken over all items, so scores do not depend on the shards. Documents are only
+read, never moved.
 
 Defined cases: null or empty texts and items without words match nothing;
 repeated rows are judged alike (one finding per document id and item); a null
@@ -45,6 +51,7 @@ SHINGLE = 5
 BLOCK = 8
 SHARD_BYTES = 16 << 20
 _CELLS = 4_000_000   # (passage, block) bounds held at once
+_WORDS = 1_000_000   # words of documents held at once
 _TABLE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
@@ -52,13 +59,17 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().translate(_TABLE).split()
 
 
-def shingles(words: list) -> set:
-    if len(words) < SHINGLE:
-        return {tuple(words)} if words else set()
-    return set(zip(*(words[i:] for i in range(SHINGLE))))
+def shingle_length(n: int) -> int:
+    """One changed word breaks k of n - k + 1 shingles: at most a fifth if n >= 6 k - 1."""
+    return n if n < SHINGLE else min(SHINGLE, (n + 1) // 6)
 
 
-def question_and_answer(text: str) -> tuple[set, set]:
+def shingles(words: list, k: int) -> set:
+    return set(zip(*(words[i:] for i in range(k)))) if words else set()
+
+
+def question_and_answer(text: str) -> tuple[tuple[set, int], tuple[set, int]]:
+    """Shingles and their length, of the question and of the answer."""
     body = (text or "").strip()
     cut = max(body[:-1].rfind(c) for c in ".?!\n")
     question, answer = words_of(body[:cut + 1]), words_of(body[cut + 1:])
@@ -68,25 +79,25 @@ def question_and_answer(text: str) -> tuple[set, set]:
         question, answer = words[:half], words[half:]
         if half < SHINGLE:
             question = answer = words
-    return shingles(question), shingles(answer)
+    return tuple((shingles(p, shingle_length(len(p))), shingle_length(len(p))) for p in (question, answer))
 
 
 class Index:
-    """Inverted index over items: postings (CSR) with impacts, and block maxima."""
+    """Inverted index over items: postings (CSR) with impacts, and block maxima.
+    ``df``, ``count``, ``mean`` and ``longest`` describe all items, not only these."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], df: dict, count: int, mean: float, longest: int):
         items = [(i, t) for i, t in items if words_of(t)]
         self.item_id = [i for i, _ in items]
         self.parts = [question_and_answer(t) for _, t in items]
         bags = [Counter(words_of(t)) for _, t in items]
         sizes = [sum(b.values()) for b in bags]
-        self.longest = max(sizes, default=1)
-        mean = max(1.0, sum(sizes) / max(1, len(sizes)))
-        df = Counter(w for b in bags for w in b)
-        self.term = {w: n for n, w in enumerate(sorted(df))}
+        self.longest = max(1, longest)
+        mean = max(1.0, mean)
+        self.term = {w: n for n, w in enumerate(sorted({w for b in bags for w in b}))}
         found = []
         for n, (bag, size) in enumerate(zip(bags, sizes)):
-            raw = {w: math.log(1 + (len(bags) - df[w] + 0.5) / (df[w] + 0.5)) * tf * (K1 + 1)
+            raw = {w: math.log(1 + (count - df[w] + 0.5) / (df[w] + 0.5)) * tf * (K1 + 1)
                    / (tf + K1 * (1 - B + B * size / mean)) for w, tf in bag.items()}
             own = sum(raw.values())
             found += [(self.term[w], n, x / own) for w, x in raw.items()]
@@ -101,13 +112,40 @@ class Index:
         np.maximum.at(top, where, self.impact)
         self.block, self.block_max = key % max(1, self.n_blocks), top
         self.block_at = np.searchsorted(key // max(1, self.n_blocks), np.arange(len(self.term) + 1))
+        self.term_max = np.zeros(len(self.term))
+        np.maximum.at(self.term_max, key // max(1, self.n_blocks), top)
+
+    @classmethod
+    def of(cls, state: dict) -> Index:
+        """From the plain arrays and tables of another one, as they are broadcast."""
+        index = cls.__new__(cls)
+        vars(index).update(state)
+        return index
+
+    def _after_pivot(self, passages, terms, threshold):
+        """Which (passage, term) pairs are the pivot of their passage or come after it,
+        by falling rarity: the terms before it cannot reach ``threshold`` together."""
+        order = np.lexsort((self.term_max[terms], passages))
+        total = np.cumsum(self.term_max[terms[order]])
+        first = np.append(True, np.diff(passages[order]) != 0)[:len(order)]
+        start = (total - self.term_max[terms[order]])[first]
+        out = np.zeros(len(terms), dtype=bool)
+        out[order] = total - np.repeat(start, np.diff(np.append(np.nonzero(first)[0], len(order)))) >= threshold - 1e-9
+        return out
 
     def search(self, passages: np.ndarray, terms: np.ndarray, n: int, threshold: float):
         """Distinct (passage, term) pairs, sorted → (passage, item, score) of all
         items that reach ``threshold``; ``n`` passages."""
-        bound = np.bincount(*self._spread(passages * self.n_blocks, terms, self.block_at, self.block, self.block_max),
-                            minlength=n * self.n_blocks)
-        open_blocks = np.nonzero(bound >= threshold)[0]
+        late = self._after_pivot(passages, terms, threshold)
+        blocks = (self.block_at, self.block, self.block_max)
+        bound = np.bincount(*self._spread(passages[late] * self.n_blocks, terms[late], *blocks), minlength=n * self.n_blocks)
+        near = np.zeros(n, dtype=bool)              # passages that have a block after their pivot
+        near[np.nonzero(bound)[0] // max(1, self.n_blocks)] = True
+        early = ~late & near[passages]
+        key, weight = self._spread(passages[early] * self.n_blocks, terms[early], *blocks)
+        seen = bound[key] > 0
+        bound += np.bincount(key[seen], weight[seen], minlength=len(bound))
+        open_blocks = np.nonzero(bound >= threshold - 1e-9)[0]
         out, ends = [], np.searchsorted(passages, np.arange(n + 1))
         for p in np.unique(open_blocks // max(1, self.n_blocks)):
             mine = terms[ends[p]:ends[p + 1]]
@@ -129,7 +167,7 @@ def _scan(texts: list[str | None], index: Index, threshold: float, overlap: floa
     step = index.longest
     get, width = index.term.get, max(1, len(index.term))
     most = max(1, _CELLS // max(1, index.n_blocks))
-    rows, keys, n = [], [], 0        # rows: (row, first passage, words)
+    rows, keys, n, held = [], [], 0, 0   # rows: (row, first passage, words)
 
     def flush():
         pairs = np.unique(np.concatenate(keys)) if keys else np.zeros(0, dtype=np.int64)
@@ -137,13 +175,8 @@ def _scan(texts: list[str | None], index: Index, threshold: float, overlap: floa
         firsts = np.array([r[1] for r in rows])
         for p, item, score in index.search(pairs // width, pairs % width, n, threshold):
             row, first, words = rows[int(np.searchsorted(firsts, p, side="right")) - 1]
-            here = shingles(words[(p - first) * step:(p - first + 2) * step])
-            question, answer = index.parts[item]
-            if len(question | answer) == 1 and len(next(iter(question))) < SHINGLE:
-                span = len(next(iter(question)))
-                own = words[(p - first) * step:(p - first + 2) * step]
-                here = set(zip(*(own[i:] for i in range(span))))
-            q, a = len(question & here) / len(question), len(answer & here) / len(answer)
+            own = words[(p - first) * step:(p - first + 2) * step]
+            q, a = (len(part & shingles(own, k)) / len(part) for part, k in index.parts[item])
             if q >= overlap and a >= overlap:
                 best[row, item] = max(best.get((row, item), (0.0, 0.0, 0.0)), (score, q, a))
         return [(row, item, *v) for (row, item), v in best.items()]
@@ -161,9 +194,10 @@ def _scan(texts: list[str | None], index: Index, threshold: float, overlap: floa
         keys.append(np.unique((n + both) * width + np.concatenate([hits, hits[cell > 0]])))
         rows.append((row, n, words))
         n += local
-        if n > most or sum(len(r[2]) for r in rows[-1:]) > 1_000_000:
+        held += len(words)
+        if n > most or held > _WORDS:
             yield from flush()
-            rows, keys, n = [], [], 0
+            rows, keys, n, held = [], [], 0, 0
     if rows:
         yield from flush()
 
@@ -177,14 +211,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     items = benchmark.select(F.col("item_id").cast("long"), "text").where(F.col("text").isNotNull())
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_shards = -(-total // shard_bytes)
+    shard_of = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, n_shards))).cast("int")
+    words = written(items.select(shard_of.alias("shard"), "text").mapInArrow(_item_words, "shard int, word binary, n long, item boolean"), "leak-words")
+    sizes = words.where("item").agg(F.count(F.lit(1)), F.sum("n"), F.max("n")).first()
+    df = words.where(~F.col("item")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     source = docs.select("doc_id", text_key(F.col("text")).alias("tk"), "text")
     found = spark.createDataFrame([], schema)
-    for shard in range(n_shards):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_shards)) == shard).collect()  # <= about shard_bytes
-        index = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in rows]))
+    for shard in range(n_shards if sizes[0] else 0):
+        # all three are bounded by the text of a shard, about ``shard_bytes``
+        rows = items.where(shard_of == shard).collect()
+        own = words.where((F.col("shard") == shard) & ~F.col("item")).select("word").distinct()
+        counts = {bytes(r["word"]): r["df"] for r in df.join(own, "word").collect()}
+        built = Index([(r["item_id"], r["text"]) for r in rows], counts, sizes[0], sizes[1] / sizes[0], sizes[2])
+        # plain arrays and tables: workers need no copy of this module to read them
+        index = spark.sparkContext.broadcast(vars(built))
 
         def run(batches, index=index):
-            ix = index.value
+            ix = Index.of(index.value)
             for b in batches:
                 got = list(_scan_in_parts(b.column(2), ix, threshold, overlap))
                 take = pa.array([g[0] for g in got], pa.int64())
@@ -196,6 +239,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     return found
 
 
+def _item_words(batches):
+    """Per item: its distinct words, and a row with its length."""
+    for b in batches:
+        for shard, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            words = words_of(text)
+            if not words:
+                continue
+            distinct = list(set(words))
+            k = len(distinct)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([shard] * (k + 1), pa.int32()), pa.array([*distinct, None], pa.binary()),
+                 pa.array([1] * k + [len(words)], pa.int64()), pa.array([False] * k + [True])], ["shard", "word", "n", "item"])
+
+
 def _scan_in_parts(column, index, threshold, overlap, step: int = 500):
     for at in range(0, len(column), step):
         texts = [t.as_py() for t in column.slice(at, step)]
