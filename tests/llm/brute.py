@@ -116,3 +116,96 @@ def substring_dedup(docs, size=20):
                 gone |= set(range(i, i + size))
         out.append((d, len(w), len(gone), sha(" ".join(x for i, x in enumerate(w) if i not in gone))))
     return out
+
+
+def jaccard(rows, percent=80):
+    """(doc_id, n, component_id) per row, by all shared shingles."""
+    sets, holders = [], defaultdict(list)
+    for i, (_, t) in enumerate(rows):
+        w = [x.decode() for x in (t or "").encode().lower().split()]
+        sets.append(set(zip(*(w[k:] for k in range(5)))) if len(w) >= 5 else {tuple(w)} if w else set())
+        for x in sets[i]:
+            holders[x].append(i)
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i, s in enumerate(sets):
+        for j, common in Counter(j for x in s for j in holders[x] if j > i).items():
+            if 100 * common >= percent * (len(s) + len(sets[j]) - common):
+                root[find(j)] = find(i)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        r = find(i)
+        least[r] = min((x for x in (least.get(r), d) if x is not None), default=None)
+    return [(d, len(sets[i]), least[find(i)]) for i, (d, _) in enumerate(rows)]
+
+
+def divergence(docs, min_docs=10, top=10):
+    """(lang, source, part, item, value, rank) from (text, lang, source) rows."""
+    term = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+    docs = [(term.findall((t or "").translate(A_Z)), a or "", s or "") for t, a, s in docs]
+    out = []
+    for lang in {a for _, a, _ in docs}:
+        mine = [(w, s) for w, a, s in docs if a == lang]
+        df = Counter(x for w, _ in mine for x in set(w))
+        kept = {x for x, k in df.items() if k >= min_docs}
+        count = {s: Counter() for _, s in mine}
+        for w, s in mine:
+            count[s].update(x for x in w if x in kept)
+        whole = sum(count.values(), Counter())
+        p = lambda c, x: 1 + 10**9 * (c[x] + 2) // (sum(c.values()) + 2 * len(kept))
+        f = lambda a, b: (a - b) ** 2 // (a + b)
+        own = {s: {x: p(count[s], x) for x in kept} for s in count}
+        base = {x: p(whole, x) for x in kept}
+        for s in count:
+            pair = [(o, sum(f(own[s][x], own[o][x]) for x in kept)) for o in count if o != s]
+            best = [(x, f(own[s][x], base[x])) for x in kept if count[s][x] and own[s][x] > base[x]]
+            for part, items, limit in (("pair", pair, None), ("term", best, top)):
+                items.sort(key=lambda v: (-v[1], v[0].encode()))
+                out += [(lang, s, part, i, v, n + 1) for n, (i, v) in enumerate(items[:limit])]
+    return sorted(out)
+
+
+def vector_codes(rows, parts=4, entries=256, rounds=4):
+    """(vec_id, code, error, label_error, digest) by looking at every entry."""
+    from math import floor, isfinite
+    rows = [(i, lab, [floor(1024 * x) for x in v]) for i, lab, v in rows
+            if v is not None and all(x is not None and isfinite(x) for x in v)]
+    width = -(-max((len(v) for _, _, v in rows), default=0) // parts)
+    rows = [(i, lab, v + [0] * (parts * width - len(v))) for i, lab, v in rows]
+    first = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[2]))[:entries]
+    cut = lambda v, p: v[p * width:(p + 1) * width]
+    books = [[cut(v, p) for _, _, v in first] for p in range(parts)]
+    near = lambda x, book: min((sum((a - b) ** 2 for a, b in zip(x, e)), j) for j, e in enumerate(book))
+    for _ in range(rounds):
+        for p in range(parts):
+            held = defaultdict(list)
+            for _, _, v in rows:
+                held[near(cut(v, p), books[p])[1]].append(cut(v, p))
+            for j, xs in held.items():
+                books[p][j] = [sum(c) // len(xs) for c in zip(*xs)]
+    found = [[near(cut(v, p), books[p]) for p in range(parts)] for _, _, v in rows]
+    errors = [sum(d for d, _ in f) for f in found]
+    by_label = Counter()
+    for (_, lab, _), e in zip(rows, errors):
+        by_label[lab] += e
+    digest = sha(",".join(str(c) for book in books for e in book for c in e))
+    return [(i, "".join(f"{j:02x}" for _, j in f), e, by_label[lab], digest) for (i, lab, _), f, e in zip(rows, found, errors)]
+
+
+def bm25(items, passage, k1=1.2, b=0.75):
+    """item_id → score of a passage (list of words), scaled by the item's own score."""
+    from math import log
+    bags = {i: Counter(w) for i, w in items.items() if w}
+    mean = max(1.0, sum(sum(x.values()) for x in bags.values()) / max(1, len(bags)))
+    df = Counter(w for x in bags.values() for w in x)
+    out = {}
+    for i, bag in bags.items():
+        size = sum(bag.values())
+        weight = {w: log(1 + (len(bags) - df[w] + 0.5) / (df[w] + 0.5)) * n * (k1 + 1) / (n + k1 * (1 - b + b * size / mean))
+                  for w, n in bag.items()}
+        out[i] = sum(x for w, x in weight.items() if w in set(passage)) / sum(weight.values())
+    return out
