@@ -1,17 +1,19 @@
 """Vocabulary statistics and byte-pair vocabulary training.
 
 Training works on the *distinct-word* table ``(word, symbols, n, first_doc,
-first_pos)``: each round is one distributed pair aggregation (partial +
-final, so hot pairs are combined map-side) followed by a top-k pull of a few
-hundred candidate pairs to the driver; the merges themselves are a map-only
-``aggregate`` over each word's symbol array.
+first_pos)``, which stays on Spark: a round counts its pairs (partial + final, so hot
+pairs are combined map-side), pulls the candidates and the added-up segments they
+form, a bounded number of symbols, and decides hundreds of merges on them; see
+``bpe_train``.
 """
 
 from __future__ import annotations
 
 import heapq
+import sys
 from collections import defaultdict
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,8 @@ from textmill.functions.constants import N_SPECIAL, SPECIAL_TOKENS, WORD_END
 from textmill.operators.index import dense_index
 from textmill.session import cut_lineage
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # task functions travel with the job
+
 
 # ---------------------------------------------------------------- statistics --
 def word_counts(words: DataFrame) -> DataFrame:
@@ -87,34 +91,10 @@ def merge_pair(state: DataFrame, left: str, right: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------- training --
-_TOPK = 256  # candidate pairs pulled to the driver per round (a bounded top-k)
-
-
-def _admit(cands: list, vocab: set, budget: int, complete: bool) -> list:
-    """Longest prefix of the ranked candidates whose one-round merge equals
-    one-at-a-time merging: pairwise disjoint symbols, new and distinct merged
-    strings, a self pair only last, and every pair left out (seen or not)
-    strictly less frequent than every accepted one. Falls back to one pair."""
-    accepted, used, made = [], set(), set()
-    bound = None  # largest count among pairs left out
-    for row in cands:
-        a, b, n = row["left_sym"], row["right_sym"], row["n"]
-        merged = a + b
-        if (accepted and accepted[-1][0] == accepted[-1][1]) or a in used or b in used \
-                or merged in vocab or merged in made:
-            bound = n
-            break
-        accepted.append((a, b, n))
-        used.update((a, b))
-        made.add(merged)
-    else:
-        bound = None if complete else cands[-1]["n"]
-    if bound is not None:
-        while accepted and accepted[-1][2] <= bound:
-            accepted.pop()
-    if not accepted:
-        accepted = [(cands[0]["left_sym"], cands[0]["right_sym"], cands[0]["n"])]
-    return accepted[:max(budget, 1)]
+WORKING_SYMBOLS = 1_000_000   # symbols of candidate segments that the driver holds
+FIRST_PAIRS = 256             # candidate pairs of the first round; later ones follow the room left
+MOST_PAIRS = 200_000
+_TASK_SEGMENTS = 200_000      # distinct segments that a task adds up before it emits them
 
 
 def _merged(symbols: list, a: str, b: str) -> list:
@@ -127,46 +107,71 @@ def _merged(symbols: list, a: str, b: str) -> list:
     return out
 
 
-def _train_local(rows: list, vocab: set, max_vocab_size: int) -> list[tuple[str, str]]:
-    """The merges of ``rows (symbols, n, first_doc, first_pos)``, which come in the
-    order of their first occurrence; ``vocab`` grows. Pair counts are kept up to
-    date: a merge visits only the words that hold its pair. A pair's key is
-    (-count, rank of its first word, position in it), as in ``best_pair``."""
-    words, n, rank = [list(r["symbols"]) for r in rows], [r["n"] for r in rows], []
-    for i, r in enumerate(rows):
-        same = i and (r["first_doc"], r["first_pos"]) == (rows[i - 1]["first_doc"], rows[i - 1]["first_pos"])
-        rank.append(rank[-1] if same else i)
+def _apply(symbols: list, rank: dict) -> list:
+    """The merges in ``rank`` (pair -> number) applied in their order."""
+    while len(symbols) > 1:
+        best = min((rank.get(p, -1) for p in zip(symbols, symbols[1:]) if p in rank), default=None)
+        if best is None:
+            return symbols
+        a, b = next(p for p in zip(symbols, symbols[1:]) if rank.get(p) == best)
+        symbols = _merged(symbols, a, b)
+    return symbols
+
+
+def _sortable(v):
+    """A value of any id column as Spark orders it: nulls first, structs by field."""
+    if isinstance(v, dict):
+        v = tuple(v.values())
+    return tuple(map(_sortable, v)) if isinstance(v, tuple) else (v is not None, v)
+
+
+def _before(n, doc, pos):
+    """Sort key of a pair: frequent first, then by first occurrence."""
+    return -n, _sortable(doc), _sortable(pos)
+
+
+def _merge_segments(rows: list, vocab: set, max_vocab_size: int, outside: tuple | None) -> list[tuple[str, str]]:
+    """The next merges, as far as the segments decide them.
+
+    ``rows (symbols, n, first_doc, first_pos)`` come in the order of their first
+    occurrence; ``vocab`` grows. Pair counts are kept up to date: a merge visits
+    only the segments that hold its pair. A pair's key is (-count, first segment,
+    place in it), as in ``best_pair``. ``outside`` is the ``_before`` key of the
+    best pair that no segment holds (None: there is none): merging goes on while the
+    best pair comes before it, and stops after a merge whose string exists already."""
+    words, n = [list(r["symbols"]) for r in rows], [r["n"] for r in rows]
     total, holds = defaultdict(int), defaultdict(set)
     for w, s in enumerate(words):
         for p in zip(s, s[1:]):
             total[p] += n[w]
             holds[p].add(w)
-    order = {p: sorted(ws) for p, ws in holds.items()}  # heaps of words; those that lost the pair go when they surface
+    order = {p: sorted(ws) for p, ws in holds.items()}  # heaps of segments; those that lost the pair go when they surface
 
     def key_of(p):
         ws, heap = holds[p], order[p]
         while heap[0] not in ws:
             heapq.heappop(heap)
-        w, at = heap[0], []
-        while w < len(words) and rank[w] == rank[heap[0]]:
-            if w in ws:
-                s = words[w]
-                at.append(next(i for i in range(len(s) - 1) if s[i] == p[0] and s[i + 1] == p[1]))
-            w += 1
-        return -total[p], rank[heap[0]], min(at)
+        s = words[heap[0]]
+        return -total[p], heap[0], next(i for i in range(len(s) - 1) if s[i] == p[0] and s[i + 1] == p[1])
 
     keys = {p: key_of(p) for p in holds}
     best = [(k, p) for p, k in keys.items()]
     heapq.heapify(best)
-    merges = []
+    merges: list[tuple[str, str]] = []
     while len(vocab) + N_SPECIAL < max_vocab_size:
         while best and keys.get(best[0][1]) != best[0][0]:
             heapq.heappop(best)
         if not best:
             break
-        a, b = best[0][1]
+        (count, w, _), (a, b) = best[0]
+        # the first one is the best of all pairs in any case
+        if merges and outside is not None and not _before(-count, rows[w]["first_doc"], rows[w]["first_pos"]) < outside:
+            break
+        known = a + b in vocab
         vocab.add(a + b)
         merges.append((a, b))
+        if known and outside is not None:
+            break
         touched = set()
         for w in list(holds[a, b]):
             old, new = words[w], _merged(words[w], a, b)
@@ -194,12 +199,67 @@ def _train_local(rows: list, vocab: set, max_vocab_size: int) -> list[tuple[str,
     return merges
 
 
-LOCAL_SYMBOLS = 2_000_000  # symbols of all distinct words up to which training runs on the driver
+def segments(state: DataFrame, pairs: list[tuple[str, str]] | None) -> DataFrame:
+    """Distinct stretches of symbols whose neighbours are all in ``pairs`` (None: any
+    neighbours), with their summed counts and the place where they come first:
+    ``(symbols, n, first_doc, first_pos, off)``, ``off`` in characters."""
+    wanted = None if pairs is None else set(pairs)
+    kinds = [state.schema[c].dataType.simpleString() for c in ("first_doc", "first_pos")]
+    schema = f"symbols array<string>, n long, first_doc {kinds[0]}, first_pos {kinds[1]}, off long"
+
+    def run(batches):
+        import pyarrow as pa
+        types: list = []
+
+        def table(found):
+            rows = list(found.values())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(map(list, found)), pa.list_(pa.string())), pa.array([r[0] for r in rows], pa.int64()),
+                 *[pa.array([r[2][i] for r in rows], t) for i, t in enumerate(types)]], ["symbols", "n", "first_doc", "first_pos", "off"])
+        found: dict = {}
+        for batch in batches:
+            types[:] = [batch.schema.field(2).type, batch.schema.field(3).type, pa.int64()]
+            for s, n, doc, pos in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                start = 0
+                for end in range(1, len(s) + 1):
+                    if end < len(s) and (wanted is None or (s[end - 1], s[end]) in wanted):
+                        continue
+                    if end - start > 1:
+                        part, place = tuple(s[start:end]), (doc, pos, sum(map(len, s[:start])))
+                        key = tuple(map(_sortable, place))
+                        have = found.get(part)
+                        if have is None:
+                            found[part] = [n, key, place]
+                        else:
+                            have[0] += n
+                            if key < have[1]:
+                                have[1:] = key, place
+                    start = end
+            if len(found) >= _TASK_SEGMENTS:
+                yield table(found)
+                found = {}
+        if found:
+            yield table(found)
+    return (state.select("symbols", "n", "first_doc", "first_pos").mapInArrow(run, schema).groupBy("symbols")
+            .agg(F.sum("n").alias("n"), F.min(F.struct("first_doc", "first_pos", "off")).alias("f"))
+            .select("symbols", "n", "f.first_doc", "f.first_pos", "f.off"))
+
+
+def apply_merges(state: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    """``state`` after ``merges``, applied in their order to every word."""
+    rank = {p: i for i, p in enumerate(merges)}
+
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            done = [_apply(s, rank) for s in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(done, pa.list_(pa.string())), *batch.columns[1:]], batch.schema.names)
+    return state.mapInArrow(run, state.schema)
 
 
 def bpe_train(spark: SparkSession, words: DataFrame, max_vocab_size: int,
-              checkpoint_every: int = 8, batched: bool = True,
-              local_symbols: int = LOCAL_SYMBOLS) -> tuple[list[str], list[tuple[str, str]]]:
+              working_symbols: int = WORKING_SYMBOLS, first_pairs: int = FIRST_PAIRS,
+              stats: list | None = None) -> tuple[list[str], list[tuple[str, str]]]:
     """B1: learn a byte-pair vocabulary from ``(doc_id, pos, word)``.
 
     Returns ``(idx2word, merges)``: specials, then the learned tokens by length
@@ -207,45 +267,48 @@ def bpe_train(spark: SparkSession, words: DataFrame, max_vocab_size: int,
     Characters of every word enter the vocabulary even past ``max_vocab_size``;
     a merge whose string already exists still consumes a round.
 
-    Distinct words of at most ``local_symbols`` symbols (counted) are trained on the
-    driver with pair counts kept by differences; more stay distributed, a pair
-    aggregation per round. Both give the same merges.
+    Rounds. The distinct words stay on Spark. A round counts their pairs, takes the
+    most frequent ``k`` of them as candidates and cuts every word into segments whose
+    neighbours are candidates; equal segments of all words are added up. These go to
+    the driver, which merges on them with pair counts kept by differences. The counts
+    there are whole: a pair of candidates, or of what was merged from them, stands in
+    segments only. Any other pair lies across the end of a segment, where a pair
+    that is no candidate lay before, and each of its occurrences was one of that
+    pair (strings are merged in one way only within a round, or the round ends), so
+    it comes after the best pair outside. Merging stops where that bound is reached,
+    which takes hundreds of merges a round; then the words are merged on Spark.
+
+    ``k`` follows the room: candidates are halved until their segments hold at most
+    ``working_symbols`` symbols and doubled when they hold less than a third, so the
+    driver's share is bounded for any input and small inputs take one round.
+    ``stats`` gets a row (merges, candidate pairs, symbols held) per round.
     """
     state = cut_lineage(symbolize(word_counts(words)).select("symbols", "n", "first_doc", "first_pos"))
     vocab = {r[0] for r in state.select(F.explode("symbols")).distinct().collect()}  # bounded by the character set
-    if batched and (state.agg(F.sum(F.size("symbols"))).first()[0] or 0) <= local_symbols:
-        rows = state.orderBy("first_doc", "first_pos", "symbols").collect()  # at most ``local_symbols`` symbols
-        merges = _train_local(rows, vocab, max_vocab_size)
-        return list(SPECIAL_TOKENS) + sorted(vocab, key=lambda t: (-len(t), t)), merges
     merges: list[tuple[str, str]] = []
-    rounds = 0
-    release = None  # cached parent of ``state``; dropped once ``state`` itself is cached
+    k = first_pairs
     while len(vocab) + N_SPECIAL < max_vocab_size:
-        k = _TOPK if batched else 1
-        cands = [r.asDict() for r in best_pair(pair_counts(state), k).collect()]  # fills state's cache
-        if release is not None:
-            release.unpersist()
-            release = None
-        if not cands:
+        ranked = best_pair(pair_counts(state), min(k, MOST_PAIRS) + 1).collect()
+        if not ranked:
             break
-        budget = max_vocab_size - N_SPECIAL - len(vocab)
-        batch = (_admit(cands, vocab, budget, complete=len(cands) < k) if batched
-                 else [(cands[0]["left_sym"], cands[0]["right_sym"], 0)])
-        sym = F.col("symbols")
-        for a, b, _ in batch:
-            sym = merge_pair_expr(sym, a, b)
-            vocab.add(a + b)
-            merges.append((a, b))
-        rounds += 1
-        nxt = state.withColumn("symbols", sym)
-        if rounds % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)   # reliable: survives executor loss, bounds the plan
-        else:
-            nxt = nxt.persist()
-        release = state if state.is_cached else None
-        state = nxt
-    if release is not None:
-        release.unpersist()
+        while True:
+            top, rest = ranked[:k], ranked[k:]
+            held = cut_lineage(segments(state, [(r["left_sym"], r["right_sym"]) for r in top] if rest else None))
+            size = held.agg(F.sum(F.size("symbols"))).first()[0] or 0
+            if size <= working_symbols or k == 1:
+                break
+            k = max(1, min(k, len(ranked)) // 2)
+        rows = held.orderBy("first_doc", "first_pos", "off", "symbols").collect()  # at most ``working_symbols`` symbols
+        outside = _before(rest[0]["n"], rest[0]["first_doc"], rest[0]["first_pos"]) if rest else None
+        batch = _merge_segments(rows, vocab, max_vocab_size, outside)
+        merges += batch
+        if stats is not None:
+            stats.append((len(batch), len(top), size))
+        if outside is None:
+            break
+        state = cut_lineage(apply_merges(state, batch))
+        if 3 * size < working_symbols:
+            k = min(2 * k, MOST_PAIRS)
     learned = sorted(vocab, key=lambda t: (-len(t), t))
     return list(SPECIAL_TOKENS) + learned, merges
 
