@@ -86,3 +86,22 @@ def test_negative_rejects_true_next_content(spark):
     for r in ex:
         if not r["nsp"] and r["a"] == [10]:
             assert r["b"] != [11]
+
+
+def test_rank_select_over_many_copies(spark):
+    """A paragraph that repeats one line: the r-th other line is found in one probe."""
+    from pyspark.sql import functions as F
+    from textmill.operators import examples as X
+    rows = [(0, i, [9]) for i in range(3)] + [(1, i, [9] if i % 7 else [100 + i]) for i in range(3000)]
+    index = X.prepare_paragraphs(spark.createDataFrame(rows, "paragraph_id long, idx long, ids array<int>"))
+    assert index["blocks"].agg(F.max(F.size("gs"))).first()[0] <= X.COPY_BLOCK < index["groups"].agg(F.max("m")).first()[0]
+    got = [r for r in X.sample_coordinates(index, spark.range(400).withColumnRenamed("id", "example_id")).collect() if r.m and r.rb == 1]
+    others = [i for i in range(3000) if i % 7 == 0]
+    assert got and all(r.sb == others[r.r] for r in got)
+
+
+def test_count_not_above(spark):
+    from pyspark.sql import functions as F
+    from textmill.operators.examples import count_not_above
+    df = spark.createDataFrame([([], 3), ([1, 1, 4, 9], 0), ([1, 1, 4, 9], 1), ([1, 1, 4, 9], 8), ([1, 1, 4, 9], 9)], "v array<long>, r long")
+    assert [r[0] for r in df.select(count_not_above(F.col("v"), F.col("r"))).collect()] == [0, 0, 2, 3, 4]

@@ -46,7 +46,9 @@ def prepare_paragraphs(encoded: DataFrame) -> dict:
       earlier sentences of the same paragraph with the same content.
     * ``lookup``  ``(kind, key, rank, n)``: ``kind='a'`` by rank over all
       paragraphs, ``kind='e'`` by rank over paragraphs with ≥ 2 sentences.
-    * ``groups``  ``(rank, h1, h2, m)`` copies of a content inside a paragraph.
+    * ``groups``  ``(rank, h1, h2, m, firsts)`` copies of a content inside a paragraph
+      and the first ``g`` of each of their blocks.
+    * ``blocks``  ``(rank, h1, h2, block, gs)``: the sorted ``g`` of ``COPY_BLOCK`` copies.
     * ``P``, ``E`` paragraph counts (two scalars).
 
     Everything is written once as bucketed tables in the shared checkpoint
@@ -80,11 +82,27 @@ def prepare_paragraphs(encoded: DataFrame) -> dict:
     sent = dense_index_within(sent, ["rank", "h1", "h2"], ["idx"], out="_ord")
     sent = write_bucketed(sent.withColumn("g", F.col("idx") - F.col("_ord")).drop("_ord"),
                           parts, ["rank", "idx"], "sent")
-    # slim copy index (no token arrays) for the rare rejection path
-    copies = write_bucketed(sent.select("rank", "h1", "h2", "g"), parts, ["rank", "h1", "h2"], "copies")
-    groups = write_bucketed(copies.groupBy("rank", "h1", "h2").agg(F.count(F.lit(1)).alias("m")),
-                            parts, ["rank", "h1", "h2"], "groups")
-    return {"sent": sent, "lookup": lookup, "par": par, "copies": copies, "groups": groups, "P": P, "E": E}
+    # rank-select index of the copies (no token arrays): ``g`` never falls with the
+    # copy's number, so blocks of consecutive copies are sorted, one after the other
+    block = F.expr(f"(idx - g) div {COPY_BLOCK}").alias("block")
+    blocks = write_bucketed(
+        sent.groupBy("rank", "h1", "h2", block).agg(F.sort_array(F.collect_list("g")).alias("gs")),   # <= COPY_BLOCK
+        parts, ["rank", "h1", "h2", "block"], "copies")
+    groups = write_bucketed(
+        blocks.groupBy("rank", "h1", "h2").agg(F.sum(F.size("gs")).alias("m"), F.sort_array(F.collect_list(F.col("gs")[0])).alias("firsts")),
+        parts, ["rank", "h1", "h2"], "groups")
+    return {"sent": sent, "lookup": lookup, "par": par, "blocks": blocks, "groups": groups, "P": P, "E": E}
+
+
+COPY_BLOCK = 256
+
+
+def count_not_above(values: F.Column, r: F.Column) -> F.Column:
+    """How many entries of the sorted array ``values`` are at most ``r``: a binary
+    search over powers of two."""
+    steps = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= F.size(values)) & (F.get(values, at + step - 1) <= r), at + step).otherwise(at))
 
 
 # ---------------------------------------------------------------- sampling --
@@ -150,7 +168,7 @@ def sample_coordinates(index: dict, ids: DataFrame, seed: int = 0, method: str =
     # content key of the first sentence's true successor (keys only, no arrays)
     nh = sent.select(F.col("rank").alias("r0"), F.col("idx").alias("s0"), "nh1", "nh2")
     neg = ex.where(~F.col("nsp")).join(nh, ["r0", "s0"])
-    g = groups.select(F.col("rank").alias("r1"), F.col("h1").alias("nh1"), F.col("h2").alias("nh2"), "m")
+    g = groups.select(F.col("rank").alias("r1"), F.col("h1").alias("nh1"), F.col("h2").alias("nh2"), "m", "firsts")
     neg = (neg.join(g, ["r1", "nh1", "nh2"], "left")
               .withColumn("m", F.coalesce(F.col("m"), F.lit(0)).cast("long"))
               .withColumn("valid", F.col("n1") - F.col("m"))
@@ -160,15 +178,13 @@ def sample_coordinates(index: dict, ids: DataFrame, seed: int = 0, method: str =
                                                F.col("r").alias("sb"), "m", "r")
     # rare: the successor's content occurs in p1; skip its copies. With g_j =
     # q_j - j (q_j the copies' positions), the r-th valid index is r + #{g_j <= r}.
-    hit = neg.where(F.col("m") > 0)
-    copies = index["copies"].select(F.col("rank").alias("r1"), F.col("h1").alias("nh1"),
-                                    F.col("h2").alias("nh2"), F.col("g").alias("gj"))
-    skips = (hit.join(copies, ["r1", "nh1", "nh2"])
-                .where(F.col("gj") <= F.col("r"))
-                .groupBy("example_id").agg(F.count(F.lit(1)).alias("skip")))
-    skipped = (hit.join(skips, "example_id", "left")
-                  .select("example_id", "nsp", "r0", "s0", F.col("r1").alias("rb"),
-                          (F.col("r") + F.coalesce(F.col("skip"), F.lit(0))).alias("sb"), "m", "r"))
+    # One probe of the block that holds r, whatever the number of copies.
+    hit = neg.where(F.col("m") > 0).withColumn("block", (count_not_above(F.col("firsts"), F.col("r")) - 1).cast("long"))
+    blocks = index["blocks"].select(F.col("rank").alias("r1"), F.col("h1").alias("nh1"), F.col("h2").alias("nh2"), "block", "gs")
+    skip = F.when(F.col("block") < 0, F.lit(0)).otherwise(
+        F.col("block") * COPY_BLOCK + count_not_above(F.coalesce("gs", F.array().cast("array<long>")), F.col("r")))
+    skipped = (hit.join(blocks, ["r1", "nh1", "nh2", "block"], "left")
+                  .select("example_id", "nsp", "r0", "s0", F.col("r1").alias("rb"), (F.col("r") + skip).alias("sb"), "m", "r"))
     return pos.unionByName(plain).unionByName(skipped)
 
 
