@@ -523,6 +523,19 @@ def q_stream_running_metrics(spark, sf):
     return res.select("epoch", "split", "n", F.round("mean_value", 6).alias("mean_value"))
 
 
+@register("stream_epoch_metrics", O.with_(*_METRIC_ROWS) + "SELECT epoch, split, value, n_batches FROM em")
+def q_stream_epoch_metrics(spark, sf):
+    """A7 while the rows arrive, in four steps of time."""
+    from textmill.streaming.streams import stream_epoch_metrics
+    rows, out = scratch(spark, "metric-rows"), scratch(spark, "stream-metrics")
+    every = metric_rows(spark, sf)
+    cuts = every.agg(F.percentile_approx("step_key", [0.25, 0.5, 0.75])).first()[0] or []
+    part = sum((F.col("step_key") > c).cast("int") for c in cuts) if cuts else F.lit(0)
+    for step in range(len(cuts) + 1):   # one file after the other: the stream takes them in this order
+        every.where(part == step).coalesce(1).write.mode("append").parquet(rows)
+    return stream_epoch_metrics(spark, rows, out, os.path.basename(out), batch_size=BATCH_SIZE)
+
+
 # ------------------------------------------------------ file sources and sinks --
 _LABELLED = """
 lab AS (SELECT CASE WHEN quality = 1 THEN 'positive' ELSE 'negative' END AS label_text, coalesce(quality = 1, false) AS label,
@@ -592,11 +605,12 @@ def q_write_metrics(spark, sf):
 
 @register("save_model", None)
 def q_save_model(spark, sf):
+    """The reloaded model scores the whole table."""
     from textmill.sources import files as FS
-    model, train, val = _fit_and_score(spark, sf, False)
+    model, _, _ = _fit_and_score(spark, sf, False)
     path = scratch(spark, "model")
     FS.save_model(model, path)
-    return LN.score_documents(FS.load_model(path), val)
+    return LN.score_documents(FS.load_model(path), classification(spark, sf, unlabelled=True))
 
 
 # -------------------------------------------------------- vocabulary training --
