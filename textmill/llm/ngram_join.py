@@ -23,9 +23,12 @@ Only components are asked for, so pairs that cannot change them are not made:
 
 1. every group is paired with one leader, the least by hash among the leaders of
    its lists, and members with the first member of their group: a row per set;
-2. with the components of these links, all other group pairs are made that still
-   lie in different components. A list whose groups are all in one component goes
-   as a whole. Long lists are compared block by block.
+2. further rounds pair every group with another leader that lies in another
+   component, as long as a tenth of the pairs links, so that a cluster in which only
+   some pairs link falls together as well;
+3. all other group pairs are made that still lie in different components. A list
+   whose groups are all in one component goes as a whole. Long lists are compared
+   block by block.
 
 So a cluster of near copies costs its size, not its square, and no link between
 different texts is lost: a pair left out is already connected.
@@ -47,7 +50,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import broadcast_if_small, text_key, written
+from textmill.llm.common import broadcast_if_small, deleted, text_key, written
 from textmill.llm.simhash_dedup import components
 from textmill.llm.substring_dedup import _IS_SPACE, _mix, _word_hashes, rolling
 from textmill.operators.joins import hot_key_join
@@ -60,6 +63,7 @@ HOT_LIST = 50_000           # postings of one shingle handled in one task, about
 SHORT_LIST = 256            # lists up to this length drop groups that fit no other
 BLOCK = 2_048               # groups of a long list compared with as many others
 CHUNK_BYTES = 8 << 20       # sets verified at once
+LEADER_ROUNDS = 8           # rounds with one leader per group, at most; any number is right
 _TEXT = 4 << 20             # characters hashed at once
 _PAIRS = 2_000_000          # group pairs looked at at once
 _SEED = 11
@@ -294,6 +298,21 @@ def met_lists(rows: DataFrame, counts, percent: int) -> DataFrame:
     return packed.groupBy("bucket").applyInArrow(meet, _LISTS)
 
 
+def next_leaders(lists: DataFrame, labels: DataFrame, seed: int, percent: int) -> DataFrame:
+    """(gid, leader): for every group one leader of its lists that may link and lies
+    in another component; a list's leader is its least group by hash and ``seed``."""
+    named = lists.join(broadcast_if_small(labels, 24), "gid")
+    lead = (named.groupBy("token").agg(F.min(F.struct(F.xxhash64("gid", F.lit(seed)).alias("h"), "gid", "n", "pos", "low", "high")).alias("lead"),
+                                       F.min("low").alias("lo"), F.max("high").alias("hi"))
+            .where(F.col("lo") != F.col("hi")).select("token", "lead"))
+    left = F.least(F.col("n") - F.col("pos"), F.col("lead.n") - F.col("lead.pos"))
+    sizes = 100 * F.least("n", "lead.n") >= percent * F.greatest("n", "lead.n")
+    apart = (F.col("low") != F.col("lead.low")) | (F.col("high") != F.col("lead.high")) | (F.col("low") != F.col("high"))
+    fit = named.join(lead, "token").where((F.col("gid") != F.col("lead.gid")) & sizes & apart
+                                          & ((100 + percent) * left >= percent * (F.col("n") + F.col("lead.n"))))
+    return fit.groupBy("gid").agg(F.min(F.struct("lead.h", "lead.gid")).alias("m")).select("gid", F.col("m.gid").alias("leader"))
+
+
 def open_pairs(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """(g, h): group pairs of all lists that pass the filters and do not lie in one
     component. ``labels`` (gid, low, high): least and largest component of a group."""
@@ -410,7 +429,10 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, shingle: int, p
                 us.append(a.as_py())
                 vs.append(b.as_py())
         return pa.table({"u": pa.array(us, pa.binary()), "v": pa.array(vs, pa.binary())})
-    return written(left.groupBy("deal").cogroup(right.groupBy("deal")).applyInArrow(run, "u binary, v binary"), "jaccard-links")
+    links = written(left.groupBy("deal").cogroup(right.groupBy("deal")).applyInArrow(run, "u binary, v binary"), "jaccard-links")
+    for table in (pairs, sets, degree):
+        deleted(table)
+    return links
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -436,11 +458,30 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     edges = verified(member.join(stars, "gid").where(F.col("a") != F.col("b")).select("a", "b"), docs, sets, shingle, percent)
     busy = heads.where(F.col("members") > 1).select("gid").unionByName(lists.select("gid")).distinct()
 
-    # all that still lies apart
-    roots = components(edges)
     label = F.xxhash64(F.coalesce("root", "dig"))
-    named = written(sets.join(busy, "gid", "left_semi").join(roots.withColumnRenamed("fp", "dig"), "dig", "left")
+    named = written(sets.join(busy, "gid", "left_semi").join(components(edges).withColumnRenamed("fp", "dig"), "dig", "left")
                     .select("gid", "dig", label.alias("label")), "jaccard-labels")
+    for seed in range(1, LEADER_ROUNDS):
+        labels = written(named.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high")), "jaccard-group-labels")
+        head = named.groupBy("gid").agg(F.min(F.struct("dig", "label")).alias("m"))
+        head = head.select(F.col("gid").alias("leader"), F.col("m.dig").alias("a"), F.col("m.label").alias("la"))
+        tried = written(named.join(next_leaders(lists, labels, seed, percent), "gid").join(head, "leader")
+                        .where(F.col("la") != F.col("label")).select("a", F.col("dig").alias("b")), "jaccard-tried")
+        n = tried.count()
+        if not n:
+            break
+        new = verified(tried, docs, sets, shingle, percent)
+        edges = edges.unionByName(new)
+        of = named.select("dig", "label")
+        joined = components(new.join(of.select(F.col("dig").alias("u"), F.col("label").alias("lu")), "u")
+                            .join(of.select(F.col("dig").alias("v"), F.col("label").alias("lv")), "v")
+                            .select(F.col("lu").alias("u"), F.col("lv").alias("v")))
+        named = written(named.join(joined.withColumnRenamed("fp", "label"), "label", "left")
+                        .select("gid", "dig", F.coalesce("root", "label").alias("label")), "jaccard-labels")
+        if 10 * new.count() < n:
+            break
+
+    # all that still lies apart
     labels = written(named.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high")), "jaccard-group-labels")
     across = open_pairs(lists, labels, percent)
     inside = labels.where(F.col("low") != F.col("high")).select(F.col("gid").alias("g"), F.col("gid").alias("h"))
