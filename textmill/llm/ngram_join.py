@@ -24,7 +24,7 @@ Only components are asked for, so pairs that cannot change them are not made:
 1. every group is paired with one leader, the least by hash among the leaders of
    its lists, and members with the first member of their group: a row per set;
 2. further rounds pair every group with another leader that lies in another
-   component, as long as a tenth of the pairs links, so that a cluster in which only
+   component, as long as one pair in 25 links, so that a cluster in which only
    some pairs link falls together as well;
 3. all other group pairs are made that still lie in different components. A list
    whose groups are all in one component goes as a whole. Long lists are compared
@@ -299,10 +299,12 @@ def met_lists(rows: DataFrame, counts, percent: int) -> DataFrame:
 
 
 def next_leaders(lists: DataFrame, labels: DataFrame, seed: int, percent: int) -> DataFrame:
-    """(gid, leader): for every group one leader of its lists that may link and lies
-    in another component; a list's leader is its least group by hash and ``seed``."""
+    """(gid, leader): for every group one leader of its lists, any by hash, that may
+    link and lies in another component; a list's leader is any of its groups by hash.
+    As groups draw different partners, a few rounds join a cluster of which only some
+    pairs link."""
     named = lists.join(broadcast_if_small(labels, 24), "gid")
-    lead = (named.groupBy("token").agg(F.min(F.struct(F.xxhash64("gid", F.lit(seed)).alias("h"), "gid", "n", "pos", "low", "high")).alias("lead"),
+    lead = (named.groupBy("token").agg(F.min(F.struct(F.xxhash64("gid", "token", F.lit(seed)).alias("h"), "gid", "n", "pos", "low", "high")).alias("lead"),
                                        F.min("low").alias("lo"), F.max("high").alias("hi"))
             .where(F.col("lo") != F.col("hi")).select("token", "lead"))
     left = F.least(F.col("n") - F.col("pos"), F.col("lead.n") - F.col("lead.pos"))
@@ -310,7 +312,8 @@ def next_leaders(lists: DataFrame, labels: DataFrame, seed: int, percent: int) -
     apart = (F.col("low") != F.col("lead.low")) | (F.col("high") != F.col("lead.high")) | (F.col("low") != F.col("high"))
     fit = named.join(lead, "token").where((F.col("gid") != F.col("lead.gid")) & sizes & apart
                                           & ((100 + percent) * left >= percent * (F.col("n") + F.col("lead.n"))))
-    return fit.groupBy("gid").agg(F.min(F.struct("lead.h", "lead.gid")).alias("m")).select("gid", F.col("m.gid").alias("leader"))
+    pick = F.struct(F.xxhash64("gid", "lead.gid", F.lit(seed)).alias("h"), F.col("lead.gid").alias("leader"))
+    return fit.groupBy("gid").agg(F.min(pick).alias("m")).select("gid", F.col("m.leader").alias("leader"))
 
 
 def open_pairs(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -478,7 +481,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
                             .select(F.col("lu").alias("u"), F.col("lv").alias("v")))
         named = written(named.join(joined.withColumnRenamed("fp", "label"), "label", "left")
                         .select("gid", "dig", F.coalesce("root", "label").alias("label")), "jaccard-labels")
-        if 10 * new.count() < n:
+        if 25 * new.count() < n:
             break
 
     # all that still lies apart
