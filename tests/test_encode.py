@@ -76,3 +76,65 @@ def test_frequent_words_join_as_rare_ones(spark):
     for hot_keys in (0, 10, 350, 100_000):
         got = hot_key_join(big, per_key, "k", counts, hot_keys=hot_keys)
         assert sorted(map(tuple, got.select("id", "v").collect())) == want
+
+
+def _random_words(seed, n):
+    import random
+    rnd = random.Random(seed)
+    return ["".join(rnd.choice("abcxé𝒳") for _ in range(rnd.randint(1, 12))) for _ in range(n)]
+
+
+TOKENS = ["abc", "ab", "bc", "ca", "a𝒳", "éé", "c_", "a", "b", "c", "_"]
+
+
+def test_automaton_matches_equal_the_join(spark):
+    """Same occurrences and same ids by both ways, with words cut at every stretch."""
+    vocab = _vocab(spark, TOKENS)
+    words = _random_words(3, 300) + ["ab" * 500]
+    df = spark.createDataFrame([(w,) for w in set(words)] + [(None,)], "word string")
+    by_join = sorted(map(tuple, E.substring_join(df, vocab).collect()))
+    want = {r["word"]: r["ids"] for r in E.bpe_encode_words(df.dropna(), vocab).collect()}
+    for chars, tokens in ((1, 200_000), (50, 200_000), (1 << 18, 200_000), (1 << 18, 0)):
+        old = E.A.WALK_CHARS, E.A.MAX_TOKENS
+        try:
+            E.A.WALK_CHARS, E.A.MAX_TOKENS = chars, tokens  # 0 tokens: the join path
+            assert (E.A.compiled(vocab) is None) == (tokens == 0)
+            assert sorted(map(tuple, E.substring_vocab_match(df, vocab).collect())) == by_join
+            got = {r["word"]: r["ids"] for r in E.bpe_encode_words(df.dropna(), vocab).collect()}
+        finally:
+            E.A.WALK_CHARS, E.A.MAX_TOKENS = old
+        assert got == want
+    assert sorted(map(tuple, E.substring_vocab_match(df, vocab, max_len=2).collect())) == sorted(
+        map(tuple, E.substring_join(df, vocab, max_len=2).collect()))
+
+
+def test_segmentation_equals_plain_rule(spark):
+    vocab = _vocab(spark, TOKENS)
+    ids = {t: 5 + i for i, t in enumerate(TOKENS)}
+
+    def plain(word):
+        word, out = word + "_", {}
+        free = [True] * len(word)
+        for t in TOKENS:
+            at = 0
+            while at + len(t) <= len(word):
+                if word[at:at + len(t)] == t and all(free[at:at + len(t)]):
+                    free[at:at + len(t)] = [False] * len(t)
+                    out[at] = ids[t]
+                    at += len(t)
+                else:
+                    at += 1
+        out.update({i: 1 for i in range(len(word)) if free[i] and (i == 0 or not free[i - 1])})
+        return [out[i] for i in sorted(out)]
+
+    words = set(_random_words(4, 300))
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    assert {r["word"]: r["ids"] for r in E.bpe_encode_words(df, vocab).collect()} == {w: plain(w) for w in words}
+
+
+def test_vocabulary_with_repeated_or_no_tokens(spark):
+    df = spark.createDataFrame([("ab",)], "word string")
+    twice = spark.createDataFrame([("a", 7), ("a", 9), ("_", 10)], "token string, id int")
+    assert E.A.compiled(twice) is None
+    assert E.bpe_encode_words(df, twice).first()["ids"] == [7, 1, 10]
+    assert E.bpe_encode_words(df, twice.limit(0)).first()["ids"] == [1]

@@ -9,22 +9,27 @@ accept each one that overlaps nothing accepted. Every maximal run of characters
 left uncovered becomes one ``<unk>``.
 
 Work is done once per *distinct* word: occurrences → distinct words (partial
-aggregation) → substring candidates ⋈ vocabulary (broadcast if its counted size
-allows it, else a shuffle join) → per-word fold → hot/cold join back to the
-occurrences → per-sentence regroup (a sentence is bounded by its source row).
+aggregation) → matches by one walk of the vocabulary automaton → per-word fold →
+hot/cold join back to the occurrences → per-sentence regroup (a sentence is bounded by
+its source row). A vocabulary beyond the automaton's bounds is matched by a shuffle
+join of substrings instead; both ways give the same rows.
 
 Texts are lower-cased before they are split into words unless ``lower=False``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmill.functions.constants import N_SPECIAL, UNK_ID, WORD_END, WORD_SPLIT_REGEX, WORD_START
+from textmill.operators import automaton as A
 from textmill.operators.joins import broadcast_if_small, hot_key_join
 from textmill.session import cut_lineage
 
@@ -52,16 +57,49 @@ def marked(word: Column, mark: str = WORD_END, at_start: bool = False) -> Column
     return F.concat(F.lit(mark), word) if at_start else F.concat(word, F.lit(mark))
 
 
+def _usable(vocab: DataFrame, max_len: int | None, match_specials: bool) -> DataFrame:
+    if not match_specials:
+        vocab = vocab.where(F.col("id") >= N_SPECIAL)
+    return vocab if max_len is None else vocab.where(F.length("token") <= max_len)
+
+
 def substring_vocab_match(words: DataFrame, vocab: DataFrame, max_len: int | None = None,
                           match_specials: bool = True, key: str = "word", mark: str = WORD_END,
                           at_start: bool = False) -> DataFrame:
     """Every occurrence ``(key, id, pos, len)`` of every vocabulary token
-    in the marked word (1-based ``pos``; overlapping occurrences kept).
+    in the marked word (1-based ``pos``; overlapping occurrences kept), found by the
+    vocabulary automaton or, beyond its bounds, by ``substring_join``."""
+    automaton = A.compiled(_usable(vocab, max_len, match_specials))
+    if automaton is None:
+        return substring_join(words, vocab, max_len, match_specials, key, mark, at_start)
+    sent = words.sparkSession.sparkContext.broadcast(automaton)
+    matches, chunks = A.matcher(), A.chunker()
+
+    def find(batches):
+        for batch in batches:
+            first = 0
+            for part in chunks(batch.column(1).to_pylist()):
+                start, size, token, ends = matches(sent.value, part)
+                word = np.searchsorted(ends, start, side="right")
+                begin = np.concatenate([[0], ends[:-1]])[word]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(first + word)), pa.array(token, pa.int32()),
+                     pa.array(start - begin + 1, pa.int32()), pa.array(size, pa.int32())], [key, "id", "pos", "len"])
+                first += len(part)
+
+    at = words.where(F.col("word").isNotNull()).select(key, marked(F.col("word"), mark, at_start).alias("_marked"))
+    schema = T.StructType([at.schema[0], *[T.StructField(c, T.IntegerType()) for c in ("id", "pos", "len")]])
+    return at.mapInArrow(find, schema)
+
+
+def substring_join(words: DataFrame, vocab: DataFrame, max_len: int | None = None,
+                   match_specials: bool = True, key: str = "word", mark: str = WORD_END,
+                   at_start: bool = False) -> DataFrame:
+    """J2 for a vocabulary of any size: substrings joined with it.
 
     The characters are split once; each position becomes a row with the next
     ``max_len`` of them, so the work is linear in the word's length."""
-    if not match_specials:
-        vocab = vocab.where(F.col("id") >= N_SPECIAL)
+    vocab = _usable(vocab, None, match_specials)
     max_len = max_len or max_token_length(vocab)
 
     def tails(chars):
@@ -76,6 +114,51 @@ def substring_vocab_match(words: DataFrame, vocab: DataFrame, max_len: int | Non
     return cands.join(broadcast_if_small(vocab.select("token", "id")), "token").select(key, "id", "pos", "len")
 
 
+def _walked(fold, automaton: tuple, word: Column, spark) -> Column:
+    """``fold(start, size, id, ends, automaton) -> (position, id)``, ordered by position,
+    for stretches of words; as an array of ids per word. A null word has none."""
+    sent = spark.sparkContext.broadcast(automaton)
+    matches, chunks = A.matcher(), A.chunker()
+
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            values, sizes = [np.zeros(0, dtype=np.int64)], [np.zeros(1, dtype=np.int64)]
+            for part in chunks([w or "" for w in batch.to_pylist()]):
+                start, size, token, ends = matches(sent.value, part)
+                at, out = fold(start, size, token, ends, sent.value)
+                values.append(out)
+                sizes.append(np.diff(np.searchsorted(at, ends), prepend=0))
+            yield pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)), pa.int32()),
+                                           pa.array(np.concatenate(values), pa.int32()))
+
+    return F.arrow_udf(ids, T.ArrayType(T.IntegerType()))(word)
+
+
+def _priority_fold(unknown: int = UNK_ID):
+    """Matches in ``(id, start)`` order, accepted when they overlap nothing accepted; one
+    ``unknown`` per uncovered run of a word. Words do not overlap, so a stretch of them is
+    folded as one."""
+    def fold(start, size, token, ends, _):
+        n = int(ends[-1]) if len(ends) else 0
+        covered = bytearray(n)
+        order = np.lexsort((start, token))
+        kept = []
+        for j, s, k in zip(order.tolist(), start[order].tolist(), size[order].tolist()):
+            if covered.find(1, s, s + k) < 0:
+                covered[s:s + k] = b"\x01" * k
+                kept.append(j)
+        free = np.frombuffer(covered, dtype=np.uint8) == 0
+        first = np.zeros(n + 1, dtype=bool)
+        first[0], first[ends] = True, True
+        runs = np.nonzero(free & (first[:-1] | ~np.concatenate([[False], free[:-1]])))[0] if n else np.zeros(0, dtype=np.int64)
+        at = np.concatenate([start[kept], runs])
+        ids = np.concatenate([token[kept], np.full(len(runs), unknown)])
+        order = np.argsort(at, kind="stable")
+        return at[order], ids[order]
+
+    return fold
+
+
 def _word_key() -> Column:
     """What stands for a word in its candidate rows: the word itself if it is
     short, else its SHA-256 (64 characters, so the two never meet). A very long
@@ -107,8 +190,12 @@ def _segment_batch(word_len: pd.Series, ids: pd.Series, pos: pd.Series, lens: pd
 
 def _encode_distinct(words: DataFrame, vocab: DataFrame, max_len: int | None, match_specials: bool) -> DataFrame:
     """``words`` (one row per word, other columns kept) plus ``ids``."""
+    automaton = A.compiled(_usable(vocab, max_len, match_specials))
+    if automaton is not None:
+        return words.select(*words.columns, _walked(_priority_fold(), automaton, marked(F.col("word")),
+                                                    words.sparkSession).alias("ids"))
     keyed = words.withColumn("_wk", _word_key())
-    cands = substring_vocab_match(keyed, vocab, max_len, match_specials, key="_wk")
+    cands = substring_join(keyed, vocab, max_len, match_specials, key="_wk")
     grouped = cands.groupBy("_wk").agg(F.collect_list(F.struct("id", "pos", "len")).alias("_cands"))
     # words with no candidate at all (nothing of them in the vocabulary) still encode
     full = keyed.join(grouped, "_wk", "left")
@@ -215,15 +302,53 @@ def _viterbi_batch(word_len: pd.Series, ids: pd.Series, pos: pd.Series, lens: pd
     return pd.Series(out)
 
 
+def _viterbi_fold(unk_score: float, unknown: int = UNK_ID):
+    """Best-scoring path per word, as ``_viterbi_batch``; matches come longest first at
+    an end, so ties keep the longest."""
+    def fold(start, size, token, ends, automaton):
+        scores = automaton[3]
+        by_end: dict[int, list] = {}
+        for s, k, t, sc in zip(start.tolist(), size.tolist(), token.tolist(), scores[token].tolist()):
+            by_end.setdefault(s + k, []).append((s, t, sc))
+        at, ids, begin = [], [], 0
+        for end in ends.tolist():
+            best, back = {begin: 0.0}, {}
+            for e in range(begin + 1, end + 1):
+                top, step = -np.inf, None
+                for s, t, sc in by_end.get(e, ()):
+                    if best[s] + sc > top:
+                        top, step = best[s] + sc, (s, t)
+                if best[e - 1] + unk_score > top:
+                    top, step = best[e - 1] + unk_score, (e - 1, unknown)
+                best[e], back[e] = top, step
+            path, e = [], end
+            while e > begin:
+                path.append(back[e])
+                e = back[e][0]
+            path.reverse()
+            for k, (s, t) in enumerate(path):
+                if t != unknown or k == 0 or path[k - 1][1] != unknown:
+                    at.append(s)
+                    ids.append(t)
+            begin = end
+        return np.asarray(at, dtype=np.int64), np.asarray(ids, dtype=np.int64)
+
+    return fold
+
+
 def _unigram_distinct(words: DataFrame, vocab: DataFrame, mark: str, at_start: bool) -> DataFrame:
     token = "piece" if "piece" in vocab.columns else "token"
     pieces = vocab.where(F.col("id") >= N_SPECIAL).select("id", F.col(token).alias("token"),
                                                           F.col("score").cast("double").alias("score"))
+    unk = (pieces.agg(F.min("score")).first()[0] or 0.0) - 10.0  # one scalar
+    automaton = A.compiled(pieces)
+    if automaton is not None:
+        return words.select(*words.columns, _walked(_viterbi_fold(unk), automaton, marked(F.col("word"), mark, at_start),
+                                                    words.sparkSession).alias("ids"))
     keyed = words.withColumn("_wk", _word_key())
-    cands = substring_vocab_match(keyed, pieces, key="_wk", mark=mark, at_start=at_start).join(
+    cands = substring_join(keyed, pieces, key="_wk", mark=mark, at_start=at_start).join(
         broadcast_if_small(pieces.select("id", "score")), "id")
     grouped = cands.groupBy("_wk").agg(F.collect_list(F.struct("id", "pos", "len", "score")).alias("c"))
-    unk = (pieces.agg(F.min("score")).first()[0] or 0.0) - 10.0  # one scalar
     full = keyed.join(grouped, "_wk", "left")
     empty = F.array().cast("array<struct<id:int,pos:int,len:int,score:double>>")
     c = F.coalesce(F.col("c"), empty)
@@ -234,7 +359,7 @@ def _unigram_distinct(words: DataFrame, vocab: DataFrame, mark: str, at_start: b
 def unigram_encode_words(words: DataFrame, vocab: DataFrame, mark: str = WORD_END,
                          at_start: bool = False) -> DataFrame:
     """``vocab(id, token | piece, score)`` log-probability pieces →
-    max-likelihood ids per distinct word (same candidate join as B3). Unknown
+    max-likelihood ids per distinct word (same matches as B3). Unknown
     characters score ``min(score) - 10``. A vocabulary file (S3) marks the
     start of a word: ``mark=WORD_START, at_start=True``."""
     return _unigram_distinct(words.select("word").distinct(), vocab, mark, at_start)
