@@ -9,14 +9,18 @@ train / validation metrics of A6/A7.
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer, Word2Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textmill.operators import training as TR
 from textmill.operators.evaluate import epoch_metrics, metrics_batches
-from textmill.session import cut_lineage
+from textmill.session import checkpoint_dir, cut_lineage
 
 
 def merge_params(own: DataFrame, pretrained: DataFrame) -> DataFrame:
@@ -84,25 +88,24 @@ def score_documents(model: PipelineModel, docs: DataFrame) -> DataFrame:
 
 
 def training_rows(train: DataFrame, val: DataFrame, use_pretrained: bool, epochs: int, dim: int = 32, seed: int = 0,
-                  unlabelled: DataFrame | None = None) -> DataFrame:
+                  unlabelled: DataFrame | None = None, path: str | None = None, **how) -> DataFrame:
     """The course of M2: ``(step_key, epoch, split, loss, accuracy)``, a row per
-    document, split and epoch. Epoch ``e`` is the classifier after ``e + 1``
-    optimiser steps over the training data; the features are computed once."""
-    from pyspark.ml.functions import vector_to_array
-    features = fit_classifier(train, use_pretrained, dim, seed, max_iter=1, unlabelled=unlabelled).stages[0]
-    data = {split: cut_lineage(features.transform(_as_terms(df)).select(
-        F.col("doc_id").alias("step_key"), F.col("label").cast("double").alias("y"), "features"))
-        for split, df in (("train", train), ("val", val))}
-    out = None
-    for epoch in range(epochs):
-        model = LogisticRegression(featuresCol="features", labelCol="y", maxIter=epoch + 1).fit(data["train"])
-        for split, df in data.items():
-            scored = model.transform(df)
-            p = F.greatest(F.element_at(vector_to_array("probability"), F.col("y").cast("int") + 1), F.lit(1e-12))
-            rows = scored.select("step_key", F.lit(epoch).cast("long").alias("epoch"), F.lit(split).alias("split"),
-                                 (-F.log(p)).alias("loss"), (F.col("prediction") == F.col("y")).cast("double").alias("accuracy"))
-            out = rows if out is None else out.unionByName(rows)
-    return cut_lineage(out)
+    document, split and epoch, of mini-batch training (``operators.training``) on token
+    shares or, with ``use_pretrained``, on mean token vectors. ``path`` keeps the epochs'
+    checkpoints; training goes on from those it holds (default: a fresh folder)."""
+    splits = {"train": train, "val": val}
+    if use_pretrained:
+        from pyspark.ml.functions import vector_to_array
+        terms = _as_terms(*((train,) if unlabelled is None else (unlabelled, "ids"))).where(F.size("terms") > 0)
+        model = _word2vec(terms, dim, seed, "features").fit(terms)
+        data = {k: TR.vector_features(model.transform(_as_terms(df)).withColumn("features", vector_to_array("features")), "features")
+                for k, df in splits.items()}
+        width = dim
+    else:
+        data = {k: TR.token_features(df) for k, df in splits.items()}
+        width = max(df.agg(F.max(F.array_max("tokens"))).first()[0] or 0 for df in splits.values()) + 1
+    path = path or os.path.join(checkpoint_dir(train.sparkSession), "scratch", f"training-{uuid.uuid4().hex[:12]}")
+    return TR.training_rows({k: cut_lineage(df) for k, df in data.items()}, width, epochs, path, seed=seed, **how)
 
 
 def training_history(rows: DataFrame, batch_size: int) -> DataFrame:

@@ -451,7 +451,7 @@ def q_score_documents(spark, sf):
     return LN.score_documents(model, classification(spark, sf, unlabelled=True))
 
 
-EPOCHS = 3
+EPOCHS = 10
 _HISTORY: dict = {}
 
 
@@ -463,7 +463,7 @@ def history_state(spark, sf):
         out = None
         for run, use in (("counts", False), ("with_vectors", True)):
             unl = example_state(spark, sf)["enc"] if use else None
-            rows = LN.training_rows(train, val, use, EPOCHS, dim=16, unlabelled=unl)
+            rows = LN.training_rows(train, val, use, EPOCHS, dim=16, unlabelled=unl, batch_size=BATCH_SIZE)
             part = LN.training_history(rows, BATCH_SIZE).withColumn("run", F.lit(run))
             out = part if out is None else out.unionByName(part)
         _HISTORY[key] = cut_lineage(out)
