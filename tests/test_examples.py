@@ -105,3 +105,37 @@ def test_count_not_above(spark):
     from textmill.operators.examples import count_not_above
     df = spark.createDataFrame([([], 3), ([1, 1, 4, 9], 0), ([1, 1, 4, 9], 1), ([1, 1, 4, 9], 8), ([1, 1, 4, 9], 9)], "v array<long>, r long")
     assert [r[0] for r in df.select(count_not_above(F.col("v"), F.col("r"))).collect()] == [0, 0, 2, 3, 4]
+
+
+def test_audit_against_the_source_finds_planted_faults(spark):
+    from pyspark.sql import functions as F
+    enc = [(p, i, [10 * (p + 1) + i] * 5) for p in range(4) for i in range(3 + p)] + [(9, i, [77]) for i in range(4)] + [(10, 0, [])]
+    encoded = spark.createDataFrame(enc, "paragraph_id long, idx long, ids array<int>")
+    index = X.prepare_paragraphs(encoded)
+    ex = X.pretrain_examples(index, 400, 100)
+    pairs = X.unpacked(ex)
+    got = X.source_audit(pairs, index, sketch=True).first()
+    rows = pairs.collect()
+    texts = {}
+    for p, i, ids in enc:
+        texts.setdefault(p, []).append(tuple(ids))
+    nxt = [(a, b) for t in texts.values() for a, b in zip(t, t[1:])]
+    every = [a for t in texts.values() for a in t]
+
+    def counts(rows):
+        always = {(a, b) for a, b in nxt if nxt.count((a, b)) == every.count(a)}
+        pair = [(r["nsp"], (tuple(r["a"]), tuple(r["b"]))) for r in rows]
+        return (sum(n for n, _ in pair), sum(n and p not in nxt for n, p in pair), sum(not n for n, _ in pair),
+                sum(not n and p in always for n, p in pair), len({p for _, p in pair}))
+
+    names = ("n_positive", "n_positive_not_next", "n_negative", "n_negative_always_next", "n_distinct_pairs")
+    assert tuple(got[c] for c in names) == counts(rows)
+    assert got["n_positive_not_next"] == got["n_negative_always_next"] == 0
+    assert abs(got["n_distinct_sketch"] - got["n_distinct_pairs"]) <= 0.05 * got["n_distinct_pairs"]
+    # a tenth of the labels turned round, and second sentences put in the place of the first
+    wrong = pairs.withColumn("nsp", F.when(F.col("example_id") % 10 == 0, ~F.col("nsp")).otherwise(F.col("nsp")))
+    wrong = wrong.withColumn("a", F.when(F.col("example_id") % 7 == 0, F.col("b")).otherwise(F.col("a")))
+    found = X.source_audit(wrong, index).first()
+    assert tuple(found[c] for c in names) == counts(wrong.collect())
+    assert found["n_positive_not_next"] > 0 and found["n_negative_always_next"] > 0
+    assert tuple(X.source_audit(pairs.limit(0), index).first()[c] for c in names) == (0, 0, 0, 0, 0)

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textmill.functions.constants import SEP_ID
+
 
 def next_sentence(sentences: DataFrame) -> DataFrame:
     """Each sentence with its successor (null for the last). A self equi-join
@@ -326,3 +328,44 @@ def example_audit(examples: DataFrame, requested: int | None = None) -> DataFram
         F.round(F.sum(n_same) / F.sum(n_mask), 6).alias("same_share"),
         F.round(F.sum(n_rand) / F.sum(n_mask), 6).alias("random_share"),
         F.round(F.avg(F.col("nsp").cast("double")), 6).alias("positive_share"))
+
+
+def unpacked(examples: DataFrame) -> DataFrame:
+    """``(example_id, nsp, a, b)`` from ``src`` = CLS a SEP b SEP; sentences hold no SEP."""
+    at = F.array_position("src", SEP_ID).cast("int")
+    return examples.select("example_id", "nsp", F.slice("src", F.lit(2), F.greatest(at - 2, F.lit(0))).alias("a"),
+                           F.slice("src", at + 1, F.greatest(F.size("src") - at - 1, F.lit(0))).alias("b"))
+
+
+def source_audit(pairs: DataFrame, index: dict, sketch: bool = False) -> DataFrame:
+    """A9 against the paragraphs: are the labels of ``(nsp, a, b)`` true?
+
+    A positive pair must stand somewhere as a sentence and its successor; a negative one is
+    false where every occurrence of its first sentence is followed by the second.
+    One row: ``n_positive, n_positive_not_next, n_negative, n_negative_always_next,
+    n_distinct_pairs`` (of ``a`` and ``b``); with ``sketch`` also
+    ``n_distinct_sketch``, the same from a mergeable HLL sketch.
+
+    Equal pairs are added up before they are joined on their 128-bit content keys, and
+    so are equal sentences, so a pair or sentence that stands everywhere is a row."""
+    key = ["h1", "h2", "nh1", "nh2"]
+    asked = pairs.select("nsp", _seq_hash("a", "h1").alias("h1"), _seq_hash("a", "h2").alias("h2"),
+                         _seq_hash("b", "h1").alias("nh1"), _seq_hash("b", "h2").alias("nh2"))
+    counted = asked.groupBy(*key).agg(F.count_if("nsp").alias("pos"), F.count_if(~F.col("nsp")).alias("neg"))
+    sent = index["sent"].select(*key)
+    follows = sent.where(F.col("nh1").isNotNull()).groupBy(*key).agg(F.count(F.lit(1)).alias("n_next"))
+    known = counted.join(follows, key, "left")
+    # only negatives that follow somewhere need the occurrences of their first sentence
+    doubtful = known.where((F.col("neg") > 0) & F.col("n_next").isNotNull())
+    occurs = sent.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_a"))
+    false_neg = doubtful.join(occurs, ["h1", "h2"]).where(F.col("n_next") == F.col("n_a")).agg(
+        F.coalesce(F.sum("neg"), F.lit(0)).alias("n_negative_always_next"))
+    extra = [F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(*key))).alias("n_distinct_sketch")] if sketch else []
+
+    def total(col):
+        return F.coalesce(F.sum(col), F.lit(0))
+
+    sums = known.agg(total("pos").alias("n_positive"),
+                     total(F.when(F.col("n_next").isNull(), F.col("pos"))).alias("n_positive_not_next"),
+                     total("neg").alias("n_negative"), F.count(F.lit(1)).alias("n_distinct_pairs"), *extra)
+    return sums.join(F.broadcast(false_neg))  # one row each

@@ -525,6 +525,21 @@ def q_example_audit(spark, sf):
     return X.example_audit(st["examples"], st["n"])
 
 
+@register("example_source_audit", with_examples("""
+succ AS (SELECT x.ids AS a, y.ids AS b, count(*) AS n_next FROM sent x JOIN sent y ON y.rank = x.rank AND y.idx = x.idx + 1
+         GROUP BY x.ids, y.ids)""", """
+occ AS (SELECT ids AS a, count(*) AS n_a FROM sent GROUP BY ids)""", """
+asked AS (SELECT p.nsp, p.a, p.b, s.n_next, o.n_a FROM pairs p JOIN examples USING (example_id)
+          LEFT JOIN succ s ON s.a = p.a AND s.b = p.b LEFT JOIN occ o ON o.a = p.a)""") + """
+SELECT count(*) FILTER (nsp) AS n_positive, count(*) FILTER (nsp AND n_next IS NULL) AS n_positive_not_next,
+       count(*) FILTER (NOT nsp) AS n_negative, count(*) FILTER (NOT nsp AND n_next = n_a) AS n_negative_always_next,
+       (SELECT count(*) FROM (SELECT DISTINCT a, b FROM asked)) AS n_distinct_pairs FROM asked""")
+def q_example_source_audit(spark, sf):
+    """The labels of the delivered examples against the paragraphs."""
+    st = example_state(spark, sf)
+    return X.source_audit(X.unpacked(st["examples"]), st["index"])
+
+
 def _load_all() -> None:
     import textmill.plans.registry_more  # noqa: F401  (registers part 2)
 

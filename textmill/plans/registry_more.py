@@ -378,6 +378,55 @@ def q_cosine_projected_pairs(spark, sf):
     return c.select("item1", "item2", F.round("cosine", 6).alias("cosine"))
 
 
+_TOKENS_SQL = """
+tk AS (SELECT example_id, generate_subscripts(src, 1) - 1 AS pos, unnest(src) AS token,
+              unnest(list_transform(src, lambda x, i: len(list_filter(seps, lambda s: s < i - 1)))) AS seg
+       FROM (SELECT example_id, src, list_filter(range(0, len(src)), lambda i: src[i + 1] = 3) AS seps FROM examples))"""
+
+
+def _states(spark, sf):
+    return VC.states(example_state(spark, sf)["examples"], TB.load(spark, sf, "embeddings"), POS_MAX_LEN)
+
+
+def _state_pairs(spark, sf):
+    """First word of every example's first sentence with the first word of its second
+    sentence, and with the first word of the next example."""
+    ex = example_state(spark, sf)["examples"].select("example_id", F.array_position("src", 3).cast("int").alias("second"))
+    one = F.lit(1)
+    inside = ex.select(F.col("example_id").alias("item1"), one.alias("pos1"), F.col("example_id").alias("item2"), F.col("second").alias("pos2"))
+    nxt = ex.select(F.col("example_id").alias("item1"), one.alias("pos1"), (F.col("example_id") + 1).alias("item2"), one.alias("pos2"))
+    return inside.unionByName(nxt)
+
+
+@register("compare_states", with_examples(_TOKENS_SQL, """
+es AS (SELECT vec_id, list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS s FROM embeddings)""", f"""
+pe AS (SELECT p, sum({_POSITION}) AS s FROM range(0, (SELECT max(pos) + 1 FROM tk)) r(p), range(0, {_EMB_DIM}) q(i) GROUP BY p)""", """
+st AS (SELECT example_id AS item, pos, token, coalesce(t.s, 0) + pe.s + coalesce(g.s, 0) AS v
+       FROM tk LEFT JOIN es t ON t.vec_id = token LEFT JOIN es g ON g.vec_id = seg AND seg < 3 JOIN pe ON pe.p = pos
+       WHERE token <> 0)""", """
+sp AS (SELECT example_id AS item1, 1 AS pos1, example_id AS item2, list_position(src, 3) AS pos2 FROM examples
+       UNION ALL SELECT example_id, 1, example_id + 1, 1 FROM examples)""") + """
+SELECT item1, CAST(pos1 AS INTEGER) AS pos1, item2, CAST(pos2 AS INTEGER) AS pos2, round(a.v, 3) AS sum1, round(b.v, 3) AS sum2
+FROM sp JOIN st a ON a.item = item1 AND a.pos = pos1 JOIN st b ON b.item = item2 AND b.pos = pos2""")
+def q_compare_states(spark, sf):
+    """J9 by ``(item, pos)``: both states of listed pairs of places in sequences."""
+    found = VC.compare_pairs(_state_pairs(spark, sf), _states(spark, sf), ["item", "pos"])
+
+    def total(v):
+        return F.round(F.aggregate(v, F.lit(0.0), lambda a, b: a + b), 3)
+
+    return found.select("item1", "pos1", "item2", "pos2", total("v1").alias("sum1"), total("v2").alias("sum2"))
+
+
+@register("cosine_states", None)
+def q_cosine_states(spark, sf):
+    """V1 + V2 from sentences: all states centred and projected, cosines of listed places."""
+    st = cut_lineage(_states(spark, sf))
+    proj, _ = VC.pca_project(st, k=7, key=["item", "pos"], col="v")
+    c = VC.cosine_pairs(_state_pairs(spark, sf), proj, ["item", "pos"])
+    return c.select("item1", "pos1", "item2", "pos2", F.round("cosine", 6).alias("cosine"))
+
+
 @register("pca_project", None)
 def q_pca_project(spark, sf):
     proj, _ = VC.pca_project(TB.load(spark, sf, "embeddings"), k=7)
