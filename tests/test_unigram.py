@@ -57,3 +57,52 @@ def test_vocabulary_file_keeps_case_and_marks_word_starts(spark, tmp_path):
     for i, t in enumerate(texts):
         assert got[i] == [x for w in t.split() for x in _brute(w, pieces, -16.0, "▁" + w)[0]], t
     assert 6 in got[0] and 8 in got[0]  # "An" and "an" are different pieces
+
+
+def test_scores_by_em_against_all_segmentations(spark):
+    """One round equals enumeration; the likelihood never falls; rare pieces go."""
+    from textmill.operators import unigram as U
+    words = [("abab", 5), ("ab", 9), ("bba", 3), ("a", 4), ("xab", 2), ("x", 1)]
+    pieces = [(5, "a", -1.5), (6, "b", -1.7), (7, "ab", -1.2), (8, "▁ab", -2.0), (9, "▁", -2.2), (10, "bba", -9.0)]
+    counts = spark.createDataFrame(words, "word string, n long")
+    vocab = spark.createDataFrame(pieces, "id int, token string, score double")
+    unk = -19.0
+
+    def ways(w):
+        if not w:
+            return [((), 0.0)]
+        out = [(p, s + unk) for p, s in ways(w[1:])]
+        for i, t, sc in pieces:
+            if w.startswith(t):
+                out += [((i, *p), s + sc) for p, s in ways(w[len(t):])]
+        return out
+
+    want, total = {}, 0.0
+    for w, n in words:
+        every = ways("▁" + w)
+        z = sum(math.exp(s) for _, s in every)
+        total += n * math.log(z)
+        for p, s in every:
+            for i in p:
+                want[i] = want.get(i, 0.0) + n * math.exp(s) / z
+    got = {r["id"]: int(r["expected"]) / U.UNIT for r in U.expected_counts(counts, vocab, unk).collect()}
+    assert abs(got.pop(U.LIKELIHOOD) - total) < 1e-4
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-4 for i in want)
+
+    fitted, course = U.fit(counts, vocab, rounds=6, least=0.0)
+    assert len(course) == 6 and all(b >= a - 1e-4 for a, b in zip(course, course[1:]))
+    assert abs(sum(math.exp(r["score"]) for r in fitted.collect()) - 1) < 1e-9
+    tokens = {r["token"] for r in U.fit(counts, vocab, rounds=3, least=1.0)[0].collect()}
+    assert "bba" not in tokens and {"a", "b", "▁"} <= tokens
+    assert U.fit(counts.limit(0), vocab)[0].count() == len(pieces)
+
+
+def test_seeds_and_pieces_cover_the_text(spark):
+    from textmill.operators import unigram as U
+    counts = spark.createDataFrame([("grain", 7), ("grains", 3), ("rain", 5), ("é𝒳", 1)], "word string, n long")
+    seeds = U.seed_pieces(counts, 30)
+    assert seeds.count() == 30 and {"▁", "é", "𝒳"} <= {r["token"] for r in seeds.collect()}
+    vocab, _ = U.fit(counts, seeds)
+    enc = E.unigram_encode_words(counts, vocab, mark="▁", at_start=True)
+    for r in E.pieces_of(enc, vocab, ["word"]).collect():
+        assert "".join(r["pieces"]) == "▁" + r["word"] and len(r["ids"]) == len(r["pieces"])

@@ -240,6 +240,18 @@ def encode_sentences(sentences: DataFrame, vocab: DataFrame, max_len: int | None
     return _encode_with(sentences, lambda words: _encode_distinct(words, vocab, max_len, match_specials), lower)
 
 
+def pieces_of(seqs: DataFrame, vocab: DataFrame, key_cols: list[str], ids_col: str = "ids") -> DataFrame:
+    """Ids and the tokens they stand for, in order: ``key_cols + [ids, pieces ARRAY<STRING>]``;
+    an id that is not in the vocabulary has a null piece. Keys must be unique."""
+    named = seqs.select(*key_cols, F.posexplode(ids_col).alias("p", "id")).join(
+        broadcast_if_small(vocab.select("id", "token")), "id", "left")
+    some = (named.groupBy(*key_cols).agg(F.array_sort(F.collect_list(F.struct("p", "id", "token"))).alias("_t"))
+            .select(*key_cols, F.transform("_t", lambda s: s["id"]).alias("ids"), F.transform("_t", lambda s: s["token"]).alias("pieces")))
+    none = seqs.where(F.size(ids_col) == 0).select(*key_cols, F.array().cast("array<int>").alias("ids"),
+                                                   F.array().cast("array<string>").alias("pieces"))
+    return some.unionByName(none)
+
+
 def decode(seqs: DataFrame, vocab: DataFrame, key_cols: list[str], ids_col: str = "ids") -> DataFrame:
     """Ids → words. Tokens are concatenated and split at the word end; one
     trailing empty piece is dropped. Returns ``key_cols + [words ARRAY<STRING>]``."""

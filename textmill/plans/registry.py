@@ -231,6 +231,16 @@ def q_bpe_encode(spark, sf):
     return E.bpe_encode_words(words, vocab).select("word", ids_str("ids").alias("ids"))
 
 
+@register("bpe_pieces", O.with_(*_ENC_DOCS) + """
+SELECT word, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY p) AS ids, string_agg(token, ' ' ORDER BY p) AS pieces
+FROM (SELECT word, generate_subscripts(ids, 1) AS p, unnest(ids) AS id FROM enc_words) JOIN vocab USING (id) GROUP BY word""")
+def q_bpe_pieces(spark, sf):
+    """B3 with the pieces next to their ids."""
+    vocab = demo_vocab(spark, doc_words(spark, sf))
+    enc = E.bpe_encode_words(TB.sentence_words(doc_sents(spark, sf)), vocab)
+    return E.pieces_of(enc, vocab, ["word"]).select("word", ids_str("ids").alias("ids"), F.array_join("pieces", " ").alias("pieces"))
+
+
 @register("encode_corpus", O.with_(*_ENC_DOCS) + """
 SELECT paragraph_id, idx, array_to_string(ids, ' ') AS ids, CAST(len(ids) AS BIGINT) AS n_tokens FROM enc_sents""")
 def q_encode_corpus(spark, sf):

@@ -697,6 +697,36 @@ def q_unigram_encode(spark, sf):
     return E.unigram_encode_words(words, scored).select("word", ids_str("ids").alias("ids"))
 
 
+SEED_PIECES, EM_ROUNDS = 8_000, 4
+
+
+def _case_counts(spark, sf):
+    """Distinct words of the documents in their own case, with their counts."""
+    from textmill.functions.constants import WORD_SPLIT_REGEX
+    from textmill.plans.registry import doc_sents
+    words = doc_sents(spark, sf).select(F.explode(F.split("sentence", WORD_SPLIT_REGEX)).alias("word")).where(F.col("word") != "")
+    return cut_lineage(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("unigram_fit", None)
+def q_unigram_fit(spark, sf):
+    """Pieces and scores of the documents by expectation maximisation."""
+    from textmill.operators import unigram as U
+    counts = _case_counts(spark, sf)
+    return U.fit(counts, U.seed_pieces(counts, SEED_PIECES), EM_ROUNDS)[0]
+
+
+@register("unigram_pieces", None)
+def q_unigram_pieces(spark, sf):
+    """Every distinct word in the pieces so learned, with their ids."""
+    from textmill.operators import encode as E
+    from textmill.operators import unigram as U
+    counts = _case_counts(spark, sf)
+    vocab, _ = U.fit(counts, U.seed_pieces(counts, SEED_PIECES), EM_ROUNDS)
+    enc = E.unigram_encode_words(counts, vocab, mark=WORD_START, at_start=True)
+    return E.pieces_of(enc, vocab, ["word"]).select("word", ids_str("ids").alias("ids"), F.array_join("pieces", " ", "<unk>").alias("pieces"))
+
+
 # --------------------------------------------------- vocabulary file to examples --
 PIECE_WORDS = 4_000  # most frequent words that become pieces of the vocabulary file
 
