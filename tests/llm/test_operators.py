@@ -87,6 +87,20 @@ def test_entropy_spans(spark):
         assert abs((weight(24) - sum(weight(v) for v in c.values())) / 24e6 - direct) < 1e-4
 
 
+def test_keys_beside_samples_are_found(spark):
+    key, uuid = "q7Zp2LxV9tKb4WnR8sYd3HfG6mJc1Ae5", "123e4567-e89b-12d3-a456-426614174000"
+    fronts = ["/example/", uuid + "/", "your_", "0123456789", "XXXX", "Placeholder="]
+    texts = [f"é𝒳 {f}{key} end" for f in fronts] + [f"{key}{uuid}{key}", f"/example/{uuid}/your_placeholder", uuid * 3, None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(None, texts[0]), (0, texts[0])], "doc_id long, text string")
+    got = by_id(op1_secret_scan(df))
+    for i, f in enumerate(fronts):
+        kind, first, last = got[i].spans.split(":")
+        assert kind == "entropy_base64" and 3 + len(f) - 1 <= int(first) <= 3 + len(f) and int(last) == 3 + len(f) + 32, texts[i]
+    assert got[6].spans == "entropy_base64:0:32,entropy_base64:68:100"
+    assert [got[i].spans for i in (7, 8, 9, 10)] == [""] * 4
+    assert got[None].spans == got[0].spans and op1_secret_scan(df).count() == len(texts) + 2
+
+
 def test_line_dedup(docs):
     got = {tuple(r) for r in op5_line_dedup(docs).collect()}
     assert got == set(brute.line_dedup(pairs(docs)))
@@ -125,6 +139,21 @@ def test_license_spans_survive_edits(spark):
     assert got[1].spans[0]["first"] == 3 and got[2].labels == ""
 
 
+def test_license_chains(spark):
+    """Words put into a notice leave its label; other orders and far halves get none."""
+    one = "permission is hereby granted free of charge to any person obtaining a copy of this software and"
+    two = "associated documentation files the software to deal in the software without restriction"
+    cut = lambda n: f"{one} {' '.join('w%d' % i for i in range(n))} {two}"
+    texts = [cut(0), cut(3), cut(5), cut(12), cut(13), f"{two} {one}", f"{cut(5)} between {cut(3)}", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(None, texts[2]), (2, texts[2])], "doc_id long, text string")
+    got = by_id(scan_licenses(df))
+    assert [got[i].labels for i in range(9)] == ["mit"] * 4 + ["", "", "mit", "", ""]
+    n = len((one + " " + two).split())
+    assert got[0].score == 1.0 and all(abs(got[i].score - (n - 2 - 2) / (n - 2)) < 1e-9 for i in (1, 2, 3))
+    assert [(r["first"], r["last"]) for r in got[6].spans] == [(0, n + 5), (n + 6, 2 * n + 9)]
+    assert got[None].labels == "mit" and scan_licenses(df).count() == len(texts) + 2
+
+
 def test_quality_counts(docs):
     got = by_id(op10_quality_rules(docs))
     for d, t in pairs(docs):

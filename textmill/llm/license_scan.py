@@ -6,7 +6,9 @@ windows of the template texts (a fixed table of a few hundred rows, broadcast).
 A hit at word ``pos`` of window ``tpos`` votes for the diagonal ``pos - tpos``.
 Votes are counted per document, template and diagonal; diagonals at most
 ``DRIFT`` apart merge (insertions and deletions move a match to a neighbouring
-diagonal); a merged group is verified when the distinct template windows it
+diagonal). Merged groups of one template that follow each other both in the document, at
+most ``INSERTED`` words apart, and in the template form a chain, as where a name
+was put into a notice. A chain is verified when the distinct template windows it
 hits, compared as words and not as hashes, cover ``MIN_COVER`` of the template.
 ``score`` is the best cover of the document (1 if a base phrase stands in it).
 
@@ -30,6 +32,7 @@ from textmill.llm.common import broadcast_if_small, let, text_key, written
 
 K = 3
 DRIFT = 2
+INSERTED = 12
 MIN_COVER = 0.6
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -101,10 +104,17 @@ def diagonal_spans(votes: DataFrame) -> DataFrame:
     merged = (votes.where(~F.col("is_base")).withColumn("new", F.coalesce(new, F.lit(0)))
               .withColumn("cluster", F.sum("new").over(w))
               .groupBy("doc_id", "tk", "tmpl", "label", "cluster", "n_windows")
-              .agg(F.size(F.array_distinct(F.flatten(F.collect_list("tposs")))).alias("n_hit"),
+              .agg(F.array_distinct(F.flatten(F.collect_list("tposs"))).alias("tposs"),
                    F.min("first").alias("first"), (F.max("last") + K).alias("last")))
-    return (merged.withColumn("cover", F.col("n_hit") / F.col("n_windows"))
-            .where(F.col("cover") >= MIN_COVER).drop("n_hit", "n_windows", "cluster"))
+    o = Window.partitionBy("doc_id", "tk", "tmpl").orderBy("first", "last", "cluster")
+    follows = (F.array_min("tposs") > F.lag(F.array_max("tposs")).over(o)) & (F.col("first") - F.lag("last").over(o) <= INSERTED)
+    chains = (merged.withColumn("apart", F.when(follows, F.lit(0)).otherwise(F.lit(1)))
+              .withColumn("chain", F.sum("apart").over(o))
+              .groupBy("doc_id", "tk", "tmpl", "label", "chain", "n_windows")
+              .agg(F.size(F.array_distinct(F.flatten(F.collect_list("tposs")))).alias("n_hit"),
+                   F.min("first").alias("first"), F.max("last").alias("last")))
+    return (chains.withColumn("cover", F.col("n_hit") / F.col("n_windows"))
+            .where(F.col("cover") >= MIN_COVER).drop("n_hit", "n_windows", "chain"))
 
 
 def base_places(votes: DataFrame) -> DataFrame:

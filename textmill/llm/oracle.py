@@ -89,14 +89,14 @@ LEFT JOIN by_lang ON r.lang IS NOT DISTINCT FROM by_lang.lang LEFT JOIN every ON
 
 
 def _secret_scan() -> str:
-    def found(kinds) -> str:
+    def found(kinds, t) -> str:
         return " UNION ALL ".join(
-            f"""SELECT doc_id, '{kind}' AS kind, {n} AS ord, {least} AS least, regexp_extract_all(t, '{p}') AS f,
-                regexp_extract_all(t, '{p}', {group}) AS g, string_split_regex(t, '{p}') AS gaps FROM d"""
+            f"""SELECT doc_id, '{kind}' AS kind, {n} AS ord, {least} AS least, regexp_extract_all({t}, '{p}') AS f,
+                regexp_extract_all({t}, '{p}', {group}) AS g, string_split_regex({t}, '{p}') AS gaps FROM d"""
             for n, kind, p, group, least in ((n, k, p.replace("'", "''"), g, least) for n, k, p, g, least in kinds))
-    def placed(name: str, kinds) -> str:
+    def placed(name: str, kinds, t: str) -> str:
         return f"""
-{name}_f AS ({found(kinds)}),
+{name}_f AS ({found(kinds, t)}),
 {name} AS (SELECT doc_id, kind, ord, f[i] AS s, length(array_to_string(gaps[1:i], '')) + length(array_to_string(f[1:i - 1], '')) AS start
   FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM {name}_f) WHERE length(g[i]) >= least)"""
     base = [(n, *x) for n, x in enumerate(S.BASE)]
@@ -105,8 +105,11 @@ def _secret_scan() -> str:
     most = "CASE kind " + " ".join(f"WHEN '{k}' THEN {S.weight(w) - round(S.UNIT * bits * w)}" for k, _, w, bits in S.CLASSES) + " END"
     weight = "CASE c " + " ".join(f"WHEN {c} THEN {S.weight(c)}" for c in range(1, 1 + max(w for _, _, w, _ in S.CLASSES))) + " END"
     allow = S.ALLOW.replace("'", "''")
+    cut = "coalesce(text, '')"
+    for pattern, length in S.SAMPLES:
+        cut = f"regexp_replace({cut}, '{pattern}', '{' ' * length}', 'g')"
     return f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), {placed('base', base)}, {placed('cand', more)},
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {cut} AS cut FROM documents), {placed('base', base, 't')}, {placed('cand', more, 'cut')},
 wins AS (SELECT doc_id, kind, ord, start, s, unnest(range(1, length(s) - {size} + 2)) AS w FROM cand WHERE NOT regexp_matches(s, '{allow}')),
 chars AS (SELECT doc_id, kind, ord, start, w, unnest(string_split(substr(s, w, {size}), '')) AS ch FROM wins),
 counts AS (SELECT doc_id, kind, ord, start, w, ch, count(*) AS c FROM chars GROUP BY ALL),
@@ -144,8 +147,13 @@ places AS (SELECT doc_id, label, diag AS place FROM votes WHERE is_base AND len(
 steps AS (SELECT *, CASE WHEN diag - lag(diag) OVER w > {L.DRIFT} THEN 1 ELSE 0 END AS new FROM votes WHERE NOT is_base
           WINDOW w AS (PARTITION BY doc_id, tmpl ORDER BY diag)),
 clustered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, tmpl ORDER BY diag) AS cluster FROM steps),
-spans AS (SELECT doc_id, label, len(list_distinct(flatten(list(tposs)))) / n_windows AS cover
+parts AS (SELECT doc_id, tmpl, label, n_windows, cluster, list_distinct(flatten(list(tposs))) AS tposs, min(first) AS first, max(last) + {L.K} AS last
           FROM clustered GROUP BY doc_id, tmpl, label, n_windows, cluster),
+follow AS (SELECT *, CASE WHEN list_min(tposs) > lag(list_max(tposs)) OVER o AND first - lag(last) OVER o <= {L.INSERTED} THEN 0 ELSE 1 END AS apart
+           FROM parts WINDOW o AS (PARTITION BY doc_id, tmpl ORDER BY first, last, cluster)),
+chains AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, tmpl ORDER BY first, last, cluster) AS chain FROM follow),
+spans AS (SELECT doc_id, label, len(list_distinct(flatten(list(tposs)))) / n_windows AS cover
+          FROM chains GROUP BY doc_id, tmpl, label, n_windows, chain),
 good AS (SELECT * FROM spans WHERE cover >= {L.MIN_COVER}),
 b AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY doc_id),

@@ -2,12 +2,14 @@
 
 Base spans are the matches of three patterns (``BASE``). On top of them every
 maximal run of characters of one class (hexadecimal, base64) that is at least a
-window long is a candidate. A window slides over it; only the two characters
-that leave and enter change a count, and the sum of ``c * log2(c)`` over the
-counts is updated by those two changes. Windows whose Shannon entropy reaches
-the threshold of the class become a span (touching windows are joined).
-Candidates that fit the allow-list (identifiers, paths, prose in one case,
-alphabets, documentation samples) are suppressed, and so are spans that lie
+window long is a candidate. A window slides over it; the sum of ``c * log2(c)`` over
+the counts of its characters is updated by the two characters that leave and enter
+(the state holds the sum; the count of such a character is read from the window). Windows whose
+Shannon entropy reaches the threshold of the class become a span (touching windows are joined).
+Allow-list: stretches that are no secrets (UUIDs, alphabets, documentation samples;
+``SAMPLES``) are cut out of the text before candidates are taken, so a key beside one
+is still found; candidates that are prose in one case, numbers, identifiers or paths
+as a whole (``ALLOW``) are suppressed, and so are spans that lie
 inside a base span. Sums are integers in millionths of a bit.
 
 All of it is in-row array work on the DataFrame API: no shuffle at all.
@@ -35,9 +37,10 @@ BASE = [("assign", ASSIGN, 2, 6), ("access", r"AKIA[A-Z0-9]+", 0, 20), ("hex", r
 CLASSES = [("entropy_hex", r"[0-9A-Fa-f]", 24, 3.0), ("entropy_base64", r"[A-Za-z0-9+/=_-]", 24, 4.0)]
 ALLOW = (r"^([a-z]+|[A-Z]+|[A-Z]?[a-z]+)$"                                    # prose in one case
          r"|^[0-9]+$"
-         r"|^/?[A-Za-z]+([-_/=+][A-Za-z]+)*/?$"                                 # identifiers, paths
-         r"|[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-"    # UUIDs
-         r"|(?i)example|abcdefghij|0123456789|1234567890|xxxx|placeholder|your_|changeme")
+         r"|^/?[A-Za-z]+([-_/=+][A-Za-z]+)*/?$")                                # identifiers, paths
+#: stretches that are cut out, with their length (a pattern's matches all have one)
+SAMPLES = [(r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}", 36), (r"(?i)placeholder", 11),
+           (r"(?i)abcdefghij|0123456789|1234567890", 10), (r"(?i)changeme", 8), (r"(?i)example", 7), (r"(?i)your_", 5), (r"(?i)xxxx", 4)]
 UNIT = 1_000_000
 _BLOCK = 256
 
@@ -76,6 +79,14 @@ def matches(text: Column, pattern: str, group: int, least: int) -> Column:
     return F.when(F.rlike(text, F.lit(pattern)), hits).otherwise(F.array().cast(f"array<{item}>"))
 
 
+def without_samples(text: Column) -> Column:
+    """The text with every sample stretch blanked, all positions kept."""
+    out = text
+    for pattern, length in SAMPLES:
+        out = F.regexp_replace(out, pattern, " " * length)
+    return F.when(F.rlike(text, F.lit("|".join(p for p, _ in SAMPLES))), out).otherwise(text)
+
+
 def entropy_spans(cand: Column, window: int, bits: float) -> Column:
     """array<struct<start, stop>> of the joined windows of ``cand`` (struct start,
     stop, s) whose entropy is at least ``bits``."""
@@ -128,16 +139,17 @@ def scan_secrets(docs: DataFrame, text: str = "text", out: str = "spans") -> Dat
             x["start"].alias("start"), F.lit(order).alias("ord"), x["stop"].alias("stop"),
             F.lit(kind).alias("kind"), F.lit(base).alias("base")))
     df = df.withColumn("_sec_base", F.concat(*[shaped(F.col(f"_sec_{k}"), n, k, True) for n, (k, *_) in enumerate(BASE)]))
+    df = df.withColumn("_sec_cut", without_samples(t))
     added = []
     for n, (kind, chars, window, bits) in enumerate(CLASSES):
-        cands = F.filter(matches(t, f"{chars}{{{window},}}", 0, window), lambda c: ~F.rlike(c["s"], F.lit(ALLOW)))
+        cands = F.filter(matches(F.col("_sec_cut"), f"{chars}{{{window},}}", 0, window), lambda c: ~F.rlike(c["s"], F.lit(ALLOW)))
         spans = F.flatten(F.transform(cands, lambda c: entropy_spans(c, window, bits)))
         new = F.filter(shaped(spans, len(BASE) + n, kind, False), lambda x: ~F.exists(
             F.col("_sec_base"), lambda b: (b["start"] <= x["start"]) & (x["stop"] <= b["stop"])))
         df = df.withColumn(f"_sec_{kind}", new)
         added.append(F.col(f"_sec_{kind}"))
     df = df.withColumn(out, F.sort_array(F.concat(F.col("_sec_base"), *added)))
-    return df.drop("_sec_base", *[f"_sec_{k}" for k, *_ in [*BASE, *CLASSES]])
+    return df.drop("_sec_base", "_sec_cut", *[f"_sec_{k}" for k, *_ in [*BASE, *CLASSES]])
 
 
 def listed(spans: Column) -> Column:
