@@ -548,6 +548,23 @@ def q_stream_examples(spark, sf):
                      bool_str(F.col("mask")).alias("mask"), "nsp")
 
 
+@register("stream_examples_endless", with_examples() + f"""
+SELECT example_id, array_to_string(src, ' ') AS src, array_to_string(mlm, ' ') AS mlm,
+       {_BOOL_SQL.format(c='mask')} AS mask, nsp FROM examples""")
+def q_stream_examples_endless(spark, sf):
+    """K1 from the source that never ends: stopped after two batches, started again on
+    its checkpoint until every sentence has had its example."""
+    from textmill.streaming.streams import stream_examples
+    st = example_state(spark, sf)
+    out = scratch(spark, "stream-endless")
+    for batches in (2, 4):
+        stream_examples(spark, st["index"], st["token_num"], out, os.path.basename(out),
+                        rows_per_batch=max(1, -(-st["n"] // 4)), max_batches=batches)
+    ex = spark.read.parquet(out).where(F.col("example_id") < st["n"])  # a later batch may have begun
+    return ex.select("example_id", ids_str("src").alias("src"), ids_str("mlm").alias("mlm"),
+                     bool_str(F.col("mask")).alias("mask"), "nsp")
+
+
 @register("stream_encode", O.with_(O.DOC_WORDS, O.DOC_SENTS, O.sent_words(), O.demo_vocab(), O.encode_words(),
                                    O.encode_sents()) + """
 SELECT paragraph_id, idx, array_to_string(ids, ' ') AS ids, CAST(len(ids) AS BIGINT) AS n_tokens FROM enc_sents""")
