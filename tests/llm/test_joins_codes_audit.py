@@ -222,3 +222,30 @@ def test_capitals_are_judged_by_the_groups_own_spread(spark):
 def test_new_operators_on_empty_tables(spark, empty):  # noqa: F811
     assert N.op12_ngram_jaccard_join(empty).collect() == [] and D.op13_source_divergence_audit(empty).collect() == []
     assert math.isfinite(V._limit(16)) and F is not None and SCHEMA
+
+
+def test_parities_never_hide_a_link():
+    rng = np.random.default_rng(5)
+    n, marks, sets = [], [], []
+    for size in (1, 5, 40, 64, 65, 300, 1000):
+        base = rng.integers(0, 2 ** 63, size, dtype=np.uint64)
+        for share in (0, 0.02, 0.1, 0.3):
+            other = base.copy()
+            k = int(size * share)
+            other[:k] = rng.integers(0, 2 ** 63, k, dtype=np.uint64)
+            for one in (np.unique(other), np.unique(other[: max(1, int(0.85 * size))])):
+                sets.append(one)
+                n.append(len(one))
+                marks.append(N.parities(one))
+    marks[3] = None                                        # a row without a bitmap passes
+    n = np.array(n)
+    i, j = np.triu_indices(len(sets), 1)
+    may = N.marked_pairs(marks, n, i, j, 80)
+    hidden = 0
+    for a, b, ok in zip(i.tolist(), j.tolist(), may.tolist()):
+        common = len(np.intersect1d(sets[a], sets[b]))
+        assert ok or not N.linked(common, n[a], n[b], 80)
+        if marks[a] is not None and marks[b] is not None:
+            assert ok == N.may_link(marks[a], marks[b], int(n[a]), int(n[b]), 80)
+        hidden += not ok
+    assert hidden > len(i) // 2

@@ -33,7 +33,14 @@ Only components are asked for, so pairs that cannot change them are not made:
 So a cluster of near copies costs its size, not its square, and no link between
 different texts is lost: a pair left out is already connected.
 
-Verification reads the sets of candidate pairs only. A set travels
+Parities. Every set has a bitmap of 1 to 2 bits per shingle: bit ``i`` tells whether an
+odd number of its shingles hash to ``i``. Two bitmaps differ in no more bits than the sets
+do in shingles, so they bound the overlap from above at a fortieth of the bytes. Set pairs
+are filtered by them before their sets are read, and group pairs where their lists meet
+(groups of one set; bitmaps of half the length). A longer bitmap is folded to the shorter
+one's length.
+
+Verification reads the sets of the pairs that are left. A set travels
 once per pair as the partner and once per ``CHUNK_BYTES`` as the leader.
 
 Defined cases: a null text has no words; a null ``doc_id`` is a ``component_id``
@@ -64,6 +71,7 @@ SHORT_LIST = 256            # lists up to this length drop groups that fit no ot
 BLOCK = 2_048               # groups of a long list compared with as many others
 CHUNK_BYTES = 8 << 20       # sets verified at once
 LEADER_ROUNDS = 8           # rounds with one leader per group, at most; any number is right
+MARK_BYTES = 4_096          # longer bitmaps are not sent to the lists, only to the pairs
 _TEXT = 4 << 20             # characters hashed at once
 _PAIRS = 2_000_000          # group pairs looked at at once
 _SEED = 11
@@ -126,6 +134,50 @@ def linked(common, n_a, n_b, percent: int):
     return (100 + percent) * common >= percent * (n_a + n_b)
 
 
+def parities(h: np.ndarray) -> bytes:
+    """Bitmap of a set: the parity of the shingles per bit."""
+    bits = max(64, 1 << max(len(h) - 1, 0).bit_length())
+    at = (h * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)) & np.uint64(bits - 1)
+    return np.packbits((np.bincount(at.astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(marks: np.ndarray, width: int) -> np.ndarray:
+    """Bitmaps (last axis: 64-bit words) folded to ``width`` words."""
+    while marks.shape[-1] > width:
+        half = marks.shape[-1] // 2
+        marks = marks[..., :half] ^ marks[..., half:]
+    return marks
+
+
+def may_link(x: bytes, y: bytes, n_x: int, n_y: int, percent: int) -> bool:
+    """False only if the bitmaps prove that two sets do not link."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    width = min(len(x), len(y))
+    differ = int(np.bitwise_count(_folded(x, width) ^ _folded(y, width)).sum())
+    return linked((n_x + n_y - differ) // 2, n_x, n_y, percent)
+
+
+def marked_pairs(marks, n, i, j, percent: int) -> np.ndarray:
+    """``may_link`` for the index pairs (i, j); ``marks`` holds a bitmap or None per row."""
+    ok = np.ones(len(i), dtype=bool)
+    words = np.array([0 if m is None else len(m) // 8 for m in marks], dtype=np.int64)
+    width = np.minimum(words[i], words[j])
+    for w in np.unique(width[width > 0]).tolist():
+        at = np.nonzero(width == w)[0]
+        rows, place = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
+        table = np.empty((len(rows), w), dtype=np.uint64)
+        for k, r in enumerate(rows.tolist()):
+            table[k] = _folded(np.frombuffer(marks[r], np.uint64), w)
+        a, b = place[:len(at)], place[len(at):]
+        step = max(1, (4 << 20) // (8 * w))
+        for s in range(0, len(at), step):
+            part = at[s:s + step]
+            differ = np.bitwise_count(table[a[s:s + step]] ^ table[b[s:s + step]]).sum(axis=1, dtype=np.int64)
+            n_i, n_j = n[i[part]], n[j[part]]
+            ok[part] = linked((n_i + n_j - differ) // 2, n_i, n_j, percent)
+    return ok
+
+
 def list_pairs(token, n, pos, low, high, percent: int, side=None):
     """Index pairs of rows (sorted by ``token``) that share a token, pass the size
     and the positional filter and are not in one component. ``side`` tells the two
@@ -169,7 +221,7 @@ def shingle_counts(texts: DataFrame, shingle: int, buckets: int) -> np.ndarray:
 
 
 def set_rows(docs: DataFrame, counts, shingle: int, percent: int) -> DataFrame:
-    """(doc_id, tk, n, dig, gid, prefix) per document; ``counts`` is a broadcast."""
+    """(doc_id, tk, n, dig, gid, prefix, mark, short) per document; ``counts`` is a broadcast."""
     def run(batches):
         freq = counts.value
         for b in batches:
@@ -179,20 +231,23 @@ def set_rows(docs: DataFrame, counts, shingle: int, percent: int) -> DataFrame:
                 order = np.lexsort((h, freq[_bucket(h, len(freq))], row))
                 ranked = h[order]
                 n = np.diff(cut)
-                dig, gid, prefix = [], [], []
+                dig, gid, prefix, mark, short = [], [], [], [], []
                 for a, e in zip(cut[:-1].tolist(), cut[1:].tolist()):
                     own = ranked[a:a + prefix_length(e - a, percent)].tobytes() if e > a else b""
                     dig.append(xxhash.xxh3_128_digest(h[a:e].tobytes()))
                     gid.append(xxhash.xxh3_64_intdigest(own, e - a))
                     prefix.append(own)
+                    mark.append(parities(h[a:e]))
+                    short.append(_folded(np.frombuffer(mark[-1], np.uint64), max(1, len(mark[-1]) // 16)).tobytes())
                 here = b.slice(first, len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [here.column(0), here.column(1), pa.array(n, pa.int64()), pa.array(dig, pa.binary()),
-                     pa.array(np.array(gid, dtype=np.uint64).view(np.int64)), pa.array(prefix, pa.binary())],
-                    ["doc_id", "tk", "n", "dig", "gid", "prefix"])
+                     pa.array(np.array(gid, dtype=np.uint64).view(np.int64)), pa.array(prefix, pa.binary()), pa.array(mark, pa.binary()),
+                     pa.array(short, pa.binary())],
+                    ["doc_id", "tk", "n", "dig", "gid", "prefix", "mark", "short"])
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", text_key(F.col("text")).alias("tk"), "text").mapInArrow(
-        run, f"doc_id {kind}, tk long, n long, dig binary, gid long, prefix binary")
+        run, f"doc_id {kind}, tk long, n long, dig binary, gid long, prefix binary, mark binary, short binary")
 
 
 _LISTS = "token long, gid long, n int, pos int, h long, leader long"
@@ -316,16 +371,22 @@ def next_leaders(lists: DataFrame, labels: DataFrame, seed: int, percent: int) -
     return fit.groupBy("gid").agg(F.min(pick).alias("m")).select("gid", F.col("m.leader").alias("leader"))
 
 
-def open_pairs(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def open_pairs(lists: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(g, h): group pairs of all lists that pass the filters and do not lie in one
-    component. ``labels`` (gid, low, high): least and largest component of a group."""
+    component. ``labels`` (gid, low, high): least and largest component of a group.
+    Groups of one of the ``sets`` take its bitmap along."""
     named = lists.join(broadcast_if_small(labels, 24), "gid").repartition("token")
     mixed = (named.groupBy("token").agg(F.min("low").alias("lo"), F.max("high").alias("hi"), F.count(F.lit(1)).alias("m"))
              .where(F.col("lo") != F.col("hi")).select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
-    named = named.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int"))
+    named = written(named.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int")), "jaccard-open")
+    own = written(named.select("gid").distinct(), "jaccard-open-groups")
+    fits = F.octet_length("short") <= MARK_BYTES
+    marks = written(sets.select("gid", F.when(fits, F.col("short")).alias("mark")).join(broadcast_if_small(own, 16), "gid", "left_semi").groupBy("gid")
+                    .agg(F.count(F.lit(1)).alias("m"), F.first("mark").alias("mark")).where("m = 1").select("gid", "mark"), "jaccard-marks")
+    named = named.join(broadcast_if_small(marks, F.octet_length("mark") + 32), "gid", "left")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = named.select("*", other.alias("other")).select(
-        "token", "gid", "n", "pos", "low", "high", "block", F.least("block", "other").alias("b1"),
+        "token", "gid", "n", "pos", "low", "high", "mark", "block", F.least("block", "other").alias("b1"),
         F.greatest("block", "other").alias("b2"))
 
     def run(batches):
@@ -342,7 +403,7 @@ def open_pairs(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
             yield from _filtered(kept, percent)
 
     found = (dealt.repartition("token", "b1", "b2").sortWithinPartitions("token", "b1", "b2")
-             .select("token", "b1", "b2", "block", "gid", "n", "pos", "low", "high")
+             .select("token", "b1", "b2", "block", "gid", "n", "pos", "low", "high", "mark")
              .mapInArrow(run, "g long, h long, n_g long, n_h long, p_g long, p_h long"))
     # the common tokens that passed are the first ones, so this bounds the overlap
     bound = F.col("common") + F.least(F.col("n_g") - 1 - F.col("p_g"), F.col("n_h") - 1 - F.col("p_h"))
@@ -372,7 +433,10 @@ def _filtered(table, percent):
     number = np.cumsum(new)
     # within one block all pairs, of two blocks those across
     side = np.where(b1 == b2, np.arange(len(token)), block)
+    marks = table.column("mark").to_pylist()
     for i, j in list_pairs(number, n, pos, low, high, percent, side):
+        may = marked_pairs(marks, n, i, j, percent)
+        i, j = i[may], j[may]
         swap = gid[i] > gid[j]
         i, j = np.where(swap, j, i), np.where(swap, i, j)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (gid[i], gid[j], n[i], n[j], pos[i], pos[j])],
@@ -399,43 +463,58 @@ def whole_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, shingle: int)
     return written(source.select("text").mapInArrow(run, "dig binary, n long, h binary").dropDuplicates(["dig"]), "jaccard-sets")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(u, v): the pairs (a, b) of sets that link. The set of ``a`` is sent once per
-    chunk of its partners, so that a leader of very many is spread over tasks."""
-    pairs = written(pairs.distinct(), "jaccard-pairs")
-    sets = whole_sets(docs, sets, pairs, shingle)
-    of = sets.select(F.col("dig").alias("a"), F.col("n").alias("n_a"))
+def compared(pairs: DataFrame, sets: DataFrame, test) -> DataFrame:
+    """The pairs (a, b) for which ``test(h_a, h_b, n_a, n_b)`` holds; ``sets`` gives
+    (dig, n, h, bytes), bytes about the length of h. What belongs to ``a`` is sent once
+    per chunk of its partners, so that a leader of very many is spread over tasks."""
+    of = sets.select(F.col("dig").alias("a"), F.col("n").alias("n_a"), F.col("bytes").alias("bytes_a"))
     # partners have about the size of ``a``
-    chunks = F.ceil(F.col("c") * F.col("n_a") * 8 * 100 / percent / CHUNK_BYTES).cast("int")
+    chunks = F.ceil(F.col("c") * F.col("bytes_a") * 5 / 4 / CHUNK_BYTES).cast("int")
     degree = written(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("c")).join(of, "a")
-                     .select("a", "c", "n_a", F.greatest(chunks, F.lit(1)).alias("chunks")), "jaccard-degrees")
-    total = degree.agg(F.sum(F.col("c") * F.col("n_a") * 8)).first()[0] or 0
+                     .select("a", "c", "n_a", "bytes_a", F.greatest(chunks, F.lit(1)).alias("chunks")), "jaccard-degrees")
+    total = degree.agg(F.sum(F.col("c") * F.col("bytes_a"))).first()[0] or 0
     buckets = int(max(8, total // CHUNK_BYTES))
     deal = F.pmod(F.xxhash64("a", "chunk"), F.lit(buckets)).cast("int").alias("deal")
-    left = (degree.select("a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    left = (degree.select("a", "n_a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
             .join(sets.select(F.col("dig").alias("a"), F.col("h").alias("h_a")), "a")
-            .select(deal, F.col("a").alias("leader"), "h_a"))
+            .select(deal, F.col("a").alias("leader"), "n_a", "h_a"))
     right = (pairs.join(degree.select("a", "chunks"), "a")
              .withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int"))
-             .join(sets.select(F.col("dig").alias("b"), F.col("h").alias("h_b")), "b").select(deal, "a", "b", "h_b"))
+             .join(sets.select(F.col("dig").alias("b"), F.col("n").alias("n_b"), F.col("h").alias("h_b")), "b")
+             .select(deal, "a", "b", "n_b", "h_b"))
 
     def run(left, right):
-        own = {a.as_py(): h for a, h in zip(left.column("leader"), left.column("h_a"))}
+        own = {a.as_py(): (n.as_py(), h) for a, n, h in zip(left.column("leader"), left.column("n_a"), left.column("h_a"))}
         us, vs = [], []
-        for a, b, h in zip(right.column("a"), right.column("b"), right.column("h_b")):
-            x = np.frombuffer(own[a.as_py()].as_py(), dtype=np.uint64)
-            y = np.frombuffer(h.as_py(), dtype=np.uint64)
-            small, large = (x, y) if len(x) <= len(y) else (y, x)
-            at = np.searchsorted(large, small)
-            at[at == len(large)] = 0
-            if linked(int((large[at] == small).sum()) if len(large) else 0, len(x), len(y), percent):
+        for a, b, n, h in zip(right.column("a"), right.column("b"), right.column("n_b"), right.column("h_b")):
+            n_a, h_a = own[a.as_py()]
+            if test(h_a.as_py(), h.as_py(), n_a, n.as_py()):
                 us.append(a.as_py())
                 vs.append(b.as_py())
-        return pa.table({"u": pa.array(us, pa.binary()), "v": pa.array(vs, pa.binary())})
-    links = written(left.groupBy("deal").cogroup(right.groupBy("deal")).applyInArrow(run, "u binary, v binary"), "jaccard-links")
-    for table in (pairs, sets, degree):
+        return pa.table({"a": pa.array(us, pa.binary()), "b": pa.array(vs, pa.binary())})
+    out = written(left.groupBy("deal").cogroup(right.groupBy("deal")).applyInArrow(run, "a binary, b binary"), "jaccard-compared")
+    deleted(degree)
+    return out
+
+
+def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(u, v): the pairs (a, b) of sets that link: those whose bitmaps allow it are
+    verified on the whole sets."""
+    def link(x, y, n_x, n_y):
+        x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+        small, large = (x, y) if n_x <= n_y else (y, x)
+        at = np.searchsorted(large, small)
+        at[at == len(large)] = 0
+        return linked(int((large[at] == small).sum()) if len(large) else 0, n_x, n_y, percent)
+
+    pairs = written(pairs.distinct(), "jaccard-pairs")
+    marks = sets.select("dig", "n", F.col("mark").alias("h"), F.greatest(F.lit(8), F.col("n") / 4).alias("bytes"))
+    left = compared(pairs, marks, lambda x, y, n_x, n_y: may_link(x, y, n_x, n_y, percent))
+    whole = whole_sets(docs, sets, left, shingle)
+    links = compared(left, whole.withColumn("bytes", F.col("n") * 8), link)
+    for table in (pairs, left, whole):
         deleted(table)
-    return links
+    return links.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -447,7 +526,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     full = rows.where(F.col("n") > 0)
     sets = written(full.groupBy("dig").agg(F.first("gid").alias("gid"), F.min(F.struct("doc_id", "tk")).alias("rep"),
-                                           F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "jaccard-distinct")
+                                           F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"),
+                                           F.first("n").alias("n"), F.first("mark").alias("mark"), F.first("short").alias("short")), "jaccard-distinct")
     met = written(met_lists(full, counts, percent), "jaccard-lists")
     lists = met.where(F.col("leader").isNull()).select("token", "gid", "n", "pos")
     heads = written(sets.groupBy("gid").agg(F.min("dig").alias("a"), F.count(F.lit(1)).alias("members")), "jaccard-groups")
@@ -486,7 +566,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     # all that still lies apart
     labels = written(named.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high")), "jaccard-group-labels")
-    across = open_pairs(lists, labels, percent)
+    across = open_pairs(lists, labels, sets, percent)
     inside = labels.where(F.col("low") != F.col("high")).select(F.col("gid").alias("g"), F.col("gid").alias("h"))
     pairs = across.unionByName(inside)
     x = named.select(F.col("gid").alias("g"), F.col("dig").alias("a"), F.col("label").alias("la"))
