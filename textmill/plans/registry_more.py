@@ -472,8 +472,7 @@ def _train_val(spark, sf):
 @register("pretrain_vectors", None)
 def q_pretrain_vectors(spark, sf):
     st = example_state(spark, sf)
-    v = LN.pretrain_vectors(st["enc"], dim=16)
-    return v.select("token", F.size("vector").alias("dim"))
+    return LN.pretrain_vectors(st["enc"], dim=16)
 
 
 def _fit_and_score(spark, sf, use_pretrained: bool):

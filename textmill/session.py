@@ -18,8 +18,8 @@ _CONF_KEY = "spark.checkpoint.dir"
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "textmill", extra: dict | None = None) -> SparkSession:
-    """Local session for tests/bench. Sets a scratch checkpoint folder only when
-    none is configured (on a cluster the setting comes from the cluster)."""
+    """Session for tests/bench. Sets a scratch checkpoint folder only for a local
+    master and when none is configured; a cluster must name its shared folder."""
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
@@ -37,7 +37,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark, local_fallback=True)
+    ensure_checkpoint_dir(spark, local_fallback=is_single_jvm(spark))
     return spark
 
 
