@@ -138,3 +138,36 @@ def test_vocabulary_with_repeated_or_no_tokens(spark):
     assert E.A.compiled(twice) is None
     assert E.bpe_encode_words(df, twice).first()["ids"] == [7, 1, 10]
     assert E.bpe_encode_words(df, twice.limit(0)).first()["ids"] == [1]
+
+
+def test_sentences_are_encoded_where_they_lie(spark):
+    """No shuffle of words, ids or pieces; rows that share a key are one sentence, as when joined."""
+    vocab = _vocab(spark, TOKENS)
+    rows = [(1, 0, "ab abc"), (1, 1, ""), (2, 0, None), (3, 0, "xx ca a"), (3, 1, "a" * 30 + " éé")]
+    sents = spark.createDataFrame(rows, "paragraph_id long, idx long, sentence string")
+    enc = E.encode_sentences(sents, vocab)
+    whole = enc.transform(lambda d: E.pieces_of(d, vocab, ["paragraph_id", "idx"])), E.decode(enc, vocab, ["paragraph_id", "idx"]), \
+        E.roundtrip_check(sents, vocab)
+    for df in (enc, *whole):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    twice = sents.unionByName(sents.where("paragraph_id = 3")).unionByName(sents.where("idx = 1"))
+
+    def both(df):
+        old = E.A.MAX_TOKENS
+        got = []
+        for tokens in (200_000, 0):   # in place, joined
+            try:
+                E.A.MAX_TOKENS = tokens
+                e = E.encode_sentences(df, vocab)
+                outs = e, E.pieces_of(e.where("size(ids) > 0"), vocab, ["paragraph_id", "idx"]), E.decode(e, vocab, ["paragraph_id", "idx"]), E.roundtrip_check(df, vocab)
+                got.append([sorted(map(str, o.collect())) for o in outs])
+            finally:
+                E.A.MAX_TOKENS = old
+        return got
+
+    for df in (sents, twice, sents.limit(0)):
+        here, joined = both(df)
+        assert here == joined
+    odd = spark.createDataFrame([(1, [5, -1, 99, 6]), (2, []), (3, None)], "k int, ids array<int>")
+    assert sorted(map(tuple, E.pieces_of(odd, vocab, ["k"]).collect())) == [
+        (1, [5, -1, 99, 6], ["abc", None, None, "ab"]), (2, [], [])]
