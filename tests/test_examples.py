@@ -139,3 +139,48 @@ def test_audit_against_the_source_finds_planted_faults(spark):
     assert tuple(found[c] for c in names) == counts(wrong.collect())
     assert found["n_positive_not_next"] > 0 and found["n_negative_always_next"] > 0
     assert tuple(X.source_audit(pairs.limit(0), index).first()[c] for c in names) == (0, 0, 0, 0, 0)
+
+
+def test_masking_equals_the_plain_rule(spark):
+    """Also for a row so long that its replacement ids pass 32 bits, and for both kinds of draws."""
+    import hashlib
+    rows = [(i, i % 2 == 0, [5 + (i * j) % 40 for j in range(i % 23)], [2, 9, 3][: i % 4]) for i in range(60)]
+    rows.append((60, True, [7] * 150_000, [8]))
+    pairs = spark.createDataFrame(rows, "example_id long, nsp boolean, a array<int>, b array<int>")
+
+    def value(*key):
+        return int(hashlib.md5("|".join(map(str, key)).encode()).hexdigest()[:13], 16)
+
+    got = {r["example_id"]: r for r in X.mask_tokens(pairs, 50, seed=4).collect()}
+    for i, nsp, a, b in rows:
+        src = [2, *a, 3, *b, 3]
+        free = [p for p, x in enumerate(src) if x not in (2, 3)]
+        if not free:
+            assert i not in got
+            continue
+        k = int(len(src) * 0.15)
+        k, m, s = (1, 1, 0) if k == 0 or k > len(free) else (k, int(k * 0.8), int(k * 0.1))
+        chosen = sorted(free, key=lambda p: (value(4, "mlm", i, p), p))[:k]
+        want = list(src)
+        for j, p in enumerate(chosen):
+            if j < m:
+                want[p] = 4
+            elif j >= m + s:
+                v = (value(4, "rtok", i) + (j - m - s) * 1000003) % 45
+                want[p] = 5 + (v + (v + 5 == src[p])) % 45
+        r = got[i]
+        assert (r["nsp"], r["src"], r["mlm"]) == (nsp, src, want)
+        assert [p for p, on in enumerate(r["mask"]) if on] == sorted(chosen)
+    hashed = X.mask_tokens(pairs.where("example_id < 60"), 50, method="xxhash").collect()
+    assert {r["example_id"]: sum(r["mask"]) for r in hashed} == {i: sum(got[i]["mask"]) for i in got if i < 60}
+
+
+def test_stages_are_made_when_asked_for(spark, tmp_path):
+    from textmill.plans import registry, registry_more
+    sf = str(tmp_path)
+    spark.createDataFrame([(i, f"one line {i}\nand the next\nthe end") for i in range(5)], "doc_id long, text string").write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, quality int").write.parquet(f"{sf}/labels.parquet")
+    registry_more.classification(spark, sf).count()
+    st = registry.example_state(spark, sf)
+    assert "enc" in st and "index" not in st and "examples" not in st
+    assert "ids" not in st["index"]["sent"].columns and "pairs" not in st   # keys only
