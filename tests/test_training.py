@@ -95,3 +95,10 @@ def test_width_is_bounded(spark, tmp_path):
     data, _ = _data(spark, 2)
     with pytest.raises(ValueError):
         TR.train(data, TR.MAX_WIDTH + 1, 1, str(tmp_path / "wide"))
+
+
+def test_token_features_have_an_entry_per_distinct_id(spark):
+    from textmill.operators import training as TR
+    docs = spark.createDataFrame([(1, [2, 7, 7, 3, 7], True), (2, [], False), (3, None, True)], "doc_id long, tokens array<int>, label boolean")
+    got = {r["doc_id"]: (r["idx"], r["val"], r["y"]) for r in TR.token_features(docs).collect()}
+    assert got == {1: ([2, 3, 7], [0.2, 0.2, 0.6], 1.0), 2: ([], [], 0.0), 3: (None, None, 1.0)}

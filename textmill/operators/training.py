@@ -19,11 +19,15 @@ rows without features or label are left out.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textmill.operators.batching import length_buckets, shuffle_batches
 from textmill.session import cut_lineage
@@ -34,10 +38,29 @@ EPSILON = 1e-8
 
 
 def token_features(docs: DataFrame, ids_col: str = "tokens") -> DataFrame:
-    """``(doc_id, idx, val, y)``: the share of each token id in the document."""
-    share = F.lit(1.0) / F.greatest(F.size(ids_col), F.lit(1))
-    return docs.select("doc_id", F.col(ids_col).cast("array<int>").alias("idx"),
-                       F.transform(ids_col, lambda _: share).alias("val"), F.col("label").cast("double").alias("y"))
+    """``(doc_id, idx, val, y)``: the share of each token id in the document, an entry per
+    distinct id: an epoch sorts and reads these, not the document's tokens."""
+    shares = T.StructType([T.StructField("idx", T.ArrayType(T.IntegerType())), T.StructField("val", T.ArrayType(T.DoubleType()))])
+
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            sizes = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            flat = batch.flatten().to_numpy(zero_copy_only=False)
+            idx, val, begin = [np.zeros(0, dtype=np.int64)], [np.zeros(0)], 0
+            ends = [0]
+            for size in sizes.tolist():
+                ids, n = np.unique(flat[begin:begin + size], return_counts=True)
+                idx.append(ids)
+                val.append(n / max(size, 1))
+                ends.append(ends[-1] + len(ids))
+                begin += size
+            ends = pa.array(ends, pa.int32())
+            yield pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, pa.array(np.concatenate(idx).astype(np.int32))),
+                                              pa.ListArray.from_arrays(ends, pa.array(np.concatenate(val)))], ["idx", "val"])
+
+    ids = F.col(ids_col).cast("array<int>")
+    found = docs.select("doc_id", F.arrow_udf(count, shares)(ids).alias("z"), ids.isNotNull().alias("known"), F.col("label").cast("double").alias("y"))
+    return found.select("doc_id", F.when(F.col("known"), F.col("z.idx")).alias("idx"), F.when(F.col("known"), F.col("z.val")).alias("val"), "y")
 
 
 def vector_features(docs: DataFrame, vector_col: str) -> DataFrame:
