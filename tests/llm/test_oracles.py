@@ -21,6 +21,8 @@ def folder(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("tables"))
     rows = [(i, t, None if i % 5 == 0 else "en", None if i % 7 == 0 else f"s{i % 2}", 0) for i, t in enumerate(texts)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{path}/documents.parquet")
+    vectors = [(i, None if i % 50 == 7 else [rnd.uniform(-1, 1) for _ in range(8)], None if i % 9 == 0 else i % 4) for i in range(400)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(f"{path}/embeddings.parquet")
     return path
 
 
@@ -28,7 +30,8 @@ def folder(spark, tmp_path_factory):
 def test_sql_agrees(spark, folder, name):
     df = registry.queries()[name](spark, folder)
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet/*.parquet')")
     res = con.execute(ORACLES[name])
     cols = [c[0] for c in res.description]
     assert sorted(cols) == sorted(df.columns)
