@@ -237,6 +237,22 @@ def test_substring_repeated_rows(spark):
     assert sorted((r.doc_id or 0, r.n_removed) for r in S.op4_substring_dedup(df).collect()) == [(0, 0), (1, 0), (1, 0), (2, 20)]
 
 
+def test_substring_short_repeats_go_no_further(spark, monkeypatch):
+    kept, real = {}, S.written
+
+    def keep(df, name):
+        out = real(df, name)
+        kept.setdefault(name, out)
+        return out
+    monkeypatch.setattr(S, "written", keep)
+    shared = [f"s{i}" for i in range(11)]           # a block and a word: no window of 20 words repeats
+    docs = [(d, " ".join([f"a{d}x{i}" for i in range(20 + 3 * d)] + shared + [f"b{d}x{i}" for i in range(20)])) for d in (1, 2)]
+    long = " ".join([f"l{i}" for i in range(25)])
+    df = spark.createDataFrame([*docs, (3, "x y z " + long), (4, "u v " + long)], "doc_id long, text string")
+    assert sorted(tuple(r)[:3] for r in S.op4_substring_dedup(df).collect()) == [(1, 54, 0), (2, 57, 0), (3, 28, 0), (4, 27, 25)]
+    assert sorted(r.doc_id for r in kept["repeat-hits"].where("octet_length(marks) > 0").collect()) == [3, 4]
+
+
 def test_packing(docs):
     import public_tokenizers
     from tokenizers import Tokenizer

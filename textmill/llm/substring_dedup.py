@@ -12,9 +12,13 @@ a map task takes a few MB of text at a time, keeps one probe per distinct hash,
 and sends, per hash bucket, 32 hash bits, an index bit and a position gap for
 each (about five bytes a word). A hot passage is thereby one probe per map task
 and bucket, however many documents share it. A bucket task answers with the
-probes whose hash is an indexed block and stands elsewhere, too.
+probes whose hash is an indexed block and stands elsewhere, too, and tells which
+of the indexed blocks among them were only probed, not met by another block.
 
-Extension. Only windows around hits can repeat. For these the hash of all ``size``
+Extension. If a window repeats, every block of its own document inside it is probed
+from the other occurrence, and some block of that one is met in it. Only windows
+with both can repeat, so a repeat that is little longer than a block, of which there are
+more and more as the corpus grows, goes no further. For the others the hash of all ``size``
 words (64 bits, besides the bucket's own bits) goes through the same
 exchange once more, the earliest occurrence per map task first, and all but the
 earliest overall come back. Runs of them are the maximal exact repeats, whose
@@ -46,6 +50,7 @@ PACK_WORDS = 400_000      # words that a map task handles at once
 BUCKET_BYTES = 4 << 20    # bytes of text per hash bucket
 _PACK = "bucket int, pack long, docs binary, counts binary, pos binary, flag binary, h binary, n_docs int"
 _NO_DOC = -(1 << 63)
+_PROBED = 1 << 30         # added to the position of a block that is met by no other block; no text has that many words
 
 
 # ------------------------------------------------------------- task helpers
@@ -259,23 +264,30 @@ def _answer_probes(key, table):
     hs = h[order]
     first = np.nonzero(np.append(True, hs[1:] != hs[:-1]))[0]
     size = np.diff(np.append(first, len(hs)))
-    good = np.logical_or.reduceat(flag[order], first) & (size > 1)
-    hit = np.zeros(len(h), dtype=bool)
-    hit[order] = np.repeat(good, size)
-    return _replies(rows, hit, 4)
+    blocks = np.repeat(np.add.reduceat(flag[order].astype(np.int64), first), size)
+    hit, probed = np.zeros(len(h), dtype=bool), np.zeros(len(h), dtype=bool)
+    hit[order] = (blocks > 0) & np.repeat(size > 1, size)
+    probed[order] = flag[order] & (blocks == 1)
+    return _replies(rows, hit, 4, probed)
 
 
-def _replies(rows, hit, width):
+def _replies(rows, hit, width, probed=None):
+    """The hits per pack and bucket; ``probed`` ones have ``_PROBED`` added to their position."""
     out, at = [], 0
     for r in rows:
         n = len(r["h"]) // width
-        mine = hit[at:at + n]
+        mine, only = hit[at:at + n], None if probed is None else probed[at:at + n]
         at += n
         if not mine.any():
             continue
         doc, pos = _decode(r["counts"], r["pos"])
-        used = _distinct(doc[mine])
-        counts, gaps = _encode(doc[mine], pos[mine])
+        doc, pos = doc[mine], pos[mine]
+        if only is not None:
+            pos = pos + _PROBED * only[mine]
+            order = np.lexsort((pos, doc))
+            doc, pos = doc[order], pos[order]
+        used = _distinct(doc)
+        counts, gaps = _encode(doc, pos)
         if width == 4:
             docs = np.frombuffer(r["docs"], "<i4")[used].tobytes()
         else:
@@ -311,26 +323,49 @@ def _positions(marks: bytes) -> np.ndarray:
     return np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
 
 
-def _collect_pack(key, table):
-    """Round 1, back at the pack: hits of all buckets per document."""
-    rows = table.to_pylist()
-    own = next(r for r in rows if r["bucket"] < 0)
-    tables = np.frombuffer(own["docs"][4 * own["n_docs"]:], "<i8").reshape(2, -1)
-    docs, poss = [], []
-    for r in rows:
-        if r["counts"]:
-            doc, pos = _decode(r["counts"], r["pos"])
-            docs.append(np.frombuffer(r["docs"][:4 * r["n_docs"]], "<i4")[doc].astype(np.int64))
-            poss.append(pos)
-    if not docs:
-        return _marks(tables[0], tables[1], np.zeros(0, dtype=int), np.zeros(0, dtype=int))
-    return _marks(tables[0], tables[1], np.concatenate(docs), np.concatenate(poss))
+def _open_windows(hits: np.ndarray, size: int) -> np.ndarray:
+    """Starts of the windows that can repeat, from the hits of a document: one is met by
+    another block within, and all own blocks within are hits. Past the end of the text
+    no window is looked for, so a start may lie there."""
+    block = size // 2
+    met = hits[hits < _PROBED]
+    if not len(met):
+        return met
+    own = np.zeros(int((hits & (_PROBED - 1)).max()) // block + 3, dtype=np.int64)
+    own[(hits & (_PROBED - 1))[hits % _PROBED % block == 0] // block] = 1
+    near = np.zeros(int(met.max()) + 2, dtype=np.int64)   # windows [hit - (size - block), hit]
+    np.add.at(near, np.maximum(met - (size - block), 0), 1)
+    np.add.at(near, met + 1, -1)
+    starts = np.nonzero(np.cumsum(near)[:-1] > 0)[0]
+    first, last = -(-starts // block), (starts + size - block) // block
+    found = np.concatenate([[0], np.cumsum(own)])
+    last = np.minimum(last, len(own) - 1)
+    return starts[found[last + 1] - found[first] == last + 1 - first]
+
+
+def _collect_pack(size: int):
+    """Round 1, back at the pack: windows that can repeat per document, from the hits of
+    all buckets. Hashes found twice in the pack count as met by another block."""
+    def run(key, table):
+        rows = table.to_pylist()
+        own = next(r for r in rows if r["bucket"] < 0)
+        tables = np.frombuffer(own["docs"][4 * own["n_docs"]:], "<i8").reshape(2, -1)
+        docs, poss = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for r in rows:
+            if r["counts"]:
+                doc, pos = _decode(r["counts"], r["pos"])
+                docs.append(np.frombuffer(r["docs"][:4 * r["n_docs"]], "<i4")[doc].astype(np.int64))
+                poss.append(pos)
+        doc, pos = np.concatenate(docs), np.concatenate(poss)
+        order = np.argsort(doc, kind="stable")
+        doc, pos = doc[order], pos[order]
+        starts = [_open_windows(p, size) for p in np.split(pos, np.nonzero(np.diff(doc))[0] + 1)]
+        return _marks(tables[0], tables[1], np.repeat(_distinct(doc), [len(x) for x in starts][:len(doc)]), np.concatenate(starts))
+    return run
 
 
 def _candidates(size: int, buckets: int):
-    """Round 2, map side: (doc_id, tk, text, marks) → packs of the windows that hold a hit."""
-    block = size // 2
-
+    """Round 2, map side: (doc_id, tk, text, marks) → packs of the marked windows."""
     def run(batches):
         from pyspark import TaskContext
         part, count = TaskContext.get().partitionId(), 0
@@ -338,12 +373,8 @@ def _candidates(size: int, buckets: int):
         for b in batches:
             for d, k, t, m in zip(*(b.column(i) for i in range(4))):
                 w = _word_hashes(t.as_py())
-                hits = np.concatenate([_positions(x.as_py()) for x in m.values]) if m.values is not None else np.zeros(0, int)
-                n = len(w) - size + 1
-                near = np.zeros(len(w) + 1, dtype=np.int64)   # windows [hit - block, hit]
-                np.add.at(near, np.maximum(hits - (size - block), 0), 1)
-                np.add.at(near, np.minimum(hits + 1, len(w)), -1)
-                pos = np.nonzero(np.cumsum(near)[:max(n, 0)] > 0)[0]
+                pos = np.unique(np.concatenate([_positions(x.as_py()) for x in m.values])) if m.values is not None else np.zeros(0, int)
+                pos = pos[pos < len(w) - size + 1]
                 if len(pos):
                     h = rolling(w, size, 2)[pos]
                     pack.add((_NO_DOC if d.as_py() is None else d.as_py(), k.as_py()), pos, h, np.zeros(len(pos), dtype=bool), len(pos))
@@ -452,7 +483,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_DOC)).alias("order_id"),
                         text_key(F.col("text")).alias("tk"), "text")
     probes = texts.select("order_id", "tk", "text").mapInArrow(_probes(size, buckets), _PACK)
-    hits = written(_exchange(probes, buckets, _answer_probes, _collect_pack), "repeat-hits")
+    hits = written(_exchange(probes, buckets, _answer_probes, _collect_pack(size)), "repeat-hits")
     marked = _with_marks(texts, hits, "inner").select("order_id", "tk", "text", "marks")
     windows = marked.mapInArrow(_candidates(size, buckets), _PACK)
     later = written(_exchange(windows, buckets, _later_windows, _collect_later), "repeat-windows")
