@@ -2,6 +2,7 @@
 import math
 import random
 
+from textmill.operators import automaton as A
 from textmill.operators import encode as E
 
 
@@ -106,3 +107,33 @@ def test_seeds_and_pieces_cover_the_text(spark):
     enc = E.unigram_encode_words(counts, vocab, mark="▁", at_start=True)
     for r in E.pieces_of(enc, vocab, ["word"]).collect():
         assert "".join(r["pieces"]) == "▁" + r["word"] and len(r["ids"]) == len(r["pieces"])
+
+
+def test_expectations_take_all_words_in_few_steps():
+    """The sums are those of the words one by one, and the steps do not grow with the words."""
+    from textmill.operators import unigram as U
+    tokens = ["a", "ab", "b", "ba", "aba"]
+    automaton = A.build([(t, i) for i, t in enumerate(tokens)], {i: -1.0 - i / 7 for i in range(len(tokens))})
+    match, expected = A.matcher(), U.expectations()
+    words, weights = ["abab", "", "zab", "b", "abaabab"] * 200, [3, 2, 1, 5, 4] * 200
+    together = expected(*match(automaton, words), weights, automaton[3], -20.0)
+    sums, likelihood = {}, 0
+    for w, n in zip(words, weights):
+        one, l = expected(*match(automaton, [w]), [n], automaton[3], -20.0)
+        likelihood += l
+        for t, x in one.items():
+            sums[t] = sums.get(t, 0) + x
+    assert together == (sums, likelihood)
+    import sys
+    seen = []
+
+    def lines(frame, event, arg):
+        seen.append(frame.f_lineno)
+        return lines
+    found = match(automaton, words)
+    before, _ = sys.gettrace(), sys.settrace(lambda frame, event, arg: lines if frame.f_code.co_name == "expected" else None)
+    try:
+        expected(*found, weights, automaton[3], -20.0)
+    finally:
+        sys.settrace(before)
+    assert len(seen) < 1000     # the words were walked one character at a time before

@@ -58,43 +58,55 @@ def numbered(pieces: DataFrame) -> DataFrame:
 
 def expectations():
     """A function ``(start, size, id, ends, weights, scores, unk) -> (expected by id, likelihood)``
-    over a stretch of words, both in whole millionths; nested, so that it is shipped by value."""
-    unit = UNIT
+    over a stretch of words, both in whole millionths; nested, so that it is shipped by value.
 
-    def log_add(a, b):
-        if a < b:
-            a, b = b, a
-        return a if b == -math.inf else a + math.log1p(math.exp(b - a))
+    All words of the stretch go forward and back together, a place per step; the matches
+    that begin at a place follow by size, so every sum is added up in one order."""
+    unit = UNIT
 
     def expected(start, size, token, ends, weights, scores, unk):
-        by_start: dict[int, list] = {}
-        for s, k, t, sc in zip(start.tolist(), size.tolist(), token.tolist(), scores[token].tolist()):
-            by_start.setdefault(s, []).append((s + k, t, sc))
-        sums: dict[int, int] = {}
-        likelihood, begin = 0, 0
-        for end, n in zip(ends.tolist(), weights):
-            before = [-math.inf] * (end - begin + 1)        # log weight of all ways up to a place
-            before[0] = 0.0
-            for p in range(begin, end):
-                a = before[p - begin]
-                before[p + 1 - begin] = log_add(before[p + 1 - begin], a + unk)
-                for e, _, sc in by_start.get(p, ()):
-                    before[e - begin] = log_add(before[e - begin], a + sc)
-            after = [-math.inf] * (end - begin + 1)         # and from a place to the end
-            after[-1] = 0.0
-            whole = before[-1]
-            own: dict[int, float] = {}
-            for p in range(end - 1, begin - 1, -1):
-                b = after[p + 1 - begin] + unk
-                for e, t, sc in by_start.get(p, ()):
-                    b = log_add(b, sc + after[e - begin])
-                    own[t] = own.get(t, 0.0) + math.exp(before[p - begin] + sc + after[e - begin] - whole)
-                after[p - begin] = b
-            for t, x in own.items():
-                sums[t] = sums.get(t, 0) + round(x * n * unit)
-            likelihood += round(whole * n * unit)
-            begin = end
-        return sums, likelihood
+        lengths = np.diff(ends, prepend=0)
+        word = np.repeat(np.arange(len(ends)), lengths)
+        place = np.arange(len(word)) - (ends - lengths)[word]           # of a character in its word
+        # a word has a node more than characters, so the nodes of the words before shift its own
+        by_place = np.argsort(place, kind="stable")
+        nodes = by_place + word[by_place]
+        node_cuts = np.searchsorted(place[by_place], np.arange(lengths.max(initial=0) + 1))
+        which = np.arange(len(start)) - np.searchsorted(start, start)   # number of a match among those of its place
+        order = np.lexsort((which, place[start]))
+        at, which, token = start[order], which[order], token[order]
+        source, target, score = at + word[at], at + word[at] + size[order], scores[token]
+        cuts = np.searchsorted(place[at], np.arange(len(node_cuts)))
+
+        before = np.full(len(word) + len(ends), -np.inf)    # log weight of all ways up to a node
+        before[ends - lengths + np.arange(len(ends))] = 0.0
+        after = np.full(len(before), -np.inf)               # and from a node to the end
+        after[ends + np.arange(len(ends))] = 0.0
+        steps = list(zip(node_cuts[:-1].tolist(), node_cuts[1:].tolist(), cuts[:-1].tolist(), cuts[1:].tolist()))
+        for a, b, c, d in steps:
+            own = nodes[a:b]
+            before[own + 1] = np.logaddexp(before[own + 1], before[own] + unk)
+            to = target[c:d]
+            before[to] = np.logaddexp(before[to], before[source[c:d]] + score[c:d])
+        for a, b, c, d in reversed(steps):
+            own = nodes[a:b]
+            after[own] = after[own + 1] + unk
+            ranks = np.searchsorted(which[c:d], np.arange(which[d - 1] + 2)) + c if d > c else []
+            for e, f in zip(ranks[:-1], ranks[1:]):
+                s = source[e:f]
+                after[s] = np.logaddexp(after[s], score[e:f] + after[target[e:f]])
+        whole, n = before[ends + np.arange(len(ends))], np.asarray(weights, dtype=np.float64)
+        back = np.lexsort((which, -at))                     # a word's shares are added from its end
+        share = before[source[back]] + score[back] + after[target[back]] - whole[word[at[back]]]
+        share = np.fromiter(map(math.exp, share.tolist()), dtype=np.float64, count=len(share))
+        keys, slot = np.unique(word[at[back]] * len(scores) + token[back], return_inverse=True)
+        of_word = np.zeros(len(keys))
+        np.add.at(of_word, slot, share)
+        rounded = np.rint(of_word * n[keys // len(scores)] * unit).astype(np.int64)
+        ids, slot = np.unique(keys % len(scores), return_inverse=True)
+        sums = np.zeros(len(ids), dtype=np.int64)
+        np.add.at(sums, slot, rounded)
+        return dict(zip(ids.tolist(), sums.tolist())), int(np.rint(whole * n * unit).astype(np.int64).sum())
 
     return expected
 
