@@ -253,6 +253,32 @@ def test_substring_short_repeats_go_no_further(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept["repeat-hits"].where("octet_length(marks) > 0").collect()) == [3, 4]
 
 
+def test_texts_go_to_tasks_in_small_batches(spark, monkeypatch):
+    import pyarrow as pa
+
+    from textmill.llm import packing, simhash_dedup
+    from textmill.llm.common import TEXT_ROWS, written
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+    rows = spark.range(0, 5000, 1, 1)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    assert sorted(r.n for r in written(rows.mapInArrow(sizes, "n long"), "sizes", TEXT_ROWS).collect()) == [TEXT_ROWS] * 5
+    assert spark.conf.get(key) == before
+    seen = {}
+
+    def keep(df, name, batch_rows=None):
+        seen[name] = batch_rows
+        return written(df, name, batch_rows)
+    for module in (packing, simhash_dedup):
+        monkeypatch.setattr(module, "written", keep)
+    df = spark.createDataFrame([(1, "one two"), (2, "three")], "doc_id long, text string")
+    assert packing.op9_best_fit_packing(df).count() == simhash_dedup.op2_simhash_dedup(df).count() == 2
+    assert seen["pack-pieces"] == seen["simhash-prints"] == TEXT_ROWS
+
+
 def test_packing(docs):
     import public_tokenizers
     from tokenizers import Tokenizer

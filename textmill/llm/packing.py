@@ -34,15 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmill.llm.common import partitions, written
+from textmill.llm.common import TEXT_ROWS, partitions, written
 
 SIZE = 2048
 VOCABULARY = "word_bpe_49k.json"
 RANK_ROWS = 100_000     # pieces per (length, salt) window, about
 SLOT_RUN = 4096         # slots made from one row
 MARK = "<|startoftext|>"  # a special token of the vocabulary
-_CACHE = 1_400_000      # words and word cores kept by a worker
-_SEGMENT = 1 << 22      # characters split at once
+_CACHE = 300_000        # words and word cores kept by a worker
+_SEGMENT = 1 << 20      # characters split at once
 _ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to Python, not to the tokenizer
 
 
@@ -248,7 +248,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, size: int = SIZE) -> Da
     if vocabulary is None:
         import public_tokenizers
         vocabulary = public_tokenizers.path(VOCABULARY)
-    parts = written(pieces(docs, str(vocabulary), size), "pack-pieces")
+    parts = written(pieces(docs, str(vocabulary), size), "pack-pieces", TEXT_ROWS)
     histogram = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= size rows
     taken = slots(spark, plan(histogram, size))
     return ranked(parts, sum(histogram.values())).join(taken, ["length", "rank"]).select(

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import text_key, written
+from textmill.llm.common import TEXT_ROWS, text_key, written
 from textmill.operators.joins import hot_key_join
 
 SHINGLE = 3
@@ -223,7 +223,7 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, tk, fp, root, component_id) per row of ``docs``; ``root`` is the
     component's own fingerprint, so it tells components of one id apart."""
-    prints = written(fingerprints(docs.select("doc_id", "text"), shingle), "simhash-prints")
+    prints = written(fingerprints(docs.select("doc_id", "text"), shingle), "simhash-prints", TEXT_ROWS)
     per_fp = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "simhash-distinct")
     roots = components(links(per_fp.select("fp"), max_bits))
     linked = per_fp.join(roots, "fp")
