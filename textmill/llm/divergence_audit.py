@@ -30,7 +30,6 @@ count each; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 
 import numpy as np
@@ -48,31 +47,32 @@ FLUSH = 500_000       # (language, source, term) counts that a task holds
 CELLS = 2_000_000     # counts of one language that a pair or skyband task holds, about
 STRIPE = 4_000_000    # cells of the source matrix that a task adds up
 _SWEEP = 256          # terms tried against the skyband at once
-_LOWER = {c: c + 32 for c in range(65, 91)}
+# bytes of a text: A-Z lower-cased, what is in no term (TERM) made a space
+_SPLIT = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
 
 # ------------------------------------------------------------- task helpers
 
 def _count_terms(batches):
-    """(lang, source, term, n, docs); a row without a term tells that the group occurs."""
-    find = re.compile(TERM).findall
+    """(lang, source, term, n, docs); a row without a term tells that the group occurs.
+    Terms are counted as UTF-8: what parts them is ASCII, so is what is lower-cased."""
     seen, n, docs, size = set(), {}, {}, 0
 
     def flush():
         for (lang, source), bag in n.items():
-            terms = list(bag)
+            terms, own = list(bag), docs[lang, source]
             for at in range(0, len(terms), 50_000):
                 part = terms[at:at + 50_000]
-                own = docs[lang, source]
-                yield _rows(lang, source, part, [bag[t] for t in part], [own[t] for t in part])
+                yield _rows(lang, source, part, list(map(bag.__getitem__, part)), list(map(own.__getitem__, part)))
 
     for b in batches:
-        for text, lang, source in zip(*(b.column(i) for i in range(3))):
+        text = b.column(0).cast(_binary(b.column(0).type))
+        for text, lang, source in zip(text, *(b.column(i) for i in (1, 2))):
             key = lang.as_py() or "", source.as_py() or ""
             if key not in n:
                 seen.add(key)
                 n[key], docs[key] = Counter(), Counter()
-            words = find((text.as_py() or "").translate(_LOWER))
+            words = (text.as_py() or b"").translate(_SPLIT).split()
             size -= len(n[key])
             n[key].update(words)
             docs[key].update(set(words))
@@ -85,10 +85,14 @@ def _count_terms(batches):
         yield _rows(lang, source, [None], [0], [0])
 
 
+def _binary(kind):
+    return pa.large_binary() if pa.types.is_large_string(kind) else pa.binary()
+
+
 def _rows(lang, source, terms, n, docs):
     k = len(terms)
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * k, pa.string()), pa.array([source] * k, pa.string()), pa.array(terms, pa.string()),
+        [pa.repeat(pa.scalar(lang, pa.string()), k), pa.repeat(pa.scalar(source, pa.string()), k), pa.array(terms, pa.binary()).cast(pa.string()),
          pa.array(n, pa.int64()), pa.array(docs, pa.int64())], ["lang", "source", "term", "n", "docs"])
 
 
