@@ -12,6 +12,7 @@ from test_operators import LONG, SCHEMA, empty, odd, real  # noqa: F401
 
 from textmill.llm import divergence_audit as D
 from textmill.llm import ngram_join as N
+from textmill.llm import packing
 from textmill.llm import vector_codes as V
 from textmill.llm.decontaminate import Index, find_leaks, op7_decontamination, words_of
 from textmill.llm.packing import VOCABULARY, word_ids
@@ -79,6 +80,13 @@ def test_divergence(docs):
     assert got == brute.divergence(rows)
 
 
+def test_bytes_split_at_what_parts_terms():
+    import re
+    text = "".join(f"{chr(c)}aZ{chr(c)}{chr(c)}" for c in range(0x3000) if not 0xD800 <= c < 0xE000) + "\U0001F600x中"
+    want = [w.translate({c: c + 32 for c in range(65, 91)}).encode() for w in re.findall(D.TERM, text)]
+    assert text.encode().translate(D._SPLIT).split() == want
+
+
 def test_divergence_small_groups(spark, monkeypatch):
     """Groups without terms, a language without kept terms, ties, stripes and salts."""
     rnd = random.Random(3)
@@ -209,6 +217,34 @@ def test_words_before_a_comma_have_the_tokenizers_ids():
     assert words.encode(part) == [np.array(e.ids, dtype="<u4").tobytes() for e in words.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
 
 
+def test_closing_marks_have_the_tokenizers_ids():
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    words = word_ids(str(public_tokenizers.path(VOCABULARY)))
+    part = [f"x{a}{u}{v}" for a in sorted(packing._BEFORE_CLOSING) for u in packing._CLOSING for v in ["", *packing._CLOSING]]
+    rnd = random.Random(1)
+    part += ["".join(rnd.choices("aZ9,.!?;:$%&#*éßç'-_<|中İ ", k=rnd.randrange(1, 9))) for _ in range(5000)]
+    assert words.encode(part) == [np.array(e.ids, dtype="<u4").tobytes() for e in words.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+
+
+def test_a_word_is_looked_up_once_per_stretch():
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    words = word_ids(str(public_tokenizers.path(VOCABULARY)))
+    asked = []
+
+    class Known(dict):
+        def get(self, word, *rest):
+            asked.append(word)
+            return super().get(word, *rest)
+
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+    words = packing.WordIds(words.tokenizer, words.closing, Known())
+    one = words.encode(["same other"])[0]
+    del asked[:]
+    assert words.encode(["same other " * 50, "", "other same"])[0] == one * 50 and len(asked) <= 4
+
+
 def test_capitals_are_judged_by_the_groups_own_spread(spark):
     def text(share, i):
         return " ".join(("Ab" if (j * 7 + i) % 100 < share else "ab") + f"c{j}def" for j in range(120))

@@ -16,7 +16,7 @@ Spark turns the runs into one row per slot and joins them to the pieces on
 salt)`` plus the counts of the smaller salts, so that a length shared by a third
 of all pieces is spread over many tasks.
 
-Tokenising happens in Arrow batches; a word's ids are looked up in a bounded
+Tokenising happens in Arrow batches; the ids of a stretch's distinct words are looked up in a bounded
 cache, because the tokenizer never joins characters across white space.
 
 Defined cases: a null or empty text is the single id 0; repeated rows are packed
@@ -42,21 +42,23 @@ RANK_ROWS = 100_000     # pieces per (length, salt) window, about
 SLOT_RUN = 4096         # slots made from one row
 MARK = "<|startoftext|>"  # a special token of the vocabulary
 _CACHE = 300_000        # words and word cores kept by a worker
-_SEGMENT = 1 << 20      # characters split at once
+_SEGMENT = 1 << 22      # characters split at once
+_CLOSING = ".,!?;:$%&#*"
+_BEFORE_CLOSING = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789" + "ßàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿ")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to Python, not to the tokenizer
 
 
 class WordIds:
     """Ids of words as little-endian 32-bit bytes. A word that ``known`` lacks is
-    looked up by its core: in lower case (if ASCII), without one closing comma or
-    full stop after an ASCII letter or digit, which the tokenizer always splits off.
-    (Its normaliser turns some other letters into a letter and a mark, and a mark
-    joins the comma.)"""
+    looked up by its core: in lower case (if ASCII), without at most three closing
+    ``_CLOSING`` after an ASCII letter or digit or a small Latin-1 letter, which the
+    tokenizer always splits off. (Its normaliser turns some other letters into a letter
+    and a mark, and a mark joins the comma.)"""
 
     def __init__(self, tokenizer, closing: np.ndarray, known: dict):
         self.tokenizer, self.closing, self.known = tokenizer, closing, known
         self.mark_id = tokenizer.token_to_id(MARK)
-        self.tails = {t: self.whole(t) for t in ",."} | {"": b""}
+        self.tails = {"": b""}
 
     def ids(self, text: str) -> np.ndarray:
         # the batch call without offsets is the quicker one, also for a single text
@@ -87,24 +89,55 @@ class WordIds:
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
+        """Each distinct word of the texts is looked up once; its ids are set in for
+        every occurrence."""
+        n_words, spaced = [], []
+        for t in texts:
+            split = None if _ODD_SPACE.search(t) else t.split()
+            n_words.append(-1 if split is None else len(split))
+            if split:
+                spaced.append(" ".join(split))
+        coded = _words(spaced).dictionary_encode()
         known, tails, parts = self.known, self.tails, {}
-        for w in set().union(*(s for s in split if s is not None)).difference(known):
-            core = w.lower() if w.isascii() else w
-            tail = core[-1]
-            if tail in ",." and core[-2:-1].isascii() and core[-2:-1].isalnum():
-                parts[w] = core[:-1], tail
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(known.get, words))
+        for at in [i for i, ids in enumerate(found) if ids is None]:
+            w = words[at]
+            w = w.lower() if w.isascii() else w
+            core = w.rstrip(_CLOSING)
+            if core and len(w) - len(core) <= 3 and core[-1] in _BEFORE_CLOSING:
+                parts[at] = core, w[len(core):]
             else:
-                parts[w] = core, ""
+                parts[at] = w, ""
         new = self.encode_new(list({core for core, _ in parts.values()}.difference(known)))
-        known.update(new)
-        known.update([(w, known[core] + tails[tail]) for w, (core, tail) in parts.items()])
-        get = known.__getitem__
-        out = [self.whole(t) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
-        if len(known) > _CACHE:  # full: the frequent words are in by now, these are not kept
-            for w in {*new, *parts}:
-                del known[w]
-        return out
+        for at, (core, tail) in parts.items():
+            ids = new[core] if core in new else known[core]
+            if tail and tail not in tails:
+                tails[tail] = self.whole(tail)
+            found[at] = ids + tails[tail]
+        if len(known) + len(new) + len(parts) <= _CACHE:  # else full: the frequent words are in by now
+            known.update(new)
+            known.update([(words[at], found[at]) for at in parts])
+
+        ids = np.frombuffer(b"".join(found), dtype="<u4")
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        codes = coded.indices.to_numpy()
+        own = sizes[codes]                                              # ids per occurrence
+        upto = np.concatenate([[0], np.cumsum(own)])
+        begin = (np.cumsum(sizes) - sizes)[codes]
+        every = ids[np.repeat(begin - upto[:-1], own) + np.arange(upto[-1])].tobytes()
+        ends = (4 * upto[np.cumsum(np.maximum(n_words, 0))]).tolist()
+        return [self.whole(t) if n < 0 else every[first:end]
+                for t, n, first, end in zip(texts, n_words, [0, *ends], ends)]
+
+
+def _words(texts: list[str]) -> pa.Array:
+    """The words of texts that one space parts, as an array."""
+    raw = np.frombuffer(" ".join(texts).encode(), dtype=np.uint8)
+    gaps = np.nonzero(raw == 32)[0]
+    n = len(gaps) + 1 if len(raw) else 0
+    offsets = np.concatenate([[0], gaps - np.arange(len(gaps)), [len(raw) - len(gaps)]]).astype(np.int32)
+    return pa.StringArray.from_buffers(n, pa.py_buffer(offsets), pa.py_buffer(raw[raw != 32]))
 
 
 def _cut(found: dict, words, ids: np.ndarray, ends: np.ndarray, gap: int) -> None:
