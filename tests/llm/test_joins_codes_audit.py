@@ -55,6 +55,27 @@ def test_jaccard_join_clusters(spark):
     assert sorted(got, key=KEY) == sorted(brute.jaccard(rows + rows[:9]), key=KEY)
 
 
+def test_jaccard_join_leaves_few_pairs_of_a_cluster(spark, monkeypatch):
+    """One word of a text changed: places at most three words apart link, all others are
+    near misses. The cluster is joined by nearest partners, not by all its pairs."""
+    rnd = random.Random(8)
+    base, rows, made = [f"w{i}" for i in range(80)], [], []
+    for i in range(400):
+        t = list(base)
+        t[rnd.randrange(80)] = f"x{i}"
+        rows.append((i, " ".join(t)))
+    open_pairs = N.open_pairs
+
+    def counted(*a):
+        made.append(N.written(open_pairs(*a), "test-pairs"))
+        return made[-1]
+    monkeypatch.setattr(N, "open_pairs", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [tuple(r) for r in N.op12_ngram_jaccard_join(df).collect()]
+    assert sorted(got, key=KEY) == sorted(brute.jaccard(rows), key=KEY)
+    assert sum(x.count() for x in made) <= 10 * len(rows)
+
+
 def test_jaccard_join_any_table_of_counts_and_blocks(spark, real, monkeypatch):  # noqa: F811
     want = sorted(map(tuple, N.op12_ngram_jaccard_join(real).collect()))
     for name, value in (("COUNTERS", 3), ("POSTS", 500), ("HOT_LIST", 5), ("SHORT_LIST", 2), ("BLOCK", 3), ("CHUNK_BYTES", 2000)):

@@ -26,9 +26,12 @@ Only components are asked for, so pairs that cannot change them are not made:
 2. further rounds pair every group with another leader that lies in another
    component, as long as one pair in 25 links, so that a cluster in which only
    some pairs link falls together as well;
-3. all other group pairs are made that still lie in different components. A list
-   whose groups are all in one component goes as a whole. Long lists are compared
-   block by block.
+3. in rounds like Boruvka's every group is paired with the group of another component
+   whose bitmap is nearest to its own, looked for where the lists meet, as long as one
+   pair in 25 links: a row per group, and what is joined needs no other pair;
+4. all other group pairs are made that still lie in different components: near misses
+   of which no chain of links is known. A list whose groups are all in one component
+   goes as a whole. Long lists are compared block by block.
 
 So a cluster of near copies costs its size, not its square, and no link between
 different texts is lost: a pair left out is already connected.
@@ -71,6 +74,7 @@ SHORT_LIST = 256            # lists up to this length drop groups that fit no ot
 BLOCK = 2_048               # groups of a long list compared with as many others
 CHUNK_BYTES = 8 << 20       # sets verified at once
 LEADER_ROUNDS = 8           # rounds with one leader per group, at most; any number is right
+NEAREST_ROUNDS = 8          # rounds with the nearest partner per group, likewise
 MARK_BYTES = 4_096          # longer bitmaps are not sent to the lists, only to the pairs
 _TEXT = 4 << 20             # characters hashed at once
 _PAIRS = 2_000_000          # group pairs looked at at once
@@ -157,9 +161,10 @@ def may_link(x: bytes, y: bytes, n_x: int, n_y: int, percent: int) -> bool:
     return linked((n_x + n_y - differ) // 2, n_x, n_y, percent)
 
 
-def marked_pairs(marks, n, i, j, percent: int) -> np.ndarray:
-    """``may_link`` for the index pairs (i, j); ``marks`` holds a bitmap or None per row."""
-    ok = np.ones(len(i), dtype=bool)
+def differing(marks, n, i, j) -> np.ndarray:
+    """In how many shingles the sets of the index pairs (i, j) differ at least; ``marks``
+    holds a bitmap or None per row."""
+    found = np.abs(n[i] - n[j])
     words = np.array([0 if m is None else len(m) // 8 for m in marks], dtype=np.int64)
     width = np.minimum(words[i], words[j])
     for w in np.unique(width[width > 0]).tolist():
@@ -172,10 +177,14 @@ def marked_pairs(marks, n, i, j, percent: int) -> np.ndarray:
         step = max(1, (4 << 20) // (8 * w))
         for s in range(0, len(at), step):
             part = at[s:s + step]
-            differ = np.bitwise_count(table[a[s:s + step]] ^ table[b[s:s + step]]).sum(axis=1, dtype=np.int64)
-            n_i, n_j = n[i[part]], n[j[part]]
-            ok[part] = linked((n_i + n_j - differ) // 2, n_i, n_j, percent)
-    return ok
+            apart = np.bitwise_count(table[a[s:s + step]] ^ table[b[s:s + step]]).sum(axis=1, dtype=np.int64)
+            found[part] = apart
+    return found
+
+
+def marked_pairs(marks, n, i, j, percent: int) -> np.ndarray:
+    """``may_link`` for the index pairs (i, j) of sets that pass the size filter."""
+    return linked((n[i] + n[j] - differing(marks, n, i, j)) // 2, n[i], n[j], percent)
 
 
 def list_pairs(token, n, pos, low, high, percent: int, side=None):
@@ -371,19 +380,26 @@ def next_leaders(lists: DataFrame, labels: DataFrame, seed: int, percent: int) -
     return fit.groupBy("gid").agg(F.min(pick).alias("m")).select("gid", F.col("m.leader").alias("leader"))
 
 
-def open_pairs(lists: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(g, h): group pairs of all lists that pass the filters and do not lie in one
-    component. ``labels`` (gid, low, high): least and largest component of a group.
-    Groups of one of the ``sets`` take its bitmap along."""
+def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of the lists whose groups do not all lie in one component, with their block.
+    ``labels`` (gid, low, high): least and largest component of a group."""
     named = lists.join(broadcast_if_small(labels, 24), "gid").repartition("token")
     mixed = (named.groupBy("token").agg(F.min("low").alias("lo"), F.max("high").alias("hi"), F.count(F.lit(1)).alias("m"))
              .where(F.col("lo") != F.col("hi")).select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
-    named = written(named.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int")), "jaccard-open")
-    own = written(named.select("gid").distinct(), "jaccard-open-groups")
+    return written(named.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int")), "jaccard-open")
+
+
+def group_marks(opened: DataFrame, sets: DataFrame) -> DataFrame:
+    """(gid, mark): the bitmaps of the groups of one of the ``sets``."""
+    own = written(opened.select("gid").distinct(), "jaccard-open-groups")
     fits = F.octet_length("short") <= MARK_BYTES
-    marks = written(sets.select("gid", F.when(fits, F.col("short")).alias("mark")).join(broadcast_if_small(own, 16), "gid", "left_semi").groupBy("gid")
-                    .agg(F.count(F.lit(1)).alias("m"), F.first("mark").alias("mark")).where("m = 1").select("gid", "mark"), "jaccard-marks")
-    named = named.join(broadcast_if_small(marks, F.octet_length("mark") + 32), "gid", "left")
+    return written(sets.select("gid", F.when(fits, F.col("short")).alias("mark")).join(broadcast_if_small(own, 16), "gid", "left_semi").groupBy("gid")
+                   .agg(F.count(F.lit(1)).alias("m"), F.first("mark").alias("mark")).where("m = 1").select("gid", "mark"), "jaccard-marks")
+
+
+def compared_lists(opened: DataFrame, marks: DataFrame, compare, schema: str) -> DataFrame:
+    """``compare(table)`` for stretches of whole lists, long ones block by block."""
+    named = opened.join(broadcast_if_small(marks, F.octet_length("mark") + 32), "gid", "left")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = named.select("*", other.alias("other")).select(
         "token", "gid", "n", "pos", "low", "high", "mark", "block", F.least("block", "other").alias("b1"),
@@ -397,14 +413,25 @@ def open_pairs(lists: DataFrame, labels: DataFrame, sets: DataFrame, percent: in
             t = pa.concat_tables([kept, t]) if kept is not None else t
             last = _last_list(t)
             if last:
-                yield from _filtered(t.slice(0, last), percent)
+                yield from compare(t.slice(0, last))
             kept = t.slice(last)
         if kept is not None and len(kept):
-            yield from _filtered(kept, percent)
+            yield from compare(kept)
 
-    found = (dealt.repartition("token", "b1", "b2").sortWithinPartitions("token", "b1", "b2")
-             .select("token", "b1", "b2", "block", "gid", "n", "pos", "low", "high", "mark")
-             .mapInArrow(run, "g long, h long, n_g long, n_h long, p_g long, p_h long"))
+    return (dealt.repartition("token", "b1", "b2").sortWithinPartitions("token", "b1", "b2")
+            .select("token", "b1", "b2", "block", "gid", "n", "pos", "low", "high", "mark").mapInArrow(run, schema))
+
+
+def nearest_pairs(opened: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """(g, h): for every group that has one the most likely partner in another component."""
+    found = compared_lists(opened, marks, lambda t: _nearest(t, percent), "g long, h long, near long")
+    return found.groupBy("g").agg(F.max(F.struct("near", "h")).alias("m")).select("g", F.col("m.h").alias("h"))
+
+
+def open_pairs(opened: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """(g, h): group pairs of all lists that pass the filters and do not lie in one
+    component. Groups of one set take its bitmap along."""
+    found = compared_lists(opened, marks, lambda t: _filtered(t, percent), "g long, h long, n_g long, n_h long, p_g long, p_h long")
     # the common tokens that passed are the first ones, so this bounds the overlap
     bound = F.col("common") + F.least(F.col("n_g") - 1 - F.col("p_g"), F.col("n_h") - 1 - F.col("p_h"))
     return (found.groupBy("g", "h", "n_g", "n_h").agg(F.count(F.lit(1)).alias("common"), F.max("p_g").alias("p_g"), F.max("p_h").alias("p_h"))
@@ -426,7 +453,9 @@ def _last_list(table) -> int:
     return int(at[-1]) + 1 if len(at) else 0
 
 
-def _filtered(table, percent):
+def _met_pairs(table, percent):
+    """Index pairs (i, j) of a table's lists that pass all filters, the most shingles they
+    may share, and the columns gid, n, pos."""
     token, b1, b2, block, gid, n, pos, low, high = (_column(table, c) for c in (
         "token", "b1", "b2", "block", "gid", "n", "pos", "low", "high"))
     new = np.append(True, (np.diff(token) != 0) | (np.diff(b1) != 0) | (np.diff(b2) != 0))[:len(token)]
@@ -435,14 +464,36 @@ def _filtered(table, percent):
     side = np.where(b1 == b2, np.arange(len(token)), block)
     marks = table.column("mark").to_pylist()
     for i, j in list_pairs(number, n, pos, low, high, percent, side):
-        may = marked_pairs(marks, n, i, j, percent)
-        i, j = i[may], j[may]
+        common = (n[i] + n[j] - differing(marks, n, i, j)) // 2
+        may = linked(common, n[i], n[j], percent)
+        yield i[may], j[may], common[may], (gid, n, pos)
+
+
+def _filtered(table, percent):
+    for i, j, _, (gid, n, pos) in _met_pairs(table, percent):
         swap = gid[i] > gid[j]
         i, j = np.where(swap, j, i), np.where(swap, i, j)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (gid[i], gid[j], n[i], n[j], pos[i], pos[j])],
                                          ["g", "h", "n_g", "n_h", "p_g", "p_h"])
 
 
+def _nearest(table, percent):
+    """For every group of the lists its nearest partner there: a row per group at most."""
+    gid = _column(table, "gid")
+    near, mate = np.full(len(table), -1, dtype=np.int64), np.zeros(len(table), dtype=np.int64)
+    for i, j, common, (_, n, _) in _met_pairs(table, percent):
+        likeness = np.tile(1_000_000 * common // (n[i] + n[j] - common), 2)
+        row, other = np.concatenate([i, j]), np.concatenate([j, i])
+        by = np.lexsort((likeness, row))
+        by = by[np.append(row[by][1:] != row[by][:-1], True)[:len(by)]]     # the last one of each row
+        by = by[likeness[by] > near[row[by]]]
+        near[row[by]], mate[row[by]] = likeness[by], other[by]
+    by = np.lexsort((near, gid))
+    by = by[np.append(gid[by][1:] != gid[by][:-1], True)[:len(by)]]
+    by = by[near[by] >= 0]
+    yield pa.RecordBatch.from_arrays([pa.array(gid[by]), pa.array(gid[mate[by]]), pa.array(near[by])], ["g", "h", "near"])
+
+
 def whole_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
     """(dig, n, h): sorted shingle hashes of the sets in ``pairs`` (a, b); ``sets``
     names one of the documents that have a set (rep)."""
@@ -544,29 +595,51 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     label = F.xxhash64(F.coalesce("root", "dig"))
     named = written(sets.join(busy, "gid", "left_semi").join(components(edges).withColumnRenamed("fp", "dig"), "dig", "left")
                     .select("gid", "dig", label.alias("label")), "jaccard-labels")
-    for seed in range(1, LEADER_ROUNDS):
-        labels = written(named.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high")), "jaccard-group-labels")
+    def grouped():
+        return written(named.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high")), "jaccard-group-labels")
+
+    def tried(partners):
+        """The members of every group with the first member of its partner (gid, leader)."""
         head = named.groupBy("gid").agg(F.min(F.struct("dig", "label")).alias("m"))
         head = head.select(F.col("gid").alias("leader"), F.col("m.dig").alias("a"), F.col("m.label").alias("la"))
-        tried = written(named.join(next_leaders(lists, labels, seed, percent), "gid").join(head, "leader")
-                        .where(F.col("la") != F.col("label")).select("a", F.col("dig").alias("b")), "jaccard-tried")
-        n = tried.count()
-        if not n:
-            break
-        new = verified(tried, docs, sets, shingle, percent)
-        edges = edges.unionByName(new)
+        return written(named.join(partners, "gid").join(head, "leader")
+                       .where(F.col("la") != F.col("label")).select("a", F.col("dig").alias("b")), "jaccard-tried")
+
+    def relabelled(new):
         of = named.select("dig", "label")
         joined = components(new.join(of.select(F.col("dig").alias("u"), F.col("label").alias("lu")), "u")
                             .join(of.select(F.col("dig").alias("v"), F.col("label").alias("lv")), "v")
                             .select(F.col("lu").alias("u"), F.col("lv").alias("v")))
-        named = written(named.join(joined.withColumnRenamed("fp", "label"), "label", "left")
-                        .select("gid", "dig", F.coalesce("root", "label").alias("label")), "jaccard-labels")
+        return written(named.join(joined.withColumnRenamed("fp", "label"), "label", "left")
+                       .select("gid", "dig", F.coalesce("root", "label").alias("label")), "jaccard-labels")
+
+    for seed in range(1, LEADER_ROUNDS):
+        pairs = tried(next_leaders(lists, grouped(), seed, percent))
+        n = pairs.count()
+        if not n:
+            break
+        new = verified(pairs, docs, sets, shingle, percent)
+        edges, named = edges.unionByName(new), relabelled(new)
+        if 25 * new.count() < n:
+            break
+
+    opened = open_lists(lists, grouped())
+    marks = group_marks(opened, sets)
+    for _ in range(NEAREST_ROUNDS):
+        pairs = tried(nearest_pairs(opened, marks, percent).select(F.col("g").alias("gid"), F.col("h").alias("leader")))
+        n = pairs.count()
+        if not n:
+            break
+        new = verified(pairs, docs, sets, shingle, percent)
+        edges, named = edges.unionByName(new), relabelled(new)
+        deleted(opened)
+        opened = open_lists(lists, grouped())
         if 25 * new.count() < n:
             break
 
     # all that still lies apart
-    labels = written(named.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high")), "jaccard-group-labels")
-    across = open_pairs(lists, labels, sets, percent)
+    labels = grouped()
+    across = open_pairs(opened, marks, percent)
     inside = labels.where(F.col("low") != F.col("high")).select(F.col("gid").alias("g"), F.col("gid").alias("h"))
     pairs = across.unionByName(inside)
     x = named.select(F.col("gid").alias("g"), F.col("dig").alias("a"), F.col("label").alias("la"))
