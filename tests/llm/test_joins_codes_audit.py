@@ -276,6 +276,18 @@ def test_capitals_are_judged_by_the_groups_own_spread(spark):
     assert not kept[9001] and kept[9002]
 
 
+def test_word_cache_is_filled_to_its_limit(monkeypatch):
+    """Also by a stretch with more words than it holds; the ids are the same."""
+    import public_tokenizers
+    monkeypatch.setattr(packing, "_CACHE", 6)
+    words = word_ids(str(public_tokenizers.path(VOCABULARY)))
+    words.known = {}
+    texts = ["one two, three four five six seven eight nine ten", "Eleven one two. thirteen"]
+    want = [words.whole(t) for t in texts]
+    assert words.encode(texts[:1]) + words.encode(texts[1:]) == want
+    assert 5 <= len(words.known) <= 6 and words.known["one"] == words.whole("one")
+
+
 def test_new_operators_on_empty_tables(spark, empty):  # noqa: F811
     assert N.op12_ngram_jaccard_join(empty).collect() == [] and D.op13_source_divergence_audit(empty).collect() == []
     assert math.isfinite(V._limit(16)) and F is not None and SCHEMA

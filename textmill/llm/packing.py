@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ VOCABULARY = "word_bpe_49k.json"
 RANK_ROWS = 100_000     # pieces per (length, salt) window, about
 SLOT_RUN = 4096         # slots made from one row
 MARK = "<|startoftext|>"  # a special token of the vocabulary
-_CACHE = 300_000        # words and word cores kept by a worker
+_CACHE = 450_000        # words and word cores kept by a worker
 _SEGMENT = 1 << 22      # characters split at once
 _CLOSING = ".,!?;:$%&#*"
 _BEFORE_CLOSING = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789" + "ßàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿ")
@@ -115,9 +116,9 @@ class WordIds:
             if tail and tail not in tails:
                 tails[tail] = self.whole(tail)
             found[at] = ids + tails[tail]
-        if len(known) + len(new) + len(parts) <= _CACHE:  # else full: the frequent words are in by now
-            known.update(new)
-            known.update([(words[at], found[at]) for at in parts])
+        for at, (core, _) in islice(parts.items(), max(0, _CACHE - len(known)) // 2):  # frequent words come first
+            known[words[at]] = found[at]
+            known[core] = new[core] if core in new else known[core]
 
         ids = np.frombuffer(b"".join(found), dtype="<u4")
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
